@@ -61,6 +61,10 @@ SALESORDERLINE = f"""select l_orderkey as SalesOrderNumber, l_linenumber as Sale
 from lineitem join orders on l_orderkey = o_orderkey"""
 
 PROMOTABLE = """select n_nationkey as PromotionId,
+  CAST(NULL AS TIMESTAMP) as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-01-31 20:00:00' + to_hours(n_nationkey) as DataLakeModified_DateTime,
+  ' P' || CAST(n_nationkey AS VARCHAR) || ' ' as PromoCode,
+  case when n_nationkey < 4 then 'Volume' else 'Seasonal' end as PromoType,
   case n_nationkey when 0 then 'Volume Discount 11 to 20' when 1 then 'Volume Discount 21 to 40'
     when 2 then 'Volume Discount 41 to 60' when 3 then 'Volume Discount > 60'
     else 'Seasonal Promotion ' || n_name end as PromotionName,
@@ -130,6 +134,332 @@ PURCHASE_FACT = _with(
 from po left join cc on trim(po.CostCenter) = cc.ccn left join cur on trim(po.CurrencyCode) = cur.cc
 where po.RecordId is not null"""
 
+CUSTTABLE = """select c_custkey as CustomerId,
+  case when c_acctbal < 0 then NULL else TIMESTAMP '2024-11-03 06:30:00' end as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-01-01 02:00:00' as DataLakeModified_DateTime,
+  '  ' || c_name || ' ' as CustomerName, lower(c_name) || '@mail.example' as Email,
+  ' 555-0199' as Phone, 'Road ' || CAST(c_custkey AS VARCHAR) || ' ' as Address,
+  'Town' as City, ' TX ' as State, 'NATION_' || CAST(c_nationkey AS VARCHAR) as Country,
+  lpad(CAST(c_custkey AS VARCHAR), 6, '0') as ZipCode, ' ' || c_mktsegment as Region,
+  TIMESTAMP '2020-01-01 00:00:00' + to_seconds(c_custkey * 3600) as SignupDate,
+  c_custkey as RecordId
+from customer"""
+
+PARTIES = """select s_suppkey * 20 as PartyId, ' ' || s_name as PartyName,
+  CAST(NULL AS TIMESTAMP) as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-03-10 08:00:00' as DataLakeModified_DateTime,
+  s_nationkey as PartyAddressCode, TIMESTAMP '2010-07-01 02:00:00' as EstablishedDate,
+  ' party' || CAST(s_suppkey AS VARCHAR) || '@mail.example' as PartyEmailId,
+  '555-0000 ' as PartyContactNumber, 'TX' || CAST(s_suppkey AS VARCHAR) as TaxId,
+  s_suppkey as RecordId
+from supplier"""
+
+PARTYADDRESS = """select c_custkey as PartyNumber, CAST(NULL AS TIMESTAMP) as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-01-01 02:00:00' as DataLakeModified_DateTime,
+  ' Main ' || CAST(c_custkey AS VARCHAR) as Address, ' City' as City, 'ST' as State,
+  'NATION_' || CAST(c_nationkey AS VARCHAR) as Country, '00000' as ZipCode, 'R' as Region,
+  TIMESTAMP '2019-01-01 00:00:00' as ValidFrom, CAST(NULL AS TIMESTAMP) as ValidTo,
+  c_custkey * 2 as RecordId
+from customer
+union all
+select c_custkey, TIMESTAMP '2024-07-04 12:00:00', TIMESTAMP '2024-07-04 12:00:00',
+  ' Billing ' || CAST(c_custkey AS VARCHAR), ' City', 'ST',
+  'NATION_' || CAST(c_nationkey AS VARCHAR), '11111', 'R',
+  TIMESTAMP '2022-01-01 00:00:00', TIMESTAMP '2030-01-01 00:00:00', c_custkey * 2 + 1
+from customer where c_acctbal > 5000"""
+
+BANDS = """case PromotionName when 'Volume Discount 11 to 20' then 11 when 'Volume Discount 21 to 40' then 21
+    when 'Volume Discount 41 to 60' then 41 when 'Volume Discount > 60' then 61 else NULL end as VolumeStart,
+  case PromotionName when 'Volume Discount 11 to 20' then 20 when 'Volume Discount 21 to 40' then 40
+    when 'Volume Discount 41 to 60' then 60 when 'Volume Discount > 60' then 9999999 else NULL end as VolumeEnd"""
+
+PAYMENT_TYPES = """select CAST(row_number() over (order by PaymentTypeDesc) AS INTEGER) as PaymentTypeId, PaymentTypeDesc
+from (select distinct o_orderpriority as PaymentTypeDesc from orders where o_orderpriority is not null)"""
+
+VERTICALS = f"""select CAST(row_number() over (order by Vertical) AS BIGINT) as VerticalId, Vertical
+from (select distinct trim(Vertical) as Vertical from ({WORKERTABLE}) where trim(Vertical) is not null)"""
+
+SALES_FACT = _with(
+    sol=SALESORDERLINE, cur=CURRENCY, pt=PAYMENT_TYPES,
+    pr=f"select PromotionId, {BANDS}, ValidFrom, ValidTo, PromoPercentage from ({PROMOTABLE})",
+    j="""select S.*, C.CurrencyId, P.PaymentTypeId, PR.PromotionId, PR.PromoPercentage
+  from sol S left join cur C on S.CurrencyCode = C.Code
+  left join pt P on S.PaymentTypeDesc = P.PaymentTypeDesc
+  left join pr PR on case when month(S.BookDate) = 1 then S.BookDate between PR.ValidFrom and PR.ValidTo
+                          else S.Qty between PR.VolumeStart and PR.VolumeEnd end
+  where S.RecordId is not null""",
+    a="""select *, Qty * Price as TotalAmount from j""",
+    b="""select *, case when PromotionId is null then TotalAmount else TotalAmount * (1 - PromoPercentage) end
+  as TotalAmountWithDiscount from a""",
+    c="""select *, TotalAmountWithDiscount * VatPercentage as VatAmount from b""",
+) + f"""select SalesOrderNumber, SalesOrderLine,
+  {tsd('LastProcessedChange_DateTime')} as LastProcessedChange_DateTime,
+  {loc('DataLakeModified_DateTime')} as DataLakeModified_DateTime,
+  ItemId, Qty, Price, TotalAmount, TotalAmountWithDiscount, VatPercentage, VatAmount,
+  TotalAmountWithDiscount + VatAmount as TotalOrderAmount, CurrencyId,
+  {loc('BookDate')} as BookDate, {dk('BookDate')} as BookDateKey,
+  {loc('ShippedDate')} as ShippedDate, {dk('ShippedDate')} as ShippedDateKey,
+  {loc('DeliveredDate')} as DeliveredDate, {dk('DeliveredDate')} as DeliveredDateKey,
+  TrackingNumber, CustId, PaymentTypeId, PromotionId,
+  RecordId as SalesOrderLineRecordId, {xx64('RecordId')} as SalesOrderLineHashKey
+from c"""
+
+STD = f"""{tsd('LastProcessedChange_DateTime')} as LastProcessedChange_DateTime,
+  {loc('DataLakeModified_DateTime')} as DataLakeModified_DateTime"""
+
+DIM_COSTCENTER = f"""select trim(CostCenterNumber) as CostCenterNumber, {STD}, Vat,
+  RecordId as CostCenterRecordId, {xx64('RecordId')} as CostCenterHashKey
+from ({COSTCENTER}) where RecordId is not null"""
+
+DIM_CURRENCY = f"""select CurrencyId, trim(Code) as CurrencyCode, {STD}, trim(Country) as Country,
+  trim(CurrencyName) as CurrencyName, RecordId as CurrencyRecordId, {xx64('RecordId')} as CurrencyHashKey
+from ({CURRENCY}) where CurrencyId is not null"""
+
+DIM_CUSTOMER = f"""select CustomerId, {STD}, trim(CustomerName) as CustomerName, trim(Email) as Email,
+  trim(Phone) as Phone, trim(Address) as Address, trim(City) as City, trim(State) as State,
+  trim(Country) as Country, trim(ZipCode) as ZipCode, trim(Region) as Region,
+  {loc('SignupDate')} as SignupDate, RecordId as CustRecordId, {xx64('RecordId')} as CustHashKey
+from ({CUSTTABLE}) where RecordId is not null"""
+
+DIM_PROMOTION = f"""select PromotionId, {STD}, trim(PromotionName) as PromotionName,
+  trim(PromoCode) as PromoCode, trim(PromoType) as PromoType, PromoPercentage,
+  {loc('ValidFrom')} as ValidFrom, {loc('ValidTo')} as ValidTo, IsActive,
+  RecordId as PromoRecordId, {xx64('RecordId')} as PromoHashKey
+from ({PROMOTABLE}) where RecordId is not null"""
+
+DIM_VENDOR = f"""select VendId as VendorId, trim(VendorName) as VendorName,
+  {tsd('LastProcessedChange_DateTime')} as vendTableLastProcessedChange_DateTime,
+  {loc('DataLakeModified_DateTime')} as DataLakeModified_DateTime,
+  trim(Address) as Address, trim(City) as City, trim(State) as State, trim(Country) as Country,
+  trim(ZipCode) as ZipCode, trim(Region) as Region, {loc('ValidFrom')} as ValidFrom,
+  {loc('ValidTo')} as ValidTo, Active, RecordId as VendorRecordId, trim(TaxId) as TaxId,
+  trim(CurrencyCode) as CurrencyCode, {xx64('RecordId')} as VendorHashKey,
+  case when trim(Country) = 'US' then CAST(0.01 AS DOUBLE) else CAST(0.0 AS DOUBLE) end as VendorDiscount
+from ({VENDTABLE}) where VendId is not null"""
+
+DIM_PARTY = _with(p=f"select * from ({PARTIES}) where RecordId is not null", a=PARTYADDRESS) + f"""
+select p.PartyId, trim(p.PartyName) as PartyName,
+  {tsd('p.LastProcessedChange_DateTime')} as PartiesLastProcessedChange_DateTime,
+  {loc('p.DataLakeModified_DateTime')} as PartiesDataLakeModified_DateTime,
+  p.PartyAddressCode, {loc('p.EstablishedDate')} as EstablishedDate,
+  trim(p.PartyEmailId) as PartyEmailId, trim(p.PartyContactNumber) as PartyContactNumber,
+  p.RecordId as PartyRecordId, trim(p.TaxId) as TaxId, a.PartyNumber,
+  {tsd('a.LastProcessedChange_DateTime')} as PartyAddressLastProcessedChange_DateTime,
+  {loc('a.DataLakeModified_DateTime')} as PartyAddressDataLakeModified_DateTime,
+  trim(a.Address) as Address, trim(a.City) as City, trim(a.State) as State,
+  trim(a.Country) as Country, trim(a.ZipCode) as ZipCode, trim(a.Region) as Region,
+  {loc('a.ValidFrom')} as ValidFrom, {tsd('a.ValidTo')} as ValidTo,
+  a.RecordId as PartyAddressRecordId, {xx64('p.RecordId')} as PartyHashKey
+from p left join a on p.PartyId = a.PartyNumber"""
+
+DIM_WORKER = _with(w=f"select * from ({WORKERTABLE}) where RecordId is not null", v=VERTICALS) + f"""
+select WorkerID, {STD}, SupervisorId, trim(WorkerName) as WorkerName, trim(WorkerEmail) as WorkerEmail,
+  trim(Phone) as Phone, {loc('DOJ')} as DOJ, {loc('DOL')} as DOL, v.VerticalId, Type,
+  PayPerAnnum, Rate, RecordId as WorkerRecordId, {xx64('RecordId')} as WorkerHashKey
+from w left join v on trim(w.Vertical) = v.Vertical"""
+
+DIM_PAYMENT_TYPES = """with src as (
+  select o_orderpriority || ' ' || CAST(year(o_orderdate) AS VARCHAR) as PaymentTypeDesc, o_orderdate from orders),
+first as (
+  select CAST(row_number() over (order by PaymentTypeDesc) AS INTEGER) as PaymentTypeId, PaymentTypeDesc
+  from (select distinct PaymentTypeDesc from src
+        where o_orderdate < TIMESTAMP '1998-01-01' and PaymentTypeDesc is not null)),
+fresh as (
+  select PaymentTypeDesc from (select distinct PaymentTypeDesc from src where PaymentTypeDesc is not null)
+  where PaymentTypeDesc not in (select PaymentTypeDesc from first))
+select PaymentTypeId, PaymentTypeDesc from first
+union all
+select CAST(row_number() over (order by PaymentTypeDesc) + (select coalesce(max(PaymentTypeId), 0) from first)
+  AS INTEGER), PaymentTypeDesc from fresh"""
+
+CALENDAR = """select CAST(d AS TIMESTAMP) as Date from (
+  select unnest(generate_series(make_date(lo, 1, 1)::TIMESTAMP, make_date(hi, 12, 31)::TIMESTAMP, INTERVAL 1 DAY)) as d
+  from (select CAST(year(min(o_orderdate)) AS INTEGER) lo, CAST(year(max(o_orderdate)) AS INTEGER) hi from orders))"""
+
+FISCAL_COLS = ("FiscalStartDate, FiscalEndDate, FiscalMonth, FiscalYearStart, FiscalYearEnd, "
+               "FiscalQuarter, FiscalQuarterStart, FiscalQuarterEnd")
+
+DIM_DATE = _with(cal=CALENDAR, fp=f"select * from ({FISCALPERIOD}) where RecordId is not null") + f"""
+select Date, {dk('Date')} as DateId, CAST(year(Date) AS INTEGER) as Year, CAST(month(Date) AS INTEGER) as Month,
+  strftime(Date, '%b') as MonthName, CAST(day(Date) AS INTEGER) as Day, strftime(Date, '%a') as DayName,
+  CAST(quarter(Date) AS INTEGER) as Quarter, FiscalPeriodName, {FISCAL_COLS},
+  'FY' || CAST(FiscalYear AS VARCHAR) as FiscalYear, {xx32(dk('Date'))} as DateKey
+from cal left join fp on cal.Date >= fp.FiscalStartDate and cal.Date <= fp.FiscalEndDate"""
+
+FISCAL_RANGE_JOIN = _with(fp=FISCALPERIOD) + """
+select l_orderkey, l_linenumber, l_shipdate, FiscalPeriodName, FiscalStartDate, FiscalEndDate,
+  FiscalYear, FiscalQuarter, FiscalMonth
+from lineitem left join fp on l_shipdate >= fp.FiscalStartDate and l_shipdate <= fp.FiscalEndDate"""
+
 ORACLE: dict[str, str] = {
     "purchase_fact": PURCHASE_FACT,
+    "sales_fact": SALES_FACT,
+    "dim_costcenter": DIM_COSTCENTER,
+    "dim_currency": DIM_CURRENCY,
+    "dim_customer": DIM_CUSTOMER,
+    "dim_promotion": DIM_PROMOTION,
+    "dim_vendor": DIM_VENDOR,
+    "dim_party": DIM_PARTY,
+    "dim_vertical": VERTICALS,
+    "dim_worker": DIM_WORKER,
+    "dim_payment_types": DIM_PAYMENT_TYPES,
+    "dim_date": DIM_DATE,
+    "fiscal_range_join": FISCAL_RANGE_JOIN,
 }
+
+LINEITEM_COLS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                 "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+CONFORM_TIMESTAMPS = f"""select event_id,
+  {tsd("case when event_type = 'error' then NULL else ts end")} as LastProcessedChange_DateTime,
+  {loc('ts')} as LocalTime, CAST({loc('ts')} AS DATE) as LocalDate,
+  {dk('ts')} as EventDateKey, {dk(loc('ts'))} as LocalDateKey
+from events"""
+
+HASH_KEYS = f"""select o_orderkey, {xx64('o_orderkey')} as OrderHashKey, {dk('o_orderdate')} as OrderDateId,
+  {xx32(dk('o_orderdate'))} as OrderDateHashKey from orders"""
+
+DQ_RECORD_COUNTS = f"""select 'lineitem_to_factpurchaseorder' as "check", s as source_rows, t as target_rows, s = t as passed
+from (select (select count(*) from lineitem) as s,
+             (select count(*) from ({PURCHASEORDER}) where RecordId is not null) as t)"""
+
+DQ_DUPLICATES = """select l_orderkey, l_linenumber, count(*) as dup_count from lineitem
+group by l_orderkey, l_linenumber having count(*) > 1"""
+
+DQ_NULL_COUNTS = "select count(*) as total_rows, " + ", ".join(
+    f"count_if({c} is null) as null_{c}" for c in LINEITEM_COLS) + " from lineitem"
+
+
+def _key_validity(table: str, keys: list[str]) -> str:
+    k = ", ".join(keys)
+    anynull = " or ".join(f"{c} is null" for c in keys)
+    return f"""select CAST(sum(n) AS BIGINT) as total_rows,
+  CAST(sum(case when has_null = 1 then n else 0 end) AS BIGINT) as null_key_rows,
+  count_if(n > 1 and has_null = 0) as duplicate_keys, count_if(has_null = 0) as distinct_keys,
+  sum(case when has_null = 1 then n else 0 end) = 0 and count_if(n > 1 and has_null = 0) = 0 as passed,
+  '{table}' as table_name
+from (select {k}, count(*) as n, max(case when {anynull} then 1 else 0 end) as has_null
+      from {table} group by {k})"""
+
+
+DQ_KEY_VALIDITY = _key_validity("orders", ["o_orderkey"]) + "\nunion all\n" + _key_validity(
+    "lineitem", ["l_orderkey", "l_linenumber"])
+
+
+def _orphans(name: str, fact: str, fk: str, dim: str, dk_: str) -> str:
+    return (f"select '{name}' as \"check\", count(*) as orphan_rows from {fact} f where f.{fk} is not null "
+            f"and not exists (select 1 from {dim} d where d.{dk_} = f.{fk})")
+
+
+DQ_ORPHANS = "\nunion all\n".join([
+    _orphans("lineitem.l_orderkey->orders", "lineitem", "l_orderkey", "orders", "o_orderkey"),
+    _orphans("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
+    _orphans("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
+    _orphans("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
+])
+
+DQ_QUARANTINE = """select l_orderkey, l_linenumber, l_quantity, l_discount from lineitem
+where not coalesce(l_discount <= CAST(0.08 AS DOUBLE) and l_quantity > 0, false)"""
+
+ORDERS_COLS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
+
+DQ_KEEP_LATEST = f"""select {ORDERS_COLS} from (select *, row_number() over
+  (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as rn from orders) where rn = 1"""
+
+
+def _rule(name, table, kind, failed, total, src):
+    return (f"select '{name}' as rule, '{table}' as table_name, '{kind}' as kind, "
+            f"CAST({failed} AS BIGINT) as failed_rows, CAST({total} AS BIGINT) as total_rows, "
+            f"CAST({failed} AS BIGINT) = 0 as passed from {src}")
+
+
+_DUP = "coalesce(sum(case when n > 1 then n end), 0)"
+DQ_RULES = "\nunion all\n".join([
+    _rule("orders_key_not_null", "orders", "not_null", "count_if(o_orderkey is null)", "count(*)", "orders"),
+    _rule("orders_key_unique", "orders", "unique", _DUP, "coalesce(sum(n), 0)",
+          "(select o_orderkey, count(*) as n from orders group by o_orderkey)"),
+    _rule("lineitem_key_unique", "lineitem", "unique", _DUP, "coalesce(sum(n), 0)",
+          "(select l_orderkey, l_linenumber, count(*) as n from lineitem group by l_orderkey, l_linenumber)"),
+    _rule("lineitem_discount_range", "lineitem", "valid",
+          "count_if(not coalesce(l_discount between 0 and 0.1, false))", "count(*)", "lineitem"),
+    _rule("lineitem_order_fk", "lineitem", "foreign_key",
+          "count_if(l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey))",
+          "count(*)", "lineitem l"),
+    _rule("customer_not_empty", "customer", "row_count",
+          "case when count(*) < 1 then 1 else 0 end", "count(*)", "customer"),
+])
+
+NET_REV = "CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))"
+
+MART_REVENUE_ROLLUP = f"""select CAST(year(o_orderdate) AS INTEGER) as order_year,
+  CAST(quarter(o_orderdate) AS INTEGER) as order_quarter,
+  CAST(sum({NET_REV}) AS DOUBLE) as net_revenue, count(*) as line_count,
+  grouping(CAST(year(o_orderdate) AS INTEGER), CAST(quarter(o_orderdate) AS INTEGER)) as grouping_level
+from lineitem join orders on l_orderkey = o_orderkey
+group by rollup (CAST(year(o_orderdate) AS INTEGER), CAST(quarter(o_orderdate) AS INTEGER))"""
+
+MART_VENDOR_PERFORMANCE = f"""select s_suppkey, s_name, n_name, CAST(year(l_shipdate) AS INTEGER) as ship_year,
+  count(*) as line_count,
+  CAST(sum(CAST(l_quantity AS DECIMAL(15,2))) AS DOUBLE) as total_qty,
+  CAST(sum({NET_REV}) AS DOUBLE) as net_revenue,
+  CAST(sum(CAST(l_discount AS DECIMAL(15,2))) AS DOUBLE) / count(*) as avg_discount,
+  CAST(count_if(l_returnflag = 'R') AS DOUBLE) / count(*) as return_rate
+from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey
+group by s_suppkey, s_name, n_name, CAST(year(l_shipdate) AS INTEGER)"""
+
+MART_TOP_CUSTOMERS = f"""with pc as (select o_custkey, sum({NET_REV}) as rev, count(distinct o_orderkey) as order_count
+  from lineitem join orders on l_orderkey = o_orderkey group by o_custkey),
+top as (select * from pc order by rev desc, o_custkey asc limit 20)
+select o_custkey as customer_key, c_name, c_mktsegment, CAST(rev AS DOUBLE) as net_revenue, order_count
+from top left join customer on o_custkey = c_custkey"""
+
+EV = "select event_id, ts, user_id, event_type, value from events"
+
+
+def _latest(where: str) -> str:
+    return (f"select event_id, ts, user_id, event_type, value from (select *, row_number() over "
+            f"(partition by user_id order by ts desc, event_id desc) as rn from ({EV}) {where}) where rn = 1")
+
+
+HISTORY_SCD2 = """with p as (select user_id, ts, event_id, event_type,
+    lag(event_type) over (partition by user_id order by ts, event_id) as pt,
+    lag(1) over (partition by user_id order by ts, event_id) as hp from events),
+s as (select user_id, ts, event_id, event_type from p where hp is null or pt is distinct from event_type)
+select user_id, event_type, ts as ValidFrom,
+  lead(ts) over (partition by user_id order by ts, event_id) as ValidTo,
+  lead(ts) over (partition by user_id order by ts, event_id) is null as IsCurrent
+from s"""
+
+CUT = "TIMESTAMP '2024-01-15 00:00:00'"
+
+HISTORY_SNAPSHOT_CHANGES = _with(b=_latest(f"where ts < {CUT}"), a=_latest("")) + """
+select coalesce(b.user_id, a.user_id) as user_id,
+  case when a.user_id is null then 'delete' when b.user_id is null then 'insert' else 'update' end as change
+from b full outer join a on b.user_id = a.user_id
+where a.user_id is null or b.user_id is null
+   or a.event_type is distinct from b.event_type or a.value is distinct from b.value"""
+
+HISTORY_UPSERT = _with(tgt=_latest(f"where ts < {CUT}"), upd=_latest(f"where ts >= {CUT}")) + """
+select * from upd union all select * from tgt where user_id not in (select user_id from upd)"""
+
+INCREMENTAL_WATERMARK = _latest("where ts > TIMESTAMP '2024-01-20 00:00:00'")
+
+ORACLE.update({
+    "conform_timestamps": CONFORM_TIMESTAMPS,
+    "hash_keys": HASH_KEYS,
+    "dq_record_counts": DQ_RECORD_COUNTS,
+    "dq_duplicates": DQ_DUPLICATES,
+    "dq_null_counts": DQ_NULL_COUNTS,
+    "dq_key_validity": DQ_KEY_VALIDITY,
+    "dq_orphans": DQ_ORPHANS,
+    "dq_quarantine": DQ_QUARANTINE,
+    "dq_keep_latest": DQ_KEEP_LATEST,
+    "dq_rules": DQ_RULES,
+    "mart_revenue_rollup": MART_REVENUE_ROLLUP,
+    "mart_vendor_performance": MART_VENDOR_PERFORMANCE,
+    "mart_top_customers": MART_TOP_CUSTOMERS,
+    "history_scd2": HISTORY_SCD2,
+    "history_snapshot_changes": HISTORY_SNAPSHOT_CHANGES,
+    "history_upsert": HISTORY_UPSERT,
+    "incremental_watermark": INCREMENTAL_WATERMARK,
+})

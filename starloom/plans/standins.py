@@ -226,3 +226,80 @@ def workertable(t: Tables) -> DataFrame:
         (F.col("c_acctbal") / 2080).alias("Rate"),
         F.col("c_custkey").alias("RecordId"),
     )
+
+
+def payment_terms(t: Tables) -> DataFrame:
+    """Payment terms versioned by order year, with the order date, for the
+    incremental-key run (first load: orders before 1998, then all orders)."""
+    return t.orders.select(
+        F.concat(F.col("o_orderpriority"), F.lit(" "), F.year("o_orderdate").cast("string"))
+         .alias("PaymentTypeDesc"),
+        F.col("o_orderdate"))
+
+
+def custtable(t: Tables) -> DataFrame:
+    c = t.customer
+    return c.select(
+        F.col("c_custkey").alias("CustomerId"),
+        F.when(F.col("c_acctbal") < 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(_ntz("2024-11-03 06:30:00")).alias("LastProcessedChange_DateTime"),
+        _ntz("2024-01-01 02:00:00").alias("DataLakeModified_DateTime"),
+        F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")).alias("CustomerName"),
+        F.concat(F.lower(F.col("c_name")), F.lit("@mail.example")).alias("Email"),
+        F.lit(" 555-0199").alias("Phone"),
+        F.concat(F.lit("Road "), F.col("c_custkey").cast("string"), F.lit(" ")).alias("Address"),
+        F.lit("Town").alias("City"), F.lit(" TX ").alias("State"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("Country"),
+        F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("ZipCode"),
+        F.concat(F.lit(" "), F.col("c_mktsegment")).alias("Region"),
+        (_ntz("2020-01-01 00:00:00") + F.expr("make_dt_interval(0, 0, 0, c_custkey * 3600)"))
+        .alias("SignupDate"),
+        F.col("c_custkey").alias("RecordId"),
+    )
+
+
+def parties(t: Tables) -> DataFrame:
+    s = t.supplier
+    return s.select(
+        (F.col("s_suppkey") * 20).alias("PartyId"),
+        F.concat(F.lit(" "), F.col("s_name")).alias("PartyName"),
+        F.lit(None).cast("timestamp_ntz").alias("LastProcessedChange_DateTime"),
+        _ntz("2024-03-10 08:00:00").alias("DataLakeModified_DateTime"),
+        F.col("s_nationkey").alias("PartyAddressCode"),
+        _ntz("2010-07-01 02:00:00").alias("EstablishedDate"),
+        F.concat(F.lit(" party"), F.col("s_suppkey").cast("string"), F.lit("@mail.example")).alias("PartyEmailId"),
+        F.lit("555-0000 ").alias("PartyContactNumber"),
+        F.concat(F.lit("TX"), F.col("s_suppkey").cast("string")).alias("TaxId"),
+        F.col("s_suppkey").alias("RecordId"),
+    )
+
+
+def partyaddress(t: Tables) -> DataFrame:
+    """Each customer key is a party number with a main address; customers
+    with a large balance add a billing address (two rows)."""
+    c = t.customer
+    main = c.select(
+        F.col("c_custkey").alias("PartyNumber"),
+        F.lit(None).cast("timestamp_ntz").alias("LastProcessedChange_DateTime"),
+        _ntz("2024-01-01 02:00:00").alias("DataLakeModified_DateTime"),
+        F.concat(F.lit(" Main "), F.col("c_custkey").cast("string")).alias("Address"),
+        F.lit(" City").alias("City"), F.lit("ST").alias("State"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("Country"),
+        F.lit("00000").alias("ZipCode"), F.lit("R").alias("Region"),
+        _ntz("2019-01-01 00:00:00").alias("ValidFrom"),
+        F.lit(None).cast("timestamp_ntz").alias("ValidTo"),
+        (F.col("c_custkey") * 2).alias("RecordId"),
+    )
+    bill = c.filter(F.col("c_acctbal") > 5000).select(
+        F.col("c_custkey").alias("PartyNumber"),
+        _ntz("2024-07-04 12:00:00").alias("LastProcessedChange_DateTime"),
+        _ntz("2024-07-04 12:00:00").alias("DataLakeModified_DateTime"),
+        F.concat(F.lit(" Billing "), F.col("c_custkey").cast("string")).alias("Address"),
+        F.lit(" City").alias("City"), F.lit("ST").alias("State"),
+        F.concat(F.lit("NATION_"), F.col("c_nationkey").cast("string")).alias("Country"),
+        F.lit("11111").alias("ZipCode"), F.lit("R").alias("Region"),
+        _ntz("2022-01-01 00:00:00").alias("ValidFrom"),
+        _ntz("2030-01-01 00:00:00").alias("ValidTo"),
+        (F.col("c_custkey") * 2 + 1).alias("RecordId"),
+    )
+    return main.unionByName(bill)
