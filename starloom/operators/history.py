@@ -30,7 +30,7 @@ def neighbor_in_key(df: DataFrame, keys: list[str], order: list[str], cols: list
         raise ValueError(direction)
     prefix = prefix if prefix is not None else f"{direction}_"
     spark = df.sparkSession
-    checkpoint_dir(spark, default=_default_ckpt(spark))
+    checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     sort_cols = [F.col(c).asc_nulls_first() for c in keys + order]
     parts = (df.repartitionByRange(n, *sort_cols).sortWithinPartitions(*sort_cols)
@@ -70,11 +70,6 @@ def neighbor_in_key(df: DataFrame, keys: list[str], order: list[str], cols: list
     return inner.unionByName(edges).drop("__pid", "__edge")
 
 
-def _default_ckpt(spark) -> str:
-    wh = spark.conf.get("spark.sql.warehouse.dir")
-    return wh.rstrip("/") + "/_checkpoints"
-
-
 def scd2(changes: DataFrame, keys: list[str], ts: str, tracked: list[str],
          tiebreak: list[str] | None = None) -> DataFrame:
     """Validity intervals from a change feed.

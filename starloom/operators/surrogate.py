@@ -54,7 +54,7 @@ def dense_number(df: DataFrame, order_col: str, id_col: str, offset: int = 0,
         w = Window.orderBy(F.col(order_col).asc_nulls_first())
         return df.withColumn(id_col, F.row_number().over(w) + F.lit(offset))
     spark = df.sparkSession
-    checkpoint_dir(spark)  # raises when the cluster names no shared folder
+    checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     parts = (df.repartitionByRange(n, F.col(order_col).asc_nulls_first())
                .sortWithinPartitions(F.col(order_col).asc_nulls_first())

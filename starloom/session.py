@@ -49,18 +49,17 @@ def apply_runtime_conf(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
     """The shared checkpoint folder the cluster names in spark.checkpoint.dir.
 
-    Only when it is unset (tests, local runs) is ``default`` installed.
-    Raises if neither is available: a machine-local temp folder is never
-    a safe place to cut lineage on a cluster.
+    Only when it is unset (tests, local runs) is ``default`` installed; with
+    no default, a ``_checkpoints`` folder under the SQL warehouse directory
+    (shared storage on a cluster, like the tables themselves) is used. A
+    machine-local temp folder is never chosen here.
     """
     sc = spark.sparkContext
     d = (spark.conf.get("spark.checkpoint.dir", None)
          or sc.getConf().get("spark.checkpoint.dir", None)
          or sc.getCheckpointDir())
     if not d:
-        if default is None:
-            raise RuntimeError("spark.checkpoint.dir is not set; configure a shared folder")
-        d = default
+        d = default or (spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
