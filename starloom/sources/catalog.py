@@ -57,7 +57,11 @@ class Catalog:
         return self.spark.catalog.tableExists(self.name(schema, table))
 
     def read(self, schema: str, table: str) -> DataFrame:
-        return self.spark.table(self.name(schema, table))
+        """Current content; the cached file listing is refreshed first because
+        other sessions (e.g. a stream's micro-batches) may have written."""
+        n = self.name(schema, table)
+        self.spark.catalog.refreshTable(n)
+        return self.spark.table(n)
 
     def list_tables(self, schema: str) -> list[str]:
         db = f"{self.catalog}.{schema.lower()}" if self.catalog else schema.lower()
