@@ -67,8 +67,13 @@ def change_hash(*cols: str | Column) -> Column:
 
 
 def date_key(c: str | Column) -> Column:
-    """INT yyyyMMdd key of a date or timestamp."""
-    return F.date_format(_c(c), DATE_KEY_FORMAT).cast("int")
+    """INT yyyyMMdd key of a date or timestamp.
+
+    Same value as date_format(c, 'yyyyMMdd') cast to INT for years 1..9999,
+    computed with integer arithmetic instead of formatting and parsing text.
+    """
+    c = _c(c)
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("int")
 
 
 def audit_ts(as_of: _dt.datetime | None = None) -> Column:

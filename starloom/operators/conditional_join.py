@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import BROADCAST_MAX_ROWS, at_most
+from starloom.operators.sizing import BROADCAST_MAX_ROWS
 
 # Fixed values (must equal the source rules): promotion name -> volume band.
 #   'Volume Discount 11 to 20' -> 11 .. 20
@@ -100,17 +100,21 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
     yields two rows, as in the source.
     """
     s, e = F.to_date(F.col(valid_from)), F.to_date(F.col(valid_to))
-    spans = promos.filter(F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull()
-                          & (F.col(valid_from) <= F.col(valid_to))).agg(
-        F.coalesce(F.sum(F.datediff(e, s) + 1), F.lit(0)).alias("d")).first()
-    unit = "day" if int(spans["d"]) <= max_rows else "year"
+    valid = F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to))
+    # one pass over the promotions bounds both key sets (day keys, year keys, band keys)
+    b = promos.agg(
+        F.coalesce(F.sum(F.when(valid, F.datediff(e, s) + 1)), F.lit(0)).alias("d"),
+        F.coalesce(F.sum(F.when(valid, F.year(e) - F.year(s) + 1)), F.lit(0)).alias("y"),
+        F.count_if(F.col("VolumeStart").isNotNull()).alias("q")).first()
+    unit = "day" if int(b["d"]) + int(b["q"]) <= max_rows else "year"
+    bound = (int(b["d"]) if unit == "day" else int(b["y"])) + int(b["q"])
 
     wk = _window_keys(promos, valid_from, valid_to, month, unit)
     bk = (promos.filter(F.col("VolumeStart").isNotNull())
           .withColumn("__kind", F.lit(1))
           .withColumn("__key", F.col("VolumeStart").cast("long")))
     keyed = wk.unionByName(bk)
-    if at_most(keyed, max_rows):
+    if bound <= max_rows:
         keyed = F.broadcast(keyed)
 
     d, q = F.col(date_col), F.col(qty_col)

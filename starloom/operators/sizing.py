@@ -25,6 +25,23 @@ def at_most(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
+def small_flags(dfs: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
+    """``at_most`` for several frames in one job (a union of bounded limits)."""
+    if not dfs:
+        return []
+    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("__i")) for i, df in enumerate(dfs)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    counts = {r["__i"]: r["n"] for r in u.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+
+
+def broadcast_all_if_small(*dfs: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> list[DataFrame]:
+    """Each frame with a broadcast hint when proven small; one job for all."""
+    return [F.broadcast(d) if ok else d for d, ok in zip(dfs, small_flags(list(dfs), max_rows))]
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
     """Return (df with a broadcast hint, True) when proven small, else (df, False)."""
     if at_most(df, max_rows):

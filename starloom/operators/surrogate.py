@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import at_most, broadcast_if_small
+from starloom.operators.sizing import BROADCAST_MAX_ROWS, at_most, broadcast_if_small
 from starloom.session import checkpoint_dir
 
 SINGLE_TASK_MAX_ROWS = 1_000_000
@@ -34,16 +34,27 @@ def distinct_members(source: DataFrame, member: str, keep_null: bool = False,
     return m if keep_null else m.filter(F.col(member).isNotNull())
 
 
-def new_members(members: DataFrame, existing: DataFrame, member: str) -> DataFrame:
+def new_members(members: DataFrame, existing: DataFrame, member: str,
+                small: bool | None = None) -> DataFrame:
     """Members not already in ``existing`` (null-safe), given distinct members."""
     ex = existing.select(F.col(member).alias("__ex")).distinct()
-    ex, _ = broadcast_if_small(ex)
+    if small is None:
+        ex, _ = broadcast_if_small(ex)
+    elif small:
+        ex = F.broadcast(ex)
     return members.join(ex, F.col(member).eqNullSafe(F.col("__ex")), "left_anti")
 
 
+def existing_stats(existing: DataFrame, id_col: str) -> tuple[int, int]:
+    """(ifnull(max(id), 0), row count) of the target in one aggregate: two
+    scalars to the driver, never the rows."""
+    r = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m"), F.count(F.lit(1)).alias("n")).first()
+    return int(r["m"]), int(r["n"])
+
+
 def max_id(existing: DataFrame, id_col: str) -> int:
     """ifnull(max(id), 0) as a driver scalar (one value, not data)."""
-    return int(existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"])
+    return existing_stats(existing, id_col)[0]
 
 
 def dense_number(df: DataFrame, order_col: str, id_col: str, offset: int = 0,
@@ -76,8 +87,8 @@ def incremental_keys(source: DataFrame, existing: DataFrame, member: str, id_col
                      id_type: str = "int") -> DataFrame:
     """Rows to append to an insert-only dimension: (id_col, member)."""
     members = distinct_members(source, member, keep_null=keep_null, trim=trim)
-    fresh = new_members(members, existing, member)
-    base = max_id(existing, id_col)
+    base, n_existing = existing_stats(existing, id_col)
+    fresh = new_members(members, existing, member, small=n_existing <= BROADCAST_MAX_ROWS)
     out = dense_number(fresh, member, id_col, offset=base)
     return out.select(F.col(id_col).cast(id_type).alias(id_col), F.col(member))
 

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from starloom.functions.conform import (audit_ts, date_key, hash_key, to_local,
                                         trimmed, ts_default)
 from starloom.operators.conditional_join import promotion_join, with_volume_bands
-from starloom.operators.sizing import broadcast_if_small
+from starloom.operators.sizing import broadcast_all_if_small
 
 
 def purchase_fact(po: DataFrame, dimcostcenter: DataFrame, dimcurrency: DataFrame,
@@ -34,8 +34,7 @@ def purchase_fact(po: DataFrame, dimcostcenter: DataFrame, dimcurrency: DataFram
     key = trimmed if trim_keys else (lambda c: F.col(c))
     cc = dimcostcenter.select(key("CostCenterNumber").alias("__cc"), F.col("Vat").alias("__vat"))
     cur = dimcurrency.select(F.col("CurrencyCode").alias("__cur"), F.col("CurrencyId").alias("__curid"))
-    cc, _ = broadcast_if_small(cc)
-    cur, _ = broadcast_if_small(cur)
+    cc, cur = broadcast_all_if_small(cc, cur)
     j = (po.join(cc, key("CostCenter") == F.col("__cc"), "left")
            .join(cur, key("CurrencyCode") == F.col("__cur"), "left"))
     total = F.col("TotalOrder")
@@ -94,8 +93,7 @@ def sales_fact(sol: DataFrame, currency: DataFrame, dimpaymenttypes: DataFrame,
     cur = currency.select(code.alias("__code"), F.col("CurrencyId").alias("__curid"))
     pay = dimpaymenttypes.select(F.col("PaymentTypeDesc").alias("__ptd"),
                                  F.col("PaymentTypeId").alias("__ptid"))
-    cur, _ = broadcast_if_small(cur)
-    pay, _ = broadcast_if_small(pay)
+    cur, pay = broadcast_all_if_small(cur, pay)
     scode = F.trim(F.col("CurrencyCode")) if trim_currency else F.col("CurrencyCode")
     j = (sol.join(cur, scode == F.col("__code"), "left")
             .join(pay, F.col("PaymentTypeDesc") == F.col("__ptd"), "left"))

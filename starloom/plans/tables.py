@@ -11,16 +11,19 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
 class Tables:
     """Lazy name -> DataFrame map over ``<sf_dir>/<name>.parquet``.
 
-    Each access builds a fresh scan so Catalyst prunes columns and pushes
-    filters per use.
+    One relation per table is reused (the footer/schema is read once);
+    Catalyst still prunes columns and pushes filters separately per use.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
