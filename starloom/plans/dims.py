@@ -1,4 +1,4 @@
-"""Silver dimensions, declared as specs instead of one notebook each.
+"""Silver dimensions, declared as data-only specs rather than one script each.
 
 Standard rules applied by ``build_dim``: drop rows with a NULL key, trim
 text columns, default a NULL LastProcessedChange_DateTime to 1900-01-01,
