@@ -291,7 +291,29 @@ select l_orderkey, l_linenumber, l_shipdate, FiscalPeriodName, FiscalStartDate,
   FiscalYear, FiscalQuarter, FiscalMonth
 from lineitem left join fp on l_shipdate >= fp.FiscalStartDate and l_shipdate <= fp.FiscalEndDate"""
 
+MART_SALES_BY_FISCAL_PERIOD = _with(f=SALES_FACT, d=DIM_DATE) + """
+select FiscalYear, FiscalQuarter, CAST(sum(lines) AS BIGINT) as line_count, sum(qty) as total_qty,
+  CAST(sum(amount) AS DOUBLE) as net_sales, CAST(sum(promoted) AS BIGINT) as promoted_lines,
+  grouping(FiscalYear, FiscalQuarter) as grouping_level
+from (select BookDateKey, count(*) as lines, sum(Qty) as qty,
+             sum(CAST(TotalOrderAmount AS DECIMAL(38,10))) as amount, count(PromotionId) as promoted
+      from f group by BookDateKey) p
+left join d on p.BookDateKey = d.DateId
+group by rollup (FiscalYear, FiscalQuarter)"""
+
+MART_PURCHASES_BY_VENDOR_COUNTRY = _with(f=PURCHASE_FACT, v=DIM_VENDOR) + """
+select Country, VendorDiscount, count(distinct VendorKey) as vendors, CAST(sum(lines) AS BIGINT) as line_count,
+  CAST(sum(spend) AS DOUBLE) as spend, CAST(sum(spend_with_vat) AS DOUBLE) as spend_with_vat,
+  CAST(sum(spend) AS DOUBLE) * VendorDiscount as discount_value
+from (select VendorKey, count(*) as lines, sum(CAST(TotalOrder AS DECIMAL(38,10))) as spend,
+             sum(CAST(TotalAmount AS DECIMAL(38,10))) as spend_with_vat
+      from f group by VendorKey) p
+left join v on p.VendorKey = v.VendorId
+group by Country, VendorDiscount"""
+
 ORACLE: dict[str, str] = {
+    "mart_sales_by_fiscal_period": MART_SALES_BY_FISCAL_PERIOD,
+    "mart_purchases_by_vendor_country": MART_PURCHASES_BY_VENDOR_COUNTRY,
     "purchase_fact": PURCHASE_FACT,
     "sales_fact": SALES_FACT,
     "dim_costcenter": DIM_COSTCENTER,

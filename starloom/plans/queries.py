@@ -20,6 +20,7 @@ from starloom.operators.range_join import interval_join
 from starloom.operators.surrogate import dimension_after
 from starloom.plans import standins as si
 from starloom.plans.dims import SPECS, build_dim, dim_date, dim_party, dim_worker
+from starloom.plans import gold as G
 from starloom.plans import marts as M
 from starloom.plans.facts import purchase_fact, sales_fact
 from starloom.plans.tables import Tables
@@ -280,6 +281,22 @@ def q_incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return H.incremental_after(_events(spark, sf_dir), "ts", WATERMARK, ["user_id"], ["ts", "event_id"])
 
 
+def q_mart_sales_by_fiscal_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold: the sales fact joined to the date dimension, rolled up by fiscal period."""
+    return G.sales_by_fiscal_period(q_sales_fact(spark, sf_dir), q_dim_date(spark, sf_dir))
+
+
+def q_mart_purchases_by_vendor_country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold: the purchase fact joined to the vendor dimension, by vendor country."""
+    return G.purchases_by_vendor_country(q_purchase_fact(spark, sf_dir), q_dim_vendor(spark, sf_dir))
+
+
+QUERIES.update({
+    "mart_sales_by_fiscal_period": q_mart_sales_by_fiscal_period,
+    "mart_purchases_by_vendor_country": q_mart_purchases_by_vendor_country,
+})
+
+
 QUERIES.update({
     "conform_timestamps": q_conform_timestamps,
     "hash_keys": q_hash_keys,

@@ -59,3 +59,23 @@ def test_raw_paths_and_external_table(spark, cat, scratch):
     assert read_raw(spark, p).count() == 1
     cat.register_external("t_cat", "cc_ext", p)
     assert cat.read("t_cat", "cc_ext").first().CostCenterNumber == "CC1"
+
+
+def test_clustered_layout_prunes(spark, scratch):
+    from pyspark.sql import functions as F
+
+    from starloom.sources.catalog import write_clustered
+    df = spark.range(0, 5000).select(
+        F.when(F.col("id") < 2000, F.lit(2024)).otherwise(F.lit(2020) + F.col("id") % 3).alias("year"),
+        F.col("id").alias("k"))
+    p = f"{scratch}/layout/facts"
+    write_clustered(df, p, ["year"], ["k"], files=6)
+    back = spark.read.parquet(p)
+    assert back.count() == 5000
+    q = back.filter((F.col("year") == 2024) & (F.col("k") < 10))
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan and "PushedFilters" in plan
+    assert q.count() == 10
+    # the hot year (40% of rows) is written by several tasks, not one
+    import glob
+    assert len(glob.glob(f"{p}/year=2024/*.parquet")) > 1

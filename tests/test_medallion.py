@@ -132,3 +132,18 @@ def test_vertical_survives_source_delete(medallion):
     assert run_verticals(cat) == 0
     v = {r.Vertical: r.VerticalId for r in cat.read("silver", "dimvertical").collect()}
     assert v["Ops"] == 3 and cat.read("bronze", "workertable").filter("Vertical = 'Ops'").count() == 0
+
+
+def test_gold_marts(medallion):
+    from starloom.plans.gold import build_gold
+    cat = medallion[0]
+    assert build_gold(cat) == ["sales_by_fiscal_period", "purchases_by_vendor_country"]
+    g = cat.read("gold", "sales_by_fiscal_period").collect()
+    total = [r for r in g if r.grouping_level == 3][0]
+    fact = cat.read("silver", "factsalesorderline")
+    assert total.line_count == fact.count()
+    by_year = {r.FiscalYear: r.line_count for r in g if r.grouping_level == 1}
+    # January and NULL-date lines: P1 covers January 2024; March has no period
+    assert by_year["FY2024"] == 5 and by_year[None] == 5
+    v = {(r.Country, r.VendorDiscount): r for r in cat.read("gold", "purchases_by_vendor_country").collect()}
+    assert v[("US", 0.01)].line_count == 3 and v[("US", 0.01)].spend == 300.0
