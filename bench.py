@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import functions as F  # noqa: E402
 
-from starloom.operators.conditional_join import promotion_join_nested  # noqa: E402
+from starloom.operators.conditional_join import promotion_join, promotion_join_nested  # noqa: E402
 from starloom.operators.range_join import interval_join, interval_join_nested  # noqa: E402
 from starloom.operators.surrogate import dense_number  # noqa: E402
 from starloom.plans import standins as si  # noqa: E402
@@ -32,6 +32,19 @@ HEADLINE = ["purchase_fact", "sales_fact", "dim_date", "fiscal_range_join", "dim
             "mart_vendor_performance", "history_scd2", "incremental_watermark"]
 
 
+def _supplier_promos(t: Tables):
+    """One promotion per supplier: four volume bands, the rest 4-day
+    January windows spread over the order years."""
+    from starloom.operators.conditional_join import VOLUME_BANDS
+    k = F.col("s_suppkey")
+    name = F.when(k < 4, F.element_at(F.array(*[F.lit(b[0]) for b in VOLUME_BANDS]), (k + 1).cast("int")))
+    name = name.otherwise(F.lit("Seasonal"))
+    vf = F.make_date((F.lit(1995) + k % 7).cast("int"), F.lit(1), (k % 28 + 1).cast("int")).cast("timestamp_ntz")
+    return t.supplier.select(k.alias("PromotionId"), name.alias("PromotionName"), vf.alias("ValidFrom"),
+                             (vf + F.expr("make_dt_interval(3, 0, 0, 0)")).alias("ValidTo"),
+                             ((k % 30 + 1).cast("double") / 100).alias("PromoPercentage"))
+
+
 def _force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -57,21 +70,25 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark, default=tempfile.mkdtemp(prefix="starloom-bench-ckpt-"))
 
+    mode = os.environ.get("BENCH_VARIANTS", "1")  # 1: both, 0: headline only, only: variants only
     queries = {}
-    for name in only or HEADLINE:
+    for name in ([] if mode == "only" else (only or HEADLINE)):
         queries[name] = _time(lambda n=name: _force(QUERIES[n](spark, sf_dir)), runs)
 
     variants = {}
-    if not only:
+    if (not only and mode != "0") or mode == "only":
         t = Tables(spark, sf_dir)
-        # sales-fact promotion matching: literal CASE join (nested loop) vs keyed join
-        sol = si.salesorderline(t)
-        promos = promotions_view(si.promotable(t))
-        variants["promo_case_nested_loop"] = _time(
-            lambda: _force(promotion_join_nested(sol, promos, valid_from="PR_ValidFrom",
-                                                 valid_to="PR_ValidTo")), runs)
-        variants["promo_keyed_join"] = _time(
-            lambda: _force(QUERIES["sales_fact"](spark, sf_dir)), 1)
+        # sales-fact promotion matching: literal CASE join (nested loop) vs keyed
+        # join, same inputs, with the 25 nation promotions and with one
+        # promotion per supplier (1,000 at sf0.1)
+        sol = si.salesorderline(t).select("RecordId", "BookDate", "Qty")
+        for label, src in (("25", si.promotable(t)), ("suppliers", _supplier_promos(t))):
+            promos = promotions_view(src)
+            kw = dict(valid_from="PR_ValidFrom", valid_to="PR_ValidTo")
+            variants[f"promo_{label}_case_nested_loop"] = _time(
+                lambda p=promos: _force(promotion_join_nested(sol, p, **kw)), runs)
+            variants[f"promo_{label}_keyed_join"] = _time(
+                lambda p=promos: _force(promotion_join(sol, p, **kw)), runs)
         # range join: literal non-equi vs bucketed equi join, lines x fiscal months
         li = t.lineitem.select("l_orderkey", "l_linenumber", "l_shipdate")
         fp = si.fiscalperiod(t).select("FiscalPeriodName", "FiscalStartDate", "FiscalEndDate")
