@@ -79,3 +79,19 @@ def test_clustered_layout_prunes(spark, scratch):
     # the hot year (40% of rows) is written by several tasks, not one
     import glob
     assert len(glob.glob(f"{p}/year=2024/*.parquet")) > 1
+
+
+def test_bucketed_tables_join_without_shuffle(spark, cat):
+    from pyspark.sql import functions as F
+    lines = spark.range(0, 4000).select((F.col("id") % 1000).alias("o_key"), F.col("id").alias("line"))
+    heads = spark.range(0, 1000).select(F.col("id").alias("o_key"), (F.col("id") % 7).alias("prio"))
+    cat.overwrite_bucketed(lines, "t_cat", "lines_b", 8, ["o_key"])
+    cat.overwrite_bucketed(heads, "t_cat", "heads_b", 8, ["o_key"])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = cat.read("t_cat", "lines_b").join(cat.read("t_cat", "heads_b"), "o_key")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert j.count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
