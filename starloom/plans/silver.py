@@ -6,34 +6,43 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
+
 from starloom.plans.dims import (SPECS, build_dim, dim_date, dim_party, dim_worker,
                                  new_payment_types, new_verticals)
 from starloom.operators.calendar import calendar
-from starloom.plans.facts import purchase_fact, sales_fact
-from starloom.sources.catalog import Catalog
+from starloom.plans.facts import promotions_view, purchase_fact, sales_fact
+from starloom.sources.catalog import Catalog, temp_view
 
 SILVER = "silver"
 BRONZE = "bronze"
 
 
+def _counted(df, name: str):
+    """``df`` plus an Observation counting its rows during the write itself
+    (one pass: the new members are not computed twice)."""
+    obs = Observation(name)
+    return df.observe(obs, F.count(F.lit(1)).alias("n")), obs
+
+
 def run_payment_types(cat: Catalog, keep_null: bool = False) -> int:
     """Insert-only load of dimpaymenttypes; returns rows appended."""
     cat.create_if_absent(SILVER, "dimpaymenttypes", "PaymentTypeId INT, PaymentTypeDesc STRING")
     new = new_payment_types(cat.read(BRONZE, "salesorderline"), cat.read(SILVER, "dimpaymenttypes"),
                             keep_null=keep_null)
-    n = new.count()
-    if n:
-        cat.append(new, SILVER, "dimpaymenttypes")
-    return n
+    new, obs = _counted(new, "dimpaymenttypes_new")
+    cat.append(new, SILVER, "dimpaymenttypes")
+    return int(obs.get["n"])
 
 
 def run_verticals(cat: Catalog) -> int:
+    """Insert-only load of dimvertical; returns rows inserted."""
     cat.create_if_absent(SILVER, "dimvertical", "VerticalId BIGINT, Vertical STRING")
     new = new_verticals(cat.read(BRONZE, "workertable"), cat.read(SILVER, "dimvertical"))
-    n = new.count()
-    if n:
-        cat.insert_select(SILVER, "dimvertical", new, ["VerticalId", "Vertical"])
-    return n
+    new, obs = _counted(new, "dimvertical_new")
+    cat.insert_select(SILVER, "dimvertical", new, ["VerticalId", "Vertical"])
+    return int(obs.get["n"])
 
 
 def run_silver(cat: Catalog, as_of: _dt.datetime | None = None,
@@ -78,6 +87,9 @@ def run_silver(cat: Catalog, as_of: _dt.datetime | None = None,
                                     cat.read(SILVER, "dimcurrency"), as_of),
                       SILVER, "factpurchaseorder", allow_schema_change=True)
         status["factpurchaseorder"] = "overwritten"
+    if "promotable" in have:
+        # the promotion view with its volume bands, for SQL users of the session
+        temp_view(promotions_view(cat.read(BRONZE, "promotable")), "vwPromotable")
     if want("factsalesorderline") and {"salesorderline", "currency", "promotable"} <= have:
         cat.overwrite(sales_fact(cat.read(BRONZE, "salesorderline"), cat.read(BRONZE, "currency"),
                                  cat.read(SILVER, "dimpaymenttypes"), cat.read(BRONZE, "promotable"),

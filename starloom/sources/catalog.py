@@ -43,6 +43,12 @@ def write_clustered(df: DataFrame, path: str, partition_by: list[str], cluster_b
        .write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path))
 
 
+def temp_view(df: DataFrame, name: str) -> DataFrame:
+    """Session-scoped named view (CREATE OR REPLACE TEMP VIEW)."""
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def read_raw(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 

@@ -49,10 +49,55 @@ def data_path(base: str, folder: str, entity: str) -> str:
 
 def read_manifest(spark: SparkSession, path: str) -> list[str]:
     """Entity names listed by a manifest, in manifest order."""
+    return [name for name, _ in read_manifest_entities(spark, path)]
+
+
+# CSV partition trait and its argument names -> reader options.
+CSV_TRAIT = "is.partition.format.CSV"
+TRAIT_OPTIONS = {"columnHeaders": "header", "delimiter": "delimiter", "escape": "escape",
+                 "quote": "quote", "encoding": "encoding", "newline": "lineSep"}
+
+
+def _field_names(dt: T.DataType) -> list[str]:
+    if isinstance(dt, T.ArrayType):
+        dt = dt.elementType
+    return dt.fieldNames() if isinstance(dt, T.StructType) else []
+
+
+def read_manifest_entities(spark: SparkSession, path: str) -> list[tuple[str, dict[str, str]]]:
+    """(entity name, CSV reader options) per manifest entity, in order.
+
+    Options come from the CSV format trait on the entity's data partitions
+    (``dataPartitions[].exhibitsTraits[]`` with ``traitReference``
+    is.partition.format.CSV and ``arguments`` name/value pairs): header,
+    delimiter, escape, quote, encoding, newline. Absent traits give {}.
+    """
     m = spark.read.option("multiLine", True).json(path)
-    rows = (m.select(F.posexplode("entities").alias("pos", "e"))
-             .select("pos", F.col("e.entityName").alias("name")).orderBy("pos").collect())
-    return [r["name"] for r in rows]
+    ents = m.select(F.posexplode("entities").alias("pos", "e"))
+    efields = _field_names(ents.schema["e"].dataType)
+    if "dataPartitions" not in efields:
+        rows = ents.select("pos", F.col("e.entityName").alias("name")).orderBy("pos").collect()
+        return [(r["name"], {}) for r in rows]
+    parts = ents.select("pos", F.col("e.entityName").alias("name"),
+                        F.explode_outer("e.dataPartitions").alias("p"))
+    pfields = _field_names(parts.schema["p"].dataType)
+    if "exhibitsTraits" not in pfields:
+        rows = parts.select("pos", "name").distinct().orderBy("pos").collect()
+        return [(r["name"], {}) for r in rows]
+    tr = parts.select("pos", "name", F.explode_outer("p.exhibitsTraits").alias("t"))
+    tfields = _field_names(tr.schema["t"].dataType)
+    if "arguments" not in tfields or "traitReference" not in tfields:
+        rows = tr.select("pos", "name").distinct().orderBy("pos").collect()
+        return [(r["name"], {}) for r in rows]
+    args = tr.select("pos", "name", F.col("t.traitReference").alias("ref"),
+                     F.explode_outer("t.arguments").alias("a"))
+    args = args.select("pos", "name", "ref", F.col("a.name").alias("k"), F.col("a.value").alias("v"))
+    out: dict[int, tuple[str, dict[str, str]]] = {}
+    for r in args.orderBy("pos").collect():  # metadata only: a few rows per entity
+        name, opts = out.setdefault(r["pos"], (r["name"], {}))
+        if r["ref"] == CSV_TRAIT and r["k"] in TRAIT_OPTIONS and r["v"] is not None:
+            opts[TRAIT_OPTIONS[r["k"]]] = str(r["v"])
+    return [out[p] for p in sorted(out)]
 
 
 @dataclass
@@ -92,12 +137,15 @@ def build_schema(attrs: list[tuple[str, str | None]], decimal_type: str | None =
 
 
 def read_entity(spark: SparkSession, path: str, schema: T.StructType, header: bool = True,
-                delimiter: str = ",", recursive: bool = False, infer: bool = False) -> DataFrame:
+                delimiter: str = ",", recursive: bool = False, infer: bool = False,
+                options: dict[str, str] | None = None) -> DataFrame:
     """Typed CSV scan. Malformed rows (bad cell, too few or too many cells)
     keep their text in ``_corrupt_record`` instead of being silently nulled.
     Binding is positional; with ``header`` the first line of each file is
     skipped, so header-less exports must pass header=False."""
     r = spark.read.option("header", header).option("delimiter", delimiter)
+    for k, v in (options or {}).items():
+        r = r.option(k, v)
     if recursive:
         r = r.option("recursiveFileLookup", True)
     if infer:
@@ -129,9 +177,13 @@ REPORT_SCHEMA = ("folder string, entity string, status string, error string, row
 
 def ingest_entity(spark: SparkSession, base: str, folder: str, entity: str, raw_root: str,
                   fmt: str = "parquet", header: bool = True, delimiter: str = ",",
-                  decimal_type: str | None = None) -> EntityResult:
+                  decimal_type: str | None = None, options: dict[str, str] | None = None,
+                  recursive: bool = False) -> EntityResult:
+    """One entity: definition -> typed scan -> raw table (+ quarantine).
+    ``options`` (from the manifest's CSV trait) override header/delimiter."""
     es = read_definition(spark, definition_path(base, folder, entity), decimal_type)
-    df = read_entity(spark, data_path(base, folder, entity), es.schema, header, delimiter)
+    df = read_entity(spark, data_path(base, folder, entity), es.schema, header, delimiter,
+                     recursive=recursive, options=options)
     obs = Observation(f"ingest_{folder}_{entity}")
     bad = F.col(CORRUPT).isNotNull()
     # counts are gathered during the write itself: no second pass over the files
@@ -146,7 +198,8 @@ def ingest_entity(spark: SparkSession, base: str, folder: str, entity: str, raw_
 
 
 def ingest(spark: SparkSession, base: str, raw_root: str, folders=FOLDERS, fmt: str = "parquet",
-           header: bool = True, delimiter: str = ",", decimal_type: str | None = None) -> DataFrame:
+           header: bool = True, delimiter: str = ",", decimal_type: str | None = None,
+           recursive: bool = False) -> DataFrame:
     """Load every entity of every folder; one failure never stops the rest.
 
     Returns the report as a DataFrame: one row per entity (or per folder
@@ -154,14 +207,14 @@ def ingest(spark: SparkSession, base: str, raw_root: str, folders=FOLDERS, fmt:
     results: list[EntityResult] = []
     for folder in folders:
         try:
-            entities = read_manifest(spark, manifest_path(base, folder))
+            entities = read_manifest_entities(spark, manifest_path(base, folder))
         except Exception as e:  # noqa: BLE001 - recorded in the report
             results.append(EntityResult(folder, "Manifest Read", "failed", _short(e)))
             continue
-        for entity in entities:
+        for entity, options in entities:
             try:
                 results.append(ingest_entity(spark, base, folder, entity, raw_root, fmt, header,
-                                             delimiter, decimal_type))
+                                             delimiter, decimal_type, options, recursive))
             except Exception as e:  # noqa: BLE001
                 results.append(EntityResult(folder, entity, "failed", _short(e)))
     return spark.createDataFrame([tuple(r.__dict__.values()) for r in results], REPORT_SCHEMA)

@@ -91,3 +91,31 @@ def test_inferred_and_text_reads(spark, scratch):
     inf = read_entity(spark, f"{base}/F/E", None, header=True, infer=True)
     assert inf.schema["a"].dataType.simpleString() == "int"
     assert read_text(spark, f"{base}/F/E.cdm.json", whole=True).count() == 1
+
+
+def test_csv_options_from_manifest_traits(spark, scratch):
+    from starloom.sources.cdm import read_manifest_entities
+    base = f"{scratch}/cdm6"
+    attrs = [{"name": "id", "dataFormat": "Int64"}, {"name": "txt", "dataFormat": "String"}]
+    os.makedirs(f"{base}/F/E", exist_ok=True)
+    os.makedirs(f"{base}/F/G", exist_ok=True)
+    for e in ("E", "G"):
+        with open(f"{base}/F/{e}.cdm.json", "w") as fh:
+            json.dump({"definitions": [{"hasAttributes": attrs}]}, fh)
+    with open(f"{base}/F/E/a.csv", "w") as fh:
+        fh.write("1|x\n2|y\n")            # no header, pipe-delimited
+    os.makedirs(f"{base}/F/G/2024/01", exist_ok=True)
+    with open(f"{base}/F/G/2024/01/a.csv", "w") as fh:
+        fh.write("id,txt\n7,z\n")         # nested export folder
+    trait = {"traitReference": "is.partition.format.CSV", "arguments": [
+        {"name": "columnHeaders", "value": "false"}, {"name": "delimiter", "value": "|"}]}
+    with open(f"{base}/F/F.manifest.cdm.json", "w") as fh:
+        json.dump({"manifestName": "F", "entities": [
+            {"entityName": "E", "dataPartitions": [{"location": "E/a.csv", "exhibitsTraits": [trait]}]},
+            {"entityName": "G"}]}, fh)
+    ents = read_manifest_entities(spark, f"{base}/F/F.manifest.cdm.json")
+    assert ents == [("E", {"header": "false", "delimiter": "|"}), ("G", {})]
+    rep = {r.entity: r for r in ingest(spark, base, f"{scratch}/cdm6raw", folders=["F"], recursive=True).collect()}
+    assert rep["E"].rows == 2 and rep["E"].bad_rows == 0 and rep["G"].rows == 1
+    got = sorted((r.id, r.txt) for r in spark.read.parquet(f"{scratch}/cdm6raw/F/E").collect())
+    assert got == [(1, "x"), (2, "y")]
