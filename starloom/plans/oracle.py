@@ -17,21 +17,21 @@ def _code(e: str) -> str:
     return f"('C' || lpad(CAST({e} AS VARCHAR), 2, '0'))"
 
 
-COSTCENTER = """select n_name as CostCenterNumber,
-  case when n_regionkey = 0 then NULL else TIMESTAMP '2024-03-10 06:30:00' + to_hours(n_nationkey) end as LastProcessedChange_DateTime,
-  TIMESTAMP '2024-01-01 02:00:00' + to_days(n_nationkey * 15) as DataLakeModified_DateTime,
-  CAST(n_regionkey AS DOUBLE) / 20 as Vat,
-  CAST(n_nationkey AS BIGINT) as RecordId
-from nation"""
-
-CURRENCY = f"""select n_nationkey as CurrencyId,
-  case when n_nationkey >= 20 then ' ' || {_code('n_nationkey')} || ' ' else {_code('n_nationkey')} end as Code,
-  case when n_regionkey = 1 then NULL else TIMESTAMP '2024-07-01 12:00:00' end as LastProcessedChange_DateTime,
-  TIMESTAMP '2024-11-03 05:00:00' + to_hours(n_nationkey) as DataLakeModified_DateTime,
-  ' ' || n_name as Country,
-  'Currency of ' || n_name || ' ' as CurrencyName,
-  CAST(n_nationkey + 1000 AS BIGINT) as RecordId
-from nation"""
+COSTCENTER = """select 'NATION_' || CAST(s_nationkey AS VARCHAR) as CostCenterNumber,
+  case when s_nationkey % 5 = 0 then NULL else TIMESTAMP '2024-03-10 06:30:00' + to_hours(s_nationkey) end as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-01-01 02:00:00' + to_days(s_nationkey * 15) as DataLakeModified_DateTime,
+  CAST(s_nationkey % 5 AS DOUBLE) / 20 as Vat,
+  CAST(s_nationkey AS BIGINT) as RecordId
+from (select distinct s_nationkey from supplier)"""
+
+CURRENCY = f"""select cc as CurrencyId,
+  case when cc >= 20 then ' ' || {_code('cc')} || ' ' else {_code('cc')} end as Code,
+  case when cc % 5 = 1 then NULL else TIMESTAMP '2024-07-01 12:00:00' end as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-11-03 05:00:00' + to_hours(cc) as DataLakeModified_DateTime,
+  ' NATION_' || CAST(cc AS VARCHAR) as Country,
+  'Currency of NATION_' || CAST(cc AS VARCHAR) || ' ' as CurrencyName,
+  CAST(cc + 1000 AS BIGINT) as RecordId
+from (select distinct CAST(o_custkey % 25 AS INTEGER) as cc from orders)"""
 
 PURCHASEORDER = f"""select l_orderkey as PoNumber, l_linenumber as LineItem, l_suppkey as VendId,
   case when l_linenumber = 1 then NULL else l_shipdate end as LastProcessedChange_DateTime,
@@ -60,22 +60,23 @@ SALESORDERLINE = f"""select l_orderkey as SalesOrderNumber, l_linenumber as Sale
   l_orderkey * 10 + l_linenumber as RecordId
 from lineitem join orders on l_orderkey = o_orderkey"""
 
-PROMOTABLE = """select n_nationkey as PromotionId,
-  CAST(NULL AS TIMESTAMP) as LastProcessedChange_DateTime,
-  TIMESTAMP '2024-01-31 20:00:00' + to_hours(n_nationkey) as DataLakeModified_DateTime,
-  ' P' || CAST(n_nationkey AS VARCHAR) || ' ' as PromoCode,
-  case when n_nationkey < 4 then 'Volume' else 'Seasonal' end as PromoType,
-  case n_nationkey when 0 then 'Volume Discount 11 to 20' when 1 then 'Volume Discount 21 to 40'
-    when 2 then 'Volume Discount 41 to 60' when 3 then 'Volume Discount > 60'
-    else 'Seasonal Promotion ' || n_name end as PromotionName,
-  CAST(n_nationkey + 1 AS DOUBLE) / 100 as PromoPercentage,
-  make_date(1995 + (n_nationkey % 7), 1, n_nationkey + 1)::TIMESTAMP as ValidFrom,
-  case when n_nationkey = 5 then NULL
-       when n_nationkey = 6 then make_date(1995 + (n_nationkey % 7), 1, n_nationkey + 1)::TIMESTAMP - INTERVAL 3 DAY
-       else make_date(1995 + (n_nationkey % 7), 1, n_nationkey + 1)::TIMESTAMP + INTERVAL 10 DAY end as ValidTo,
-  n_nationkey <> 24 as IsActive,
-  CAST(n_nationkey + 500 AS BIGINT) as RecordId
-from nation"""
+PROMOTABLE = """select PromotionId, CAST(NULL AS TIMESTAMP) as LastProcessedChange_DateTime,
+  TIMESTAMP '2024-01-31 20:00:00' + to_hours(p) as DataLakeModified_DateTime,
+  PromotionName, ' P' || CAST(PromotionId AS VARCHAR) || ' ' as PromoCode,
+  case when starts_with(PromotionName, 'Volume') then 'Volume' else 'Seasonal' end as PromoType,
+  CAST(p + (y - 1995) * 5 AS DOUBLE) / 100 as PromoPercentage,
+  vf as ValidFrom,
+  case when y = 1996 and p = 5 then NULL when y = 1997 and p = 5 then vf - INTERVAL 3 DAY
+       else vf + INTERVAL 8 DAY end as ValidTo,
+  p <> 5 as IsActive, CAST(PromotionId + 500 AS BIGINT) as RecordId
+from (select y, p, y * 10 + p as PromotionId, make_date(y, 1, p * 5)::TIMESTAMP as vf,
+        case when y = 1995 and p = 1 then 'Volume Discount 11 to 20'
+             when y = 1995 and p = 2 then 'Volume Discount 21 to 40'
+             when y = 1995 and p = 3 then 'Volume Discount 41 to 60'
+             when y = 1995 and p = 4 then 'Volume Discount > 60'
+             else 'Seasonal Promotion ' || CAST(y AS VARCHAR) || '-' || CAST(p AS VARCHAR) end as PromotionName
+      from (select distinct CAST(year(o_orderdate) AS INTEGER) as y,
+                            CAST(substr(o_orderpriority, 1, 1) AS INTEGER) as p from orders))"""
 
 FISCALPERIOD = """select CAST(year(m) * 100 + month(m) AS BIGINT) as RecordId,
   'FP' || strftime(m, '%Y%m') as FiscalPeriodName,

@@ -6,8 +6,9 @@ entity is expressed as a projection of a driver table:
 
   purchase line  = lineitem joined to its supplier (for the cost centre)
   sales line     = lineitem joined to its order (book date, payment type)
-  cost centre    = nation          currency      = nation
-  promotion      = nation          fiscal period = months present in orders
+  cost centre    = supplier nations    currency = customer codes in orders
+  promotion      = (year, priority) pairs in orders
+  fiscal period  = months present in orders
   vendor         = supplier        customer      = customer
   worker         = customer (market segment as the vertical)
 
@@ -39,33 +40,36 @@ def _code(c) -> F.Column:
 
 
 def costcenter(t: Tables) -> DataFrame:
-    n = t.nation
-    return n.select(
-        F.col("n_name").alias("CostCenterNumber"),
-        F.when(F.col("n_regionkey") == 0, F.lit(None).cast("timestamp_ntz"))
-         .otherwise(_ntz("2024-03-10 06:30:00") + F.expr("make_dt_interval(0, n_nationkey, 0, 0)"))
+    """One cost centre per supplier nation (a distinct over suppliers)."""
+    k = F.col("s_nationkey")
+    return t.supplier.select(k).distinct().select(
+        F.concat(F.lit("NATION_"), k.cast("string")).alias("CostCenterNumber"),
+        F.when(F.pmod(k, F.lit(5)) == 0, F.lit(None).cast("timestamp_ntz"))
+         .otherwise(_ntz("2024-03-10 06:30:00") + F.expr("make_dt_interval(0, s_nationkey, 0, 0)"))
          .alias("LastProcessedChange_DateTime"),
-        (_ntz("2024-01-01 02:00:00") + F.expr("make_dt_interval(n_nationkey * 15, 0, 0, 0)"))
+        (_ntz("2024-01-01 02:00:00") + F.expr("make_dt_interval(s_nationkey * 15, 0, 0, 0)"))
         .alias("DataLakeModified_DateTime"),
-        (F.col("n_regionkey").cast("double") / 20).alias("Vat"),
-        F.col("n_nationkey").cast("long").alias("RecordId"),
+        (F.pmod(k, F.lit(5)).cast("double") / 20).alias("Vat"),
+        k.cast("long").alias("RecordId"),
     )
 
 
 def currency(t: Tables) -> DataFrame:
-    n = t.nation
-    code = _code(F.col("n_nationkey"))
-    return n.select(
-        F.col("n_nationkey").alias("CurrencyId"),
-        F.when(F.col("n_nationkey") >= 20, F.concat(F.lit(" "), code, F.lit(" "))).otherwise(code)
-         .alias("Code"),
-        F.when(F.col("n_regionkey") == 1, F.lit(None).cast("timestamp_ntz"))
+    """One currency per customer currency code used by orders (a distinct
+    over orders); codes 20 and above arrive space-padded."""
+    c = t.orders.select(F.pmod(F.col("o_custkey"), F.lit(25)).cast("int").alias("cc")).distinct()
+    k = F.col("cc")
+    code = _code(k)
+    return c.select(
+        k.alias("CurrencyId"),
+        F.when(k >= 20, F.concat(F.lit(" "), code, F.lit(" "))).otherwise(code).alias("Code"),
+        F.when(F.pmod(k, F.lit(5)) == 1, F.lit(None).cast("timestamp_ntz"))
          .otherwise(_ntz("2024-07-01 12:00:00")).alias("LastProcessedChange_DateTime"),
-        (_ntz("2024-11-03 05:00:00") + F.expr("make_dt_interval(0, n_nationkey, 0, 0)"))
+        (_ntz("2024-11-03 05:00:00") + F.expr("make_dt_interval(0, cc, 0, 0)"))
         .alias("DataLakeModified_DateTime"),
-        F.concat(F.lit(" "), F.col("n_name")).alias("Country"),
-        F.concat(F.lit("Currency of "), F.col("n_name"), F.lit(" ")).alias("CurrencyName"),
-        (F.col("n_nationkey") + 1000).cast("long").alias("RecordId"),
+        F.concat(F.lit(" NATION_"), k.cast("string")).alias("Country"),
+        F.concat(F.lit("Currency of NATION_"), k.cast("string"), F.lit(" ")).alias("CurrencyName"),
+        (k + 1000).cast("long").alias("RecordId"),
     )
 
 
@@ -130,30 +134,42 @@ def payment_sources(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_orderpriority").alias("PaymentTypeDesc"))
 
 
+FIRST_PROMO_YEAR = 1995  # volume-band promotions run in the first order year
+
+
 def promotable(t: Tables) -> DataFrame:
-    n = t.nation
-    k = F.col("n_nationkey")
+    """One promotion per (order year, priority digit) found in orders. In the
+    first year priorities 1-4 carry the four volume bands; the others are
+    seasonal. Windows are 8 days in January starting on day 5 x priority,
+    so neighbouring priorities overlap; (1996, 5) has no end and (1997, 5)
+    ends before it starts."""
+    o = t.orders.select(F.year("o_orderdate").alias("y"),
+                        F.substring("o_orderpriority", 1, 1).cast("int").alias("p")).distinct()
+    y, p = F.col("y"), F.col("p")
     name = None
-    for i, band in enumerate(VOLUME_BANDS):
-        name = F.when(k == i, F.lit(band[0])) if name is None else name.when(k == i, F.lit(band[0]))
-    name = name.otherwise(F.concat(F.lit("Seasonal Promotion "), F.col("n_name")))
-    vf = F.make_date(F.lit(1995) + F.pmod(k, F.lit(7)), F.lit(1), k + 1).cast("timestamp_ntz")
-    vt = (F.when(k == 5, F.lit(None).cast("timestamp_ntz"))
-           .when(k == 6, vf - _days(3))
-           .otherwise(vf + _days(10)))
-    return n.select(
-        k.alias("PromotionId"),
+    for i, band in enumerate(VOLUME_BANDS, start=1):
+        c = (y == FIRST_PROMO_YEAR) & (p == i)
+        name = F.when(c, F.lit(band[0])) if name is None else name.when(c, F.lit(band[0]))
+    name = name.otherwise(F.concat(F.lit("Seasonal Promotion "), y.cast("string"), F.lit("-"),
+                                   p.cast("string")))
+    pid = y * 10 + p
+    vf = F.make_date(y, F.lit(1), p * 5).cast("timestamp_ntz")
+    vt = (F.when((y == 1996) & (p == 5), F.lit(None).cast("timestamp_ntz"))
+           .when((y == 1997) & (p == 5), vf - _days(3))
+           .otherwise(vf + _days(8)))
+    return o.select(
+        pid.alias("PromotionId"),
         F.lit(None).cast("timestamp_ntz").alias("LastProcessedChange_DateTime"),
-        (_ntz("2024-01-31 20:00:00") + F.expr("make_dt_interval(0, n_nationkey, 0, 0)"))
+        (_ntz("2024-01-31 20:00:00") + F.expr("make_dt_interval(0, p, 0, 0)"))
         .alias("DataLakeModified_DateTime"),
         name.alias("PromotionName"),
-        F.concat(F.lit(" P"), k.cast("string"), F.lit(" ")).alias("PromoCode"),
-        F.when(k < 4, F.lit("Volume")).otherwise(F.lit("Seasonal")).alias("PromoType"),
-        ((k + 1).cast("double") / 100).alias("PromoPercentage"),
+        F.concat(F.lit(" P"), pid.cast("string"), F.lit(" ")).alias("PromoCode"),
+        F.when(name.startswith("Volume"), F.lit("Volume")).otherwise(F.lit("Seasonal")).alias("PromoType"),
+        ((p + (y - FIRST_PROMO_YEAR) * 5).cast("double") / 100).alias("PromoPercentage"),
         vf.alias("ValidFrom"),
         vt.alias("ValidTo"),
-        (k != 24).alias("IsActive"),
-        (k + 500).cast("long").alias("RecordId"),
+        (p != 5).alias("IsActive"),
+        (pid + 500).cast("long").alias("RecordId"),
     )
 
 
