@@ -92,12 +92,17 @@ def _window_keys(promos: DataFrame, vf: str, vt: str, month: int, unit: str) ->
 def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDate",
                    qty_col: str = "Qty", valid_from: str = "ValidFrom",
                    valid_to: str = "ValidTo", month: int = WINDOW_MONTH,
-                   max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                   max_rows: int = BROADCAST_MAX_ROWS, salt_buckets: int = 16) -> DataFrame:
     """Left join lines to banded promotions (see module doc).
 
     ``promos`` must already carry VolumeStart / VolumeEnd; column names of the
     two inputs must not overlap. Fan-out is kept: a line inside two windows
     yields two rows, as in the source.
+
+    When the key side is too large to broadcast, the join shuffles on the
+    key; a volume band holds about a fifth of all lines, so the key is
+    salted: each line draws a salt in [0, salt_buckets) and every key row is
+    replicated once per salt, spreading a hot key over that many tasks.
     """
     s, e = F.to_date(F.col(valid_from)), F.to_date(F.col(valid_to))
     valid = F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to))
@@ -114,8 +119,7 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
           .withColumn("__kind", F.lit(1))
           .withColumn("__key", F.col("VolumeStart").cast("long")))
     keyed = wk.unionByName(bk)
-    if bound <= max_rows:
-        keyed = F.broadcast(keyed)
+    small = bound <= max_rows
 
     d, q = F.col(date_col), F.col(qty_col)
     in_month = F.month(d) == month
@@ -127,7 +131,14 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
     cond = ((F.col("__lkind") == F.col("__kind")) & (F.col("__lkey") == F.col("__key"))
             & case_predicate(d, q, F.col(valid_from), F.col(valid_to),
                              F.col("VolumeStart"), F.col("VolumeEnd"), month))
-    return left.join(keyed, cond, "left").drop("__lkind", "__lkey", "__kind", "__key")
+    if small:
+        keyed = F.broadcast(keyed)
+    else:
+        left = left.withColumn("__lsalt", F.floor(F.rand(17) * salt_buckets).cast("int"))
+        keyed = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = cond & (F.col("__lsalt") == F.col("__salt"))
+    out = left.join(keyed, cond, "left")
+    return out.drop("__lkind", "__lkey", "__kind", "__key", "__lsalt", "__salt")
 
 
 def promotion_join_nested(lines: DataFrame, promos: DataFrame, date_col: str = "BookDate",

@@ -70,12 +70,16 @@ def explode_buckets(intervals: DataFrame, start: str, end: str, unit: str,
 
 def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: str,
                   end: str, how: str = "left", unit: str | None = None,
-                  max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  max_rows: int = BROADCAST_MAX_ROWS, salt_buckets: int = 16) -> DataFrame:
     """``points`` joined to ``intervals`` where start <= point <= end.
 
     Column names of the two sides must not overlap (rename first).
     ``how`` is 'left' or 'inner'. Unmatched points keep NULL interval columns
     for 'left'; a point inside several intervals yields one row per interval.
+    When the exploded interval side cannot be broadcast, the bucket key is
+    salted (points draw a salt, bucket rows are replicated per salt) so a
+    bucket holding a third of the points is spread over ``salt_buckets``
+    tasks.
     """
     if how not in ("left", "inner"):
         raise ValueError("interval_join supports 'left' and 'inner'")
@@ -83,15 +87,19 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
     if unit is None:
         unit, broadcastable = choose_unit(intervals, start, end, max_rows)
     right = explode_buckets(intervals, start, end, unit, "__ib")
-    if broadcastable:
-        right = F.broadcast(right)
     left = points.withColumn("__pb", bucket_of(F.col(point), unit))
     cond = (
         (F.col("__pb") == F.col("__ib"))
         & (F.col(point) >= F.col(start))
         & (F.col(point) <= F.col(end))
     )
-    return left.join(right, cond, how).drop("__pb", "__ib")
+    if broadcastable:
+        right = F.broadcast(right)
+    else:
+        left = left.withColumn("__ps", F.floor(F.rand(17) * salt_buckets).cast("int"))
+        right = right.withColumn("__is", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        cond = cond & (F.col("__ps") == F.col("__is"))
+    return left.join(right, cond, how).drop("__pb", "__ib", "__ps", "__is")
 
 
 def interval_join_nested(points: DataFrame, intervals: DataFrame, point: str,

@@ -65,3 +65,11 @@ def test_interval_join_property(spark, ivals, pts):
     p = spark.createDataFrame([(base + dt.timedelta(days=x),) for x in pts], "d date")
     assert _rows(interval_join(p, q, "d", "s", "e", "left")) == _rows(
         interval_join_nested(p, q, "d", "s", "e", "left"))
+
+
+def test_interval_join_salted_fallback(spark):
+    p, q = _points(spark), _periods(spark)
+    got = interval_join(p, q, "ts", "s", "e", "left", max_rows=0, salt_buckets=5)
+    assert _rows(got) == _rows(interval_join_nested(p, q, "ts", "s", "e", "left"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__ps" in plan and "__is" in plan  # the shuffle path joins on (bucket, salt)
