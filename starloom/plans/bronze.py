@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.operators.quality import record_counts
 from starloom.sources.catalog import Catalog, read_raw

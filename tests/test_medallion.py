@@ -147,3 +147,27 @@ def test_gold_marts(medallion):
     assert by_year["FY2024"] == 5 and by_year[None] == 5
     v = {(r.Country, r.VendorDiscount): r for r in cat.read("gold", "purchases_by_vendor_country").collect()}
     assert v[("US", 0.01)].line_count == 3 and v[("US", 0.01)].spend == 300.0
+
+
+def test_dimension_details(medallion, spark):
+    from starloom.plans.dims import SPECS, build_dim
+    cat = medallion[0]
+    cc = {r.CostCenterNumber: r for r in cat.read("silver", "dimcostcenter").collect()}
+    assert set(cc) == {"CC1", "CC2"}  # trimmed; the NULL-record row is dropped
+    assert cc["CC2"].LastProcessedChange_DateTime == dt.datetime(1900, 1, 1)
+    assert cc["CC1"].DataLakeModified_DateTime == dt.datetime(2024, 1, 15, 6, 0)  # January: UTC-6
+    cur = {r.CurrencyId: r for r in cat.read("silver", "dimcurrency").collect()}
+    assert set(cur) == {1, 2} and cur[1].CurrencyCode == "USD" and cur[2].CurrencyName == "Euro"
+    cust = cat.read("silver", "dimcusttable")
+    assert "CustHashKey" in cust.columns and "PartyHashKey" not in cust.columns
+    c1 = cust.filter("CustomerId = 'C1'").first()
+    assert c1.ZipCode is None and c1.CustomerName == "Ann" and c1.SignupDate == dt.datetime(2024, 1, 31, 20, 0)
+    assert cust.filter("CustomerId = 'C2'").count() == 0  # NULL record id
+    legacy = build_dim(SPECS["dimcusttable"], cat.read("bronze", "custtable"), legacy_names=True)
+    assert "PartyHashKey" in legacy.columns
+    item = cat.read("silver", "dimpurchitem").first()
+    assert item.ProductName == "Hammer" and item.ProductPerUnitCost == 9.5
+    promo = {r.PromotionId: r for r in cat.read("silver", "dimpromotable").collect()}
+    assert promo[1].ValidFrom == dt.datetime(2023, 12, 31, 18, 0) and promo[5].IsActive is False
+    hk = spark.createDataFrame([(201,)], "r bigint").selectExpr("xxhash64(r) as h").first().h
+    assert promo[1].PromoHashKey == hk
