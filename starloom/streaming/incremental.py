@@ -4,11 +4,17 @@ New export files in a folder are picked up exactly once (the stream's
 checkpoint records which files were read), each micro-batch is appended to,
 or upserted into, a catalog table. ``availableNow`` processes everything
 present and stops, so the same job serves scheduled batch runs.
+
+``foreachBatch`` is at-least-once: after a failure a micro-batch may be
+replayed with the same id. Both sinks are idempotent under replay: an
+upsert of the same rows gives the same table, and appends land in the
+batch's own ``_batch_id`` partition, overwritten (not added to) on replay.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from starloom.operators.history import upsert
@@ -27,15 +33,39 @@ def export_stream(spark: SparkSession, path: str, schema: StructType, fmt: str =
     return r.load(path)
 
 
+BATCH_COL = "_batch_id"
+
+
+def append_batch(cat: Catalog, batch: DataFrame, batch_id: int, schema: str, table: str) -> None:
+    """Idempotent append of one micro-batch: rows go to partition
+    ``_batch_id = batch_id`` with dynamic partition overwrite."""
+    df = batch.withColumn(BATCH_COL, F.lit(batch_id).cast("long"))
+    if not cat.exists(schema, table):
+        cat.ensure_schema(schema)
+        (df.write.format(cat.fmt).mode("overwrite").partitionBy(BATCH_COL)
+           .saveAsTable(cat.name(schema, table)))
+        return
+    cols = cat.read(schema, table).columns
+    conf = df.sparkSession.conf
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(key)
+    conf.set(key, "dynamic")  # replace only this batch's partition
+    try:
+        df.select(*cols).write.mode("overwrite").insertInto(cat.name(schema, table))
+    finally:
+        conf.set(key, before)
+
+
 def load_incremental(spark: SparkSession, cat: Catalog, path: str, schema: StructType,
                      target_schema: str, table: str, keys: list[str] | None = None,
                      order: list[str] | None = None, fmt: str = "csv", header: bool = True,
                      checkpoint: str | None = None) -> int:
     """Process all new files under ``path`` into ``target_schema.table``.
 
-    Without ``keys`` rows are appended. With ``keys`` each batch is reduced
-    to the latest row per key (by ``order``) and upserted. Returns the
-    number of micro-batches run.
+    Without ``keys`` rows are appended (idempotently, see ``append_batch``;
+    the table carries a ``_batch_id`` partition column). With ``keys`` each
+    batch is reduced to the latest row per key (by ``order``) and upserted.
+    Returns the number of micro-batches run.
     """
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{target_schema}.{table}"
     batches = {"n": 0}
@@ -50,7 +80,7 @@ def load_incremental(spark: SparkSession, cat: Catalog, path: str, schema: Struc
             else:
                 cat.overwrite(latest, target_schema, table)
         else:
-            cat.append(batch, target_schema, table)
+            append_batch(cat, batch, batch_id, target_schema, table)
 
     q = (export_stream(spark, path, schema, fmt, header)
          .writeStream.foreachBatch(write)

@@ -37,3 +37,15 @@ def test_upsert_latest_per_key(spark, scratch):
     load_incremental(spark, cat, d, SCHEMA, "stage", "state_b", keys=["k"], order=["seq"], checkpoint=ck)
     got = sorted((r.k, r.v) for r in cat.read("stage", "state_b").collect())
     assert got == [(1, "b"), (2, "y"), (3, "z")]
+
+
+def test_append_batch_replay_is_idempotent(spark):
+    from starloom.streaming.incremental import append_batch
+    cat = Catalog(spark)
+    b0 = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], SCHEMA)
+    b1 = spark.createDataFrame([(3, "c", 1)], SCHEMA)
+    append_batch(cat, b0, 0, "stage", "replay")
+    append_batch(cat, b1, 1, "stage", "replay")
+    append_batch(cat, b1, 1, "stage", "replay")  # the same batch delivered again
+    got = sorted((r.k, r._batch_id) for r in cat.read("stage", "replay").collect())
+    assert got == [(1, 0), (2, 0), (3, 1)]
