@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import BROADCAST_MAX_ROWS
+from starloom.operators.sizing import BROADCAST_MAX_ROWS, row_bound
 
 # Fixed values (must equal the source rules): promotion name -> volume band.
 #   'Volume Discount 11 to 20' -> 11 .. 20
@@ -111,7 +111,8 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
         F.coalesce(F.sum(F.when(valid, F.datediff(e, s) + 1)), F.lit(0)).alias("d"),
         F.coalesce(F.sum(F.when(valid, F.year(e) - F.year(s) + 1)), F.lit(0)).alias("y"),
         F.count_if(F.col("VolumeStart").isNotNull()).alias("q")).first()
-    unit = "day" if int(b["d"]) + int(b["q"]) <= max_rows else "year"
+    limit = row_bound(promos, max_rows)
+    unit = "day" if int(b["d"]) + int(b["q"]) <= limit else "year"
     bound = (int(b["d"]) if unit == "day" else int(b["y"])) + int(b["q"])
 
     wk = _window_keys(promos, valid_from, valid_to, month, unit)
@@ -119,7 +120,7 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
           .withColumn("__kind", F.lit(1))
           .withColumn("__key", F.col("VolumeStart").cast("long")))
     keyed = wk.unionByName(bk)
-    small = bound <= max_rows
+    small = bound <= limit
 
     d, q = F.col(date_col), F.col(qty_col)
     in_month = F.month(d) == month

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import BROADCAST_MAX_ROWS
+from starloom.operators.sizing import BROADCAST_MAX_ROWS, row_bound
 
 _UNITS = ("day", "month", "year")
 
@@ -85,7 +85,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, point: str, start: st
         raise ValueError("interval_join supports 'left' and 'inner'")
     broadcastable = True
     if unit is None:
-        unit, broadcastable = choose_unit(intervals, start, end, max_rows)
+        unit, broadcastable = choose_unit(intervals, start, end, row_bound(intervals, max_rows))
     right = explode_buckets(intervals, start, end, unit, "__ib")
     left = points.withColumn("__pb", bucket_of(F.col(point), unit))
     cond = (

@@ -9,10 +9,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Row bound under which a side is broadcast. 2M narrow dimension rows stay
-# well below the default 8 GB broadcast ceiling and the driver's memory.
+# Bounds under which a side is broadcast: at most 2M rows and at most
+# 512 MB by the width estimate below, far under the 8 GB broadcast ceiling.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 512 * 1024 * 1024
+
+# Assumed bytes per value when estimating a row's width (strings and nested
+# values are taken at a generous average, fixed-width types at their size).
+_WIDTH = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.DateType: 4,
+          T.FloatType: 4, T.LongType: 8, T.DoubleType: 8, T.TimestampType: 8,
+          T.TimestampNTZType: 8, T.DecimalType: 16, T.StringType: 48, T.BinaryType: 64}
+
+
+def row_width(df: DataFrame) -> int:
+    """Estimated bytes per row (plus a fixed per-row overhead)."""
+    return 16 + sum(_WIDTH.get(type(f.dataType), 128) for f in df.schema.fields)
+
+
+def row_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+              max_bytes: int = BROADCAST_MAX_BYTES) -> int:
+    """Largest row count of ``df`` that is still safe to broadcast."""
+    return max(0, min(max_rows, max_bytes // row_width(df)))
 
 
 def at_most(df: DataFrame, max_rows: int) -> bool:
@@ -26,15 +45,17 @@ def at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def small_flags(dfs: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
-    """``at_most`` for several frames in one job (a union of bounded limits)."""
+    """``at_most`` for several frames in one job (a union of bounded limits);
+    each frame's bound also respects the byte estimate of its rows."""
     if not dfs:
         return []
-    parts = [df.limit(max_rows + 1).select(F.lit(i).alias("__i")) for i, df in enumerate(dfs)]
+    bounds = [row_bound(df, max_rows) for df in dfs]
+    parts = [df.limit(b + 1).select(F.lit(i).alias("__i")) for i, (df, b) in enumerate(zip(dfs, bounds))]
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
     counts = {r["__i"]: r["n"] for r in u.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= max_rows for i in range(len(dfs))]
+    return [counts.get(i, 0) <= b for i, b in enumerate(bounds)]
 
 
 def broadcast_all_if_small(*dfs: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> list[DataFrame]:
@@ -43,7 +64,8 @@ def broadcast_all_if_small(*dfs: DataFrame, max_rows: int = BROADCAST_MAX_ROWS)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return (df with a broadcast hint, True) when proven small, else (df, False)."""
-    if at_most(df, max_rows):
+    """Return (df with a broadcast hint, True) when proven small (rows and
+    estimated bytes), else (df, False)."""
+    if at_most(df, row_bound(df, max_rows)):
         return F.broadcast(df), True
     return df, False
