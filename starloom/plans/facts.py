@@ -19,9 +19,14 @@ from starloom.operators.conditional_join import promotion_join, with_volume_band
 from starloom.operators.sizing import broadcast_all_if_small
 
 
+def _key(c: str, local_keys: bool):
+    """yyyyMMdd key of the UTC value (source behaviour) or of the local one."""
+    return date_key(to_local(c)) if local_keys else date_key(c)
+
+
 def purchase_fact(po: DataFrame, dimcostcenter: DataFrame, dimcurrency: DataFrame,
                   as_of: _dt.datetime | None = None, trim_keys: bool = True,
-                  audit: bool = True) -> DataFrame:
+                  audit: bool = True, local_keys: bool = False) -> DataFrame:
     """factpurchaseorder.
 
     ``po`` is bronze purchaseorder; the dimensions are the silver tables.
@@ -52,9 +57,9 @@ def purchase_fact(po: DataFrame, dimcostcenter: DataFrame, dimcurrency: DataFram
         to_local("OrderDate").alias("OrderDate"),
         to_local("ShipDate").alias("ShipDate"),
         to_local("DeliveredDate").alias("DeliveredDate"),
-        date_key("OrderDate").alias("OrderDateKey"),
-        date_key("ShipDate").alias("ShipDateKey"),
-        date_key("DeliveredDate").alias("DeliveredDateKey"),
+        _key("OrderDate", local_keys).alias("OrderDateKey"),
+        _key("ShipDate", local_keys).alias("ShipDateKey"),
+        _key("DeliveredDate", local_keys).alias("DeliveredDateKey"),
         F.col("TrackingNumber"), F.col("Batchid").alias("BatchId"), F.col("CreatedBy"),
         F.col("RecordId").alias("PurchaseOrderRecordId"),
         F.col("CategoryId").alias("CategoryKey"),
@@ -76,11 +81,12 @@ def promotions_view(promotable: DataFrame) -> DataFrame:
 
 def sales_fact(sol: DataFrame, currency: DataFrame, dimpaymenttypes: DataFrame,
                promotable: DataFrame, as_of: _dt.datetime | None = None,
-               drop_null_records: bool = True, trim_currency: bool = False,
-               audit: bool = True) -> DataFrame:
+               drop_null_records: bool = True, trim_currency: bool = True,
+               audit: bool = True, local_keys: bool = False) -> DataFrame:
     """factsalesorderline.
 
-    Joins bronze currency (code as given unless ``trim_currency``), the
+    Joins bronze currency (codes trimmed on both sides; ``trim_currency=False``
+    keeps the source's untrimmed match), the
     payment-type dimension and the promotions chosen by the CASE rule
     (validity window in January, quantity band otherwise). A line matching
     several promotions yields several rows, as in the source.
@@ -114,11 +120,11 @@ def sales_fact(sol: DataFrame, currency: DataFrame, dimpaymenttypes: DataFrame,
         "VatPercentage", "VatAmount", "TotalOrderAmount",
         F.col("__curid").alias("CurrencyId"),
         to_local("BookDate").alias("BookDate"),
-        date_key("BookDate").alias("BookDateKey"),
+        _key("BookDate", local_keys).alias("BookDateKey"),
         to_local("ShippedDate").alias("ShippedDate"),
-        date_key("ShippedDate").alias("ShippedDateKey"),
+        _key("ShippedDate", local_keys).alias("ShippedDateKey"),
         to_local("DeliveredDate").alias("DeliveredDate"),
-        date_key("DeliveredDate").alias("DeliveredDateKey"),
+        _key("DeliveredDate", local_keys).alias("DeliveredDateKey"),
         "TrackingNumber", "CustId",
         F.col("__ptid").alias("PaymentTypeId"),
         F.col("PR_PromotionId").alias("PromotionId"),

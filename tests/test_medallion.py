@@ -107,7 +107,14 @@ def test_sales_fact(medallion):
     assert (l3.TotalAmount, l3.TotalAmountWithDiscount, l3.VatAmount, l3.TotalOrderAmount) == (
         150.0, 135.0, 27.0, 162.0)
     cur = {r.SalesOrderLine: r.CurrencyId for r in rows}
-    assert cur[4] == 2 and cur[3] is None  # bronze code ' USD ' is padded: no match
+    assert cur[4] == 2 and cur[3] == 1  # bronze code ' USD ' matches once trimmed
+    from starloom.plans.facts import sales_fact
+    parity = sales_fact(cat.read("bronze", "salesorderline"), cat.read("bronze", "currency"),
+                        cat.read("silver", "dimpaymenttypes"), cat.read("bronze", "promotable"),
+                        trim_currency=False, local_keys=True)
+    pc = {r.SalesOrderLine: (r.CurrencyId, r.BookDateKey) for r in parity.collect()}
+    assert pc[3][0] is None and pc[4][0] == 2  # untrimmed: the padded code never matches
+    assert pc[1][1] == 20240108  # local key: 2024-01-09 00:00 UTC is the 8th in Chicago
     pay = {r.SalesOrderLine: r.PaymentTypeId for r in rows}
     assert pay[1] == 1 and pay[2] == 2 and pay[5] == 3 and pay[6] is None
 
