@@ -273,6 +273,20 @@ union all
 select CAST(row_number() over (order by PaymentTypeDesc) + (select coalesce(max(PaymentTypeId), 0) from first)
   AS INTEGER), PaymentTypeDesc from fresh"""
 
+DIM_PAYMENT_TYPES_WITH_NULL = """with src as (
+  select case when o_orderpriority <> '5-LOW' then o_orderpriority end as PaymentTypeDesc from orders),
+first as (
+  select CAST(row_number() over (order by PaymentTypeDesc NULLS FIRST) AS INTEGER) as PaymentTypeId,
+         PaymentTypeDesc
+  from (select distinct PaymentTypeDesc from src)),
+fresh as (
+  select PaymentTypeDesc from (select distinct PaymentTypeDesc from src) s
+  where not exists (select 1 from first f where f.PaymentTypeDesc is not distinct from s.PaymentTypeDesc))
+select PaymentTypeId, PaymentTypeDesc from first
+union all
+select CAST(row_number() over (order by PaymentTypeDesc NULLS FIRST)
+            + (select coalesce(max(PaymentTypeId), 0) from first) AS INTEGER), PaymentTypeDesc from fresh"""
+
 CALENDAR = """select CAST(d AS TIMESTAMP) as Date from (
   select unnest(generate_series(make_date(lo, 1, 1)::TIMESTAMP, make_date(hi, 12, 31)::TIMESTAMP, INTERVAL 1 DAY)) as d
   from (select CAST(year(min(o_orderdate)) AS INTEGER) lo, CAST(year(max(o_orderdate)) AS INTEGER) hi from orders))"""
@@ -326,6 +340,7 @@ ORACLE: dict[str, str] = {
     "dim_vertical": VERTICALS,
     "dim_worker": DIM_WORKER,
     "dim_payment_types": DIM_PAYMENT_TYPES,
+    "dim_payment_types_with_null": DIM_PAYMENT_TYPES_WITH_NULL,
     "dim_date": DIM_DATE,
     "fiscal_range_join": FISCAL_RANGE_JOIN,
 }

@@ -103,6 +103,18 @@ def q_dim_payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dimension_after(src, first, "PaymentTypeDesc", "PaymentTypeId")
 
 
+def q_dim_payment_types_with_null(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parity variant (NULL kept as a member): low-priority orders carry no
+    payment type; NULL gets an id (it sorts first) and a rerun adds nothing
+    for it, because NULL = NULL in the membership test."""
+    t = Tables(spark, sf_dir)
+    src = t.orders.select(F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority"))
+                          .alias("PaymentTypeDesc"))
+    first = dimension_after(src, _empty(spark, "PaymentTypeId int, PaymentTypeDesc string"),
+                            "PaymentTypeDesc", "PaymentTypeId", keep_null=True)
+    return dimension_after(src, first, "PaymentTypeDesc", "PaymentTypeId", keep_null=True)
+
+
 def q_dim_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     cal = calendar_for(t.orders, "o_orderdate")
@@ -129,6 +141,7 @@ QUERIES.update({
     "dim_vertical": q_dim_vertical,
     "dim_worker": q_dim_worker,
     "dim_payment_types": q_dim_payment_types,
+    "dim_payment_types_with_null": q_dim_payment_types_with_null,
     "dim_date": q_dim_date,
     "fiscal_range_join": q_fiscal_range_join,
 })
