@@ -1,6 +1,6 @@
 """Benchmark: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
-One warm-up, then the median of $BENCH_RUNS runs per query; each run builds
+Two warm-ups, then the median of $BENCH_RUNS runs per query; each run builds
 the plan (size checks included) and forces the full result with a ``noop``
 write. Prints ONE JSON line.
 """
@@ -50,7 +50,8 @@ def _force(df) -> None:
 
 
 def _time(fn, runs: int) -> float:
-    fn()  # warm-up
+    fn()  # warm-up (twice: code generation and JIT settle on the second run)
+    fn()
     xs = []
     for _ in range(runs):
         t = time.perf_counter()
