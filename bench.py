@@ -80,10 +80,10 @@ def main() -> None:
     if (not only and mode != "0") or mode == "only":
         t = Tables(spark, sf_dir)
         # sales-fact promotion matching: literal CASE join (nested loop) vs keyed
-        # join, same inputs, with the 25 nation promotions and with one
-        # promotion per supplier (1,000 at sf0.1)
+        # join, same inputs, with the stand-in promotions and with one
+        # promotion per supplier (1,000 at sf0.1); the stand-in has 35
         sol = si.salesorderline(t).select("RecordId", "BookDate", "Qty")
-        for label, src in (("25", si.promotable(t)), ("suppliers", _supplier_promos(t))):
+        for label, src in (("standin", si.promotable(t)), ("suppliers", _supplier_promos(t))):
             promos = promotions_view(src)
             kw = dict(valid_from="PR_ValidFrom", valid_to="PR_ValidTo")
             variants[f"promo_{label}_case_nested_loop"] = _time(
