@@ -74,19 +74,26 @@ def _epoch_day(c: Column) -> Column:
     return F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("long")
 
 
-def _window_keys(promos: DataFrame, vf: str, vt: str, month: int, unit: str) -> DataFrame:
+def _key_array(promos: DataFrame, vf: str, vt: str, month: int, unit: str) -> Column:
+    """Per promotion, the array of (kind, key) pairs it can match:
+    kind 0 = month-``month`` buckets of its validity window (epoch days, or
+    years for coarse windows), kind 1 = the start of its volume band."""
     s, e = F.col(vf), F.col(vt)
-    valid = promos.filter(s.isNotNull() & e.isNotNull() & (s <= e))
+    valid = s.isNotNull() & e.isNotNull() & (s <= e)
     if unit == "day":
-        days = valid.withColumn("__d", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
-        days = days.filter(F.month("__d") == month)
-        return days.withColumn("__kind", F.lit(0)).withColumn("__key", _epoch_day(F.col("__d"))).drop("__d")
-    # one key per year whose month-M overlaps the window
-    yrs = valid.withColumn("__y", F.explode(F.sequence(F.year(s), F.year(e))))
-    m_start = F.make_date(F.col("__y"), F.lit(month), F.lit(1))
-    m_end = F.last_day(m_start)
-    yrs = yrs.filter((m_end >= F.to_date(s)) & (m_start <= F.to_date(e)))
-    return yrs.withColumn("__kind", F.lit(0)).withColumn("__key", F.col("__y").cast("long")).drop("__y")
+        days = F.filter(F.sequence(F.to_date(s), F.to_date(e)), lambda d: F.month(d) == month)
+        win = F.transform(days, lambda d: F.struct(F.lit(0).alias("kind"), _epoch_day(d).alias("key")))
+    else:
+        def overlaps(y):
+            m_start = F.make_date(y, F.lit(month), F.lit(1))
+            return (F.last_day(m_start) >= F.to_date(s)) & (m_start <= F.to_date(e))
+        years = F.filter(F.sequence(F.year(s), F.year(e)), overlaps)
+        win = F.transform(years, lambda y: F.struct(F.lit(0).alias("kind"), y.cast("long").alias("key")))
+    empty = F.array().cast("array<struct<kind:int,key:bigint>>")
+    win = F.when(valid, win).otherwise(empty)
+    band = F.when(F.col("VolumeStart").isNotNull(),
+                  F.array(F.struct(F.lit(1).alias("kind"), F.col("VolumeStart").cast("long").alias("key"))))
+    return F.concat(win, F.coalesce(band, empty))
 
 
 def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDate",
@@ -115,11 +122,10 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
     unit = "day" if int(b["d"]) + int(b["q"]) <= limit else "year"
     bound = (int(b["d"]) if unit == "day" else int(b["y"])) + int(b["q"])
 
-    wk = _window_keys(promos, valid_from, valid_to, month, unit)
-    bk = (promos.filter(F.col("VolumeStart").isNotNull())
-          .withColumn("__kind", F.lit(1))
-          .withColumn("__key", F.col("VolumeStart").cast("long")))
-    keyed = wk.unionByName(bk)
+    # one pass over the promotions: each row explodes into all its keys
+    keyed = (promos.withColumn("__k", F.explode(_key_array(promos, valid_from, valid_to, month, unit)))
+                   .withColumn("__kind", F.col("__k.kind")).withColumn("__key", F.col("__k.key"))
+                   .drop("__k"))
     small = bound <= limit
 
     d, q = F.col(date_col), F.col(qty_col)
