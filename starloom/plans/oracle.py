@@ -365,7 +365,7 @@ DQ_DUPLICATES = """select l_orderkey, l_linenumber, count(*) as dup_count from l
 group by l_orderkey, l_linenumber having count(*) > 1"""
 
 DQ_NULL_COUNTS = "select count(*) as total_rows, " + ", ".join(
-    f"count_if({c} is null) as null_{c}" for c in LINEITEM_COLS) + " from lineitem"
+    f"CAST(count_if({c} is null) AS BIGINT) as null_{c}" for c in LINEITEM_COLS) + " from lineitem"
 
 
 def _key_validity(table: str, keys: list[str]) -> str:
@@ -373,7 +373,8 @@ def _key_validity(table: str, keys: list[str]) -> str:
     anynull = " or ".join(f"{c} is null" for c in keys)
     return f"""select CAST(sum(n) AS BIGINT) as total_rows,
   CAST(sum(case when has_null = 1 then n else 0 end) AS BIGINT) as null_key_rows,
-  count_if(n > 1 and has_null = 0) as duplicate_keys, count_if(has_null = 0) as distinct_keys,
+  CAST(count_if(n > 1 and has_null = 0) AS BIGINT) as duplicate_keys,
+  CAST(count_if(has_null = 0) AS BIGINT) as distinct_keys,
   sum(case when has_null = 1 then n else 0 end) = 0 and count_if(n > 1 and has_null = 0) = 0 as passed,
   '{table}' as table_name
 from (select {k}, count(*) as n, max(case when {anynull} then 1 else 0 end) as has_null
