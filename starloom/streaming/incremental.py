@@ -59,12 +59,13 @@ def append_batch(cat: Catalog, batch: DataFrame, batch_id: int, schema: str, tab
 def load_incremental(spark: SparkSession, cat: Catalog, path: str, schema: StructType,
                      target_schema: str, table: str, keys: list[str] | None = None,
                      order: list[str] | None = None, fmt: str = "csv", header: bool = True,
-                     checkpoint: str | None = None) -> int:
+                     checkpoint: str | None = None, partition_by: list[str] | None = None) -> int:
     """Process all new files under ``path`` into ``target_schema.table``.
 
     Without ``keys`` rows are appended (idempotently, see ``append_batch``;
     the table carries a ``_batch_id`` partition column). With ``keys`` each
-    batch is reduced to the latest row per key (by ``order``) and upserted.
+    batch is reduced to the latest row per key (by ``order``) and upserted;
+    with ``partition_by`` only the partitions a batch touches are rewritten.
     Returns the number of micro-batches run.
     """
     ckpt = checkpoint or f"{checkpoint_dir(spark)}/streams/{target_schema}.{table}"
@@ -74,7 +75,9 @@ def load_incremental(spark: SparkSession, cat: Catalog, path: str, schema: Struc
         batches["n"] += 1
         if keys:
             latest = keep_latest(batch, keys, order or [])
-            if cat.exists(target_schema, table):
+            if partition_by:
+                cat.upsert_partitions(latest, target_schema, table, keys, partition_by)
+            elif cat.exists(target_schema, table):
                 cat.overwrite(upsert(cat.read(target_schema, table), latest, keys),
                               target_schema, table)
             else:

@@ -95,3 +95,17 @@ def test_bucketed_tables_join_without_shuffle(spark, cat):
         assert j.count() == 4000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_upsert_partitions_rewrites_only_touched(spark, cat):
+    import os
+    first = spark.createDataFrame([(1, "a", 2023), (2, "b", 2023), (3, "c", 2024)], "k int, v string, y int")
+    cat.upsert_partitions(first, "t_cat", "part_up", ["k"], ["y"])
+    loc = spark.sql("describe formatted t_cat.part_up").filter("col_name = 'Location'").first().data_type
+    path_2023 = loc.replace("file:", "") + "/y=2023"
+    before = sorted(os.listdir(path_2023))
+    upd = spark.createDataFrame([(3, "c2", 2024), (4, "d", 2024)], "k int, v string, y int")
+    cat.upsert_partitions(upd, "t_cat", "part_up", ["k"], ["y"])
+    got = sorted((r.k, r.v, r.y) for r in cat.read("t_cat", "part_up").collect())
+    assert got == [(1, "a", 2023), (2, "b", 2023), (3, "c2", 2024), (4, "d", 2024)]
+    assert sorted(os.listdir(path_2023)) == before  # the untouched partition kept its files

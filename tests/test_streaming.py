@@ -49,3 +49,17 @@ def test_append_batch_replay_is_idempotent(spark):
     append_batch(cat, b1, 1, "stage", "replay")  # the same batch delivered again
     got = sorted((r.k, r._batch_id) for r in cat.read("stage", "replay").collect())
     assert got == [(1, 0), (2, 0), (3, 1)]
+
+
+def test_upsert_stream_partitioned(spark, scratch):
+    d = f"{scratch}/stream_in_c"
+    cat = Catalog(spark)
+    ck = f"{scratch}/stream_ck_c"
+    _drop(d, "1.csv", ["1,a,1", "2,x,1"])
+    load_incremental(spark, cat, d, SCHEMA, "stage", "state_c", keys=["k"], order=["seq"],
+                     checkpoint=ck, partition_by=["k"])
+    _drop(d, "2.csv", ["2,y,2", "3,z,1"])
+    load_incremental(spark, cat, d, SCHEMA, "stage", "state_c", keys=["k"], order=["seq"],
+                     checkpoint=ck, partition_by=["k"])
+    got = sorted((r.k, r.v) for r in cat.read("stage", "state_c").collect())
+    assert got == [(1, "a"), (2, "y"), (3, "z")]
