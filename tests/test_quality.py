@@ -41,3 +41,19 @@ def test_rules(spark):
     got = {r.rule: (r.failed_rows, r.total_rows, r.passed) for r in Q.run_rules(rules, t).collect()}
     assert got == {"nn": (1, 3, False), "uq": (2, 3, False), "range": (1, 3, False),
                    "fk": (0, 3, True), "cnt": (1, 1, False)}
+
+
+def test_orphan_count_plans(spark):
+    # a third of the fact rows reference one key that is missing from the dimension
+    fact = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, F.lit(999999)).otherwise(F.col("id") % 50)
+                                       .alias("fk"))
+    dim = spark.range(0, 40).select(F.col("id").alias("pk"))
+    want = 1000 + sum(1 for i in range(3000) if i % 3 and 40 <= i % 50)
+    small = Q.orphan_row_count(fact, dim, "fk", "pk")
+    big = Q.orphan_row_count(fact, dim, "fk", "pk", max_rows=1)
+    assert small.first().orphan_rows == want and big.first().orphan_rows == want
+    p_small = small._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in p_small and "BroadcastExchange" in p_small
+    p_big = big._jdf.queryExecution().executedPlan().toString()
+    # keys are counted (partial aggregate) before the join's shuffle
+    assert "LeftOuter" in p_big and p_big.index("LeftOuter") < p_big.index("partial_count")
