@@ -166,9 +166,46 @@ def _rule_frame(rule: Rule, tables: dict[str, DataFrame]) -> DataFrame:
                       (F.col("failed_rows") == 0).alias("passed"))
 
 
+_ROW_LEVEL = ("not_null", "valid", "row_count")
+
+
+def _row_level_failed(rule: Rule) -> Column:
+    """Aggregate expression counting a row-level rule's failures."""
+    if rule.kind == "not_null":
+        bad = None
+        for c in rule.columns:
+            bad = F.col(c).isNull() if bad is None else (bad | F.col(c).isNull())
+        return F.count_if(bad)
+    if rule.kind == "valid":
+        return F.count_if(~F.coalesce(F.expr(rule.predicate), F.lit(False)))
+    lo = rule.params.get("min", 0)
+    return F.when(F.count(F.lit(1)) < lo, F.lit(1)).otherwise(F.lit(0))
+
+
 def run_rules(rules: list[Rule], tables: dict[str, DataFrame]) -> DataFrame:
-    """Q8: evaluate every rule; one row per rule."""
-    frames = [_rule_frame(r, tables) for r in rules]
+    """Q8: evaluate every rule; one row per rule.
+
+    Row-level rules (not_null, valid, row_count) of one table share a single
+    aggregate pass over it, unpivoted into one row per rule; uniqueness and
+    foreign-key rules each need their own aggregate or join.
+    """
+    frames = []
+    grouped: dict[str, list[Rule]] = {}
+    for r in rules:
+        if r.kind in _ROW_LEVEL:
+            grouped.setdefault(r.table, []).append(r)
+        else:
+            frames.append(_rule_frame(r, tables))
+    for table, rs in grouped.items():
+        one = tables[table].agg(F.count(F.lit(1)).alias("__total"),
+                                *[_row_level_failed(r).alias(f"__f{i}") for i, r in enumerate(rs)])
+        per_rule = F.explode(F.array(*[
+            F.struct(F.lit(r.name).alias("rule"), F.lit(r.table).alias("table_name"),
+                     F.lit(r.kind).alias("kind"), F.col(f"__f{i}").cast("long").alias("failed_rows"),
+                     F.col("__total").cast("long").alias("total_rows"))
+            for i, r in enumerate(rs)]))
+        frames.append(one.select(per_rule.alias("__r")).select("__r.*")
+                      .withColumn("passed", F.col("failed_rows") == 0))
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
