@@ -60,6 +60,22 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
          or sc.getCheckpointDir())
     if not d:
         d = default or (spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+        if not default and sc.master.startswith("local") and not _local_writable(d):
+            # single-machine runs only: a cluster always gets the shared folder
+            import tempfile
+            d = tempfile.mkdtemp(prefix="starloom-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
+
+
+def _local_writable(path: str) -> bool:
+    """For a local filesystem path: can the folder (or its nearest existing
+    parent) be written? Non-local URIs are assumed writable."""
+    import os
+    if "://" in path and not path.startswith("file:"):
+        return True
+    p = path.removeprefix("file:")
+    while p and not os.path.exists(p):
+        p = os.path.dirname(p.rstrip("/"))
+    return bool(p) and os.access(p, os.W_OK)
