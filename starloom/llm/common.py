@@ -90,3 +90,48 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 def no_null(c, default=""):
     return F.coalesce(c, F.lit(default))
+
+
+#: Bits of a Bloom filter (4 MB), and of each piece it is put together from.
+BLOOM_BITS, PIECE_BITS = 1 << 25, 1 << 16
+
+
+def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    m = np.uint64(BLOOM_BITS - 1)
+    return h & m, (h >> np.uint64(32)) & m
+
+
+def bloom_filter(hashes: DataFrame) -> bytes:
+    """A Bloom filter of the 64-bit hashes in the first column, of BLOOM_BITS bits whatever their number.
+
+    Pieces of fixed size are filled on the executors; the driver only puts
+    them together. More hashes than it has room for let more through, no fewer.
+    """
+    def to_bits(b: pa.RecordBatch) -> pa.RecordBatch:
+        x, y = _probes(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        bits = np.unique(np.concatenate([x, y])).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(bits // PIECE_BITS), pa.array(bits % PIECE_BITS)], ["piece", "bit"])
+
+    def fill(t: pa.Table) -> pa.Table:
+        a = np.zeros(PIECE_BITS, bool)
+        a[t.column("bit").to_numpy()] = True
+        return pa.table({"piece": pa.array([t.column("piece")[0].as_py()], pa.int64()),
+                         "bits": pa.array([np.packbits(a).tobytes()], pa.binary())})
+    rows = (arrow_map(hashes, to_bits, "piece long, bit long").distinct()
+            .groupBy("piece").applyInArrow(fill, "piece long, bits binary").collect())
+    out = bytearray(BLOOM_BITS // 8)
+    for r in rows:
+        at = r["piece"] * (PIECE_BITS // 8)
+        out[at:at + PIECE_BITS // 8] = r["bits"]
+    return bytes(out)
+
+
+def open_filter(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8)
+
+
+def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """True where a hash may be in the filter."""
+    one, two = _probes(h)
+    return ((bits[one >> np.uint64(3)] >> (7 - (one & np.uint64(7))).astype(np.uint8))
+            & (bits[two >> np.uint64(3)] >> (7 - (two & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)
