@@ -114,13 +114,17 @@ class Ftrl:
 
 
 def temperature(logits: np.ndarray, y: np.ndarray) -> float:
-    """The temperature with the lowest log loss on rows that the weights were not learned from."""
-    if not len(y):
+    """The temperature with the lowest log loss on rows that the weights were not learned from.
+
+    One wrong row among one more is allowed for, so a sample without errors does not claim certainty.
+    """
+    if not len(y) or logits.shape[1] < 2:
         return 1.0
+    slack = 1 / (len(y) + 1)
 
     def loss(log_t: float) -> float:
-        p = softmax(logits / math.exp(log_t))
-        return float(-np.log(np.maximum(p[np.arange(len(y)), y], 1e-12)).mean())
+        p = np.log(np.maximum(softmax(logits / math.exp(log_t)), 1e-12))
+        return float(-((1 - slack) * p[np.arange(len(y)), y] + slack * p.mean(axis=1)).mean())
     lo, hi, r = math.log(0.02), math.log(20.0), (math.sqrt(5) - 1) / 2
     for _ in range(40):
         a, b = hi - r * (hi - lo), lo + r * (hi - lo)

@@ -267,13 +267,13 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     src = src.withColumn("key", F.xxhash64("host", "html"))
 
     def seen(b: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, keys, digests = [], [], []
+        hosts, keys, marks = [], [], []
         for h, k, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
             found = digests(x)
             hosts += [h] * len(found)
             keys += [k] * len(found)
-            digests += found
-        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(digests, pa.int64())],
+            marks += found
+        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(marks, pa.int64())],
                                           ["host", "key", "digest"])
 
     def cut_up(b: pa.RecordBatch) -> pa.RecordBatch:
