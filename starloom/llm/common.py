@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -34,6 +35,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared checkpoint folder and read again:
+    Spark then knows its size, and broadcasts it in a join only if that is
+    under the session's threshold."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 

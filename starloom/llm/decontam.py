@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, table, utf8
+from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, stored, table, utf8
 
 #: Fixed masks. Together they hit every 13-word overlap with at most two substituted words.
 MASKS = ("1110111", "100011111", "111010001001", "110000110011")
@@ -169,7 +169,7 @@ def text_key():
 
 def clean(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """``docs`` without the rows that leak an item; every column stays."""
-    bad = contaminated(docs, benchmark, rule).select(F.col("row_hash").alias("_leaks")).distinct()
+    bad = stored(contaminated(docs, benchmark, rule).select(F.col("row_hash").alias("_leaks")).distinct())
     return docs.join(bad, text_key() == F.col("_leaks"), "left_anti")
 
 

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, table, utf8
+from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, stored, table, utf8
 from starloom.llm.components import components
 
 #: A band holds sizes up to this times its smallest.
@@ -441,10 +441,20 @@ def keep_one(docs: DataFrame, sim: Similarity) -> DataFrame:
     named = (feats.where("node is not null").select("doc_id", "text_key", "node").join(comps, "node", "left")
              .withColumn("label", F.coalesce("comp", "node")))
     best = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_key")).alias("x"))
-    gone = (named.join(best, "label").where("not (doc_id <=> x.doc_id and text_key = x.text_key)")
-            .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct())
+    gone = stored(named.join(best, "label").where("not (doc_id <=> x.doc_id and text_key = x.text_key)")
+                  .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct())
     kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left_anti")
-    return kept
+    again = (named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+             .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")))
+    again = stored(again)
+    return kept if again.isEmpty() else _once(kept, again)
+
+
+def _once(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """``docs`` with a single row for each (doc_id, text) in ``again``; the others pass as they are."""
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
+    many = docs.join(again, on, "left_semi").withColumn("_k", F.xxhash64("text"))
+    return docs.join(again, on, "left_anti").unionByName(many.dropDuplicates(["doc_id", "_k"]).drop("_k"))
 
 
 def op1_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

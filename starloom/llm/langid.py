@@ -261,5 +261,16 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return arrow_map(src, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
+def keep_known(docs: DataFrame, min_score: float = 0.5, model: Model | None = None) -> DataFrame:
+    """``docs`` without the rows whose language is undetermined or scored under ``min_score``; every column stays."""
+    model = model or train_model(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(b: pa.RecordBatch) -> pa.RecordBatch:
+        got = [shared.value.predict(x) for x in b.column(b.schema.get_field_index("text")).to_pylist()]
+        return b.filter(pa.array([lang != UNDETERMINED and score >= min_score for lang, score in got], pa.bool_()))
+    return arrow_map(docs, run, docs.schema)
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
