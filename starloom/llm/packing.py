@@ -80,11 +80,13 @@ def best_fit(histogram: dict[int, int], capacities: tuple[int, ...] = CAPACITIES
                 first, n = space[room].pop(0)
                 if not space[room]:
                     del space[room], free[i]
-                used = min(n, left)
+                # the fullest bin that fits stays the fullest that fits, so it is filled before the next
+                per = min(room // length, left)
+                used = min(n, left // per)
                 give(room, first + used, n - used)
-                give(room - length, first, used)
-                rows.append((length, rank, first, 1))
-                rank, left = rank + used, left - used
+                give(room - per * length, first, used)
+                rows.append((length, rank, first, per))
+                rank, left = rank + used * per, left - used * per
                 continue
             fits = [c for c in caps if c >= length]
             cap = min(fits, key=lambda c: (cost(c) / (c // length * length), c))
