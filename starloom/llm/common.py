@@ -98,6 +98,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def sampled(df: DataFrame, n: int, share: float = 1.0) -> DataFrame:
+    """About n / share rows for a model to be fitted on, never twice as many: those whose doc_id's hash is low.
+
+    share: the part of the rows that is of use to the caller, roughly.
+    """
+    n = int(n / share)
+    rate = min(1.0, n / max(1, df.count()))
+    u = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / F.lit(float(1 << 53))
+    return df.where(u < rate).limit(2 * n)
+
+
 def no_null(c, default=""):
     return F.coalesce(c, F.lit(default))
 

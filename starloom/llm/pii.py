@@ -20,13 +20,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import arrow_map, table
+from starloom.llm.common import arrow_map, sampled, table
 
 KINDS = ("email", "ip", "card", "phone")
 #: Characters of a window, the step between windows, and what is looked at on each side of a digit or at sign.
 WINDOW, STEP, REACH = 64, 32, 24
 #: The model is trained on at most so many windows, of so many digit-bearing documents (those whose ids hash lowest).
 TRAIN_DOCS, TRAIN_WINDOWS = 400, 1500
+#: The share of documents that hold digits, roughly: TRAIN_DOCS / TRAIN_SHARE documents are looked at.
+TRAIN_SHARE = 0.1
 #: A span of the model is added when its characters' mean margin over "no span" is this high.
 MIN_MARGIN = 0.9
 
@@ -342,7 +344,7 @@ def joined(spans: list[tuple[int, str, int]]) -> str:
 
 
 def train_on(docs: DataFrame) -> Tagger | None:
-    """Trained on the digit-bearing documents among the TRAIN_DOCS whose ids hash lowest, at most TRAIN_WINDOWS windows of them.
+    """Trained on digit-bearing documents whose ids hash lowest, at most TRAIN_WINDOWS windows of them.
 
     The tasks send the windows' surroundings, never whole texts.
     """
@@ -354,9 +356,10 @@ def train_on(docs: DataFrame) -> Tagger | None:
                 keys.append(k)
                 bits.append("\x00".join(x[max(0, s - STEP):s + WINDOW + STEP] for s in starts[:64]))
         return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(bits, pa.string())], ["h", "bits"])
-    src = (docs.select(F.xxhash64("doc_id").alias("h"), F.col("text").cast("string").alias("text"))
-           .where(F.col("text").rlike("[0-9@]")))
-    rows = (arrow_map(src, cut_out, "h long, bits string").orderBy("h", "bits").limit(TRAIN_DOCS).collect())
+    src = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    src = (sampled(src, TRAIN_DOCS, TRAIN_SHARE).where(F.col("text").rlike("[0-9@]"))
+           .select(F.xxhash64("doc_id").alias("h"), "text"))
+    rows = sorted(arrow_map(src, cut_out, "h long, bits string").collect(), key=lambda r: (r["h"], r["bits"]))
     return train_tagger([x for r in rows for x in r["bits"].split("\x00")])
 
 
