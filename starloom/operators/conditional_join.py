@@ -19,6 +19,8 @@ single pass over the lines, and the exact CASE is kept as the residual.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,35 +101,41 @@ def _key_array(promos: DataFrame, vf: str, vt: str, month: int, unit: str) -> Co
 def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDate",
                    qty_col: str = "Qty", valid_from: str = "ValidFrom",
                    valid_to: str = "ValidTo", month: int = WINDOW_MONTH,
-                   max_rows: int = BROADCAST_MAX_ROWS, salt_buckets: int = 16) -> DataFrame:
+                   max_rows: int = BROADCAST_MAX_ROWS, rows_per_task: int = 1_000_000) -> DataFrame:
     """Left join lines to banded promotions (see module doc).
 
-    ``promos`` must already carry VolumeStart / VolumeEnd; column names of the
-    two inputs must not overlap. Fan-out is kept: a line inside two windows
-    yields two rows, as in the source.
+    ``promos`` must already carry VolumeStart / VolumeEnd out of the fixed
+    bands (others raise ValueError: the band keys would not find them);
+    column names of the two inputs must not overlap. Fan-out is kept: a line
+    inside two windows yields two rows, as in the source.
 
-    When the key side is too large to broadcast, the join shuffles on the
-    key; a volume band holds about a fifth of all lines, so the key is
-    salted: each line draws a salt in [0, salt_buckets) and every key row is
-    replicated once per salt, spreading a hot key over that many tasks.
+    One aggregate over the promotions checks the bands and bounds the keys.
+    If the key side is too large to broadcast, the join shuffles by day and
+    band; a band holds about a fifth of all lines, so keys are salted, with
+    as many salts as leave about ``rows_per_task`` lines of a band to a task.
+    A line's salt is a hash of its row, the same whenever it is recomputed.
     """
     s, e = F.to_date(F.col(valid_from)), F.to_date(F.col(valid_to))
     valid = F.col(valid_from).isNotNull() & F.col(valid_to).isNotNull() & (F.col(valid_from) <= F.col(valid_to))
-    # one pass over the promotions bounds both key sets (day keys, year keys, band keys)
+    banded = F.col("VolumeStart").isNotNull() | F.col("VolumeEnd").isNotNull()
+    fixed = F.lit(False)
+    for _, lo, hi in VOLUME_BANDS:
+        fixed = fixed | (F.col("VolumeStart").eqNullSafe(F.lit(lo)) & F.col("VolumeEnd").eqNullSafe(F.lit(hi)))
     b = promos.agg(
         F.coalesce(F.sum(F.when(valid, F.datediff(e, s) + 1)), F.lit(0)).alias("d"),
         F.coalesce(F.sum(F.when(valid, F.year(e) - F.year(s) + 1)), F.lit(0)).alias("y"),
-        F.count_if(F.col("VolumeStart").isNotNull()).alias("q")).first()
+        F.count_if(banded).alias("q"), F.count_if(banded & ~fixed).alias("other")).first()
+    if b["other"]:
+        raise ValueError(f"{b['other']} promotions have a volume band that is none of {VOLUME_BANDS}")
     limit = row_bound(promos, max_rows)
-    unit = "day" if int(b["d"]) + int(b["q"]) <= limit else "year"
-    bound = (int(b["d"]) if unit == "day" else int(b["y"])) + int(b["q"])
+    days, years = int(b["d"]) + int(b["q"]), int(b["y"]) + int(b["q"])
+    unit = "year" if years <= limit < days else "day"
+    small = min(days, years) <= limit
 
     # one pass over the promotions: each row explodes into all its keys
     keyed = (promos.withColumn("__k", F.explode(_key_array(promos, valid_from, valid_to, month, unit)))
                    .withColumn("__kind", F.col("__k.kind")).withColumn("__key", F.col("__k.key"))
                    .drop("__k"))
-    small = bound <= limit
-
     d, q = F.col(date_col), F.col(qty_col)
     in_month = F.month(d) == month
     date_key = _epoch_day(d) if unit == "day" else F.year(d).cast("long")
@@ -141,17 +149,9 @@ def promotion_join(lines: DataFrame, promos: DataFrame, date_col: str = "BookDat
     if small:
         keyed = F.broadcast(keyed)
     else:
-        left = left.withColumn("__lsalt", F.floor(F.rand(17) * salt_buckets).cast("int"))
-        keyed = keyed.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+        salts = max(1, math.ceil(lines.count() / (len(VOLUME_BANDS) * rows_per_task)))
+        left = left.withColumn("__lsalt", F.pmod(F.xxhash64(*lines.columns), F.lit(salts)))
+        keyed = keyed.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {salts - 1}L)")))
         cond = cond & (F.col("__lsalt") == F.col("__salt"))
     out = left.join(keyed, cond, "left")
     return out.drop("__lkind", "__lkey", "__kind", "__key", "__lsalt", "__salt")
-
-
-def promotion_join_nested(lines: DataFrame, promos: DataFrame, date_col: str = "BookDate",
-                          qty_col: str = "Qty", valid_from: str = "ValidFrom",
-                          valid_to: str = "ValidTo", month: int = WINDOW_MONTH) -> DataFrame:
-    """Literal CASE join (nested loop); reference semantics for tests."""
-    cond = case_predicate(F.col(date_col), F.col(qty_col), F.col(valid_from),
-                          F.col(valid_to), F.col("VolumeStart"), F.col("VolumeEnd"), month)
-    return lines.join(promos, cond, "left")

@@ -1,7 +1,7 @@
 """History and incremental loading: neighbours in key order, SCD type 2,
 snapshot change detection, upsert without MERGE, high-water-mark loads.
 
-``neighbor_in_key`` is the skew-safe replacement for lag/lead over
+``neighbor_in_key`` is the skew-safe alternative to lag/lead over
 ``Window.partitionBy(key)``: rows are range-partitioned on (key, order), so
 a key holding a third of all rows is spread over many tasks. Each range
 partition computes its neighbours locally; the first (or last) row of every
@@ -71,7 +71,7 @@ def neighbor_in_key(df: DataFrame, keys: list[str], order: list[str], cols: list
 
 
 def scd2(changes: DataFrame, keys: list[str], ts: str, tracked: list[str],
-         tiebreak: list[str] | None = None) -> DataFrame:
+         tiebreak: list[str] | None = None, split_keys: bool = False) -> DataFrame:
     """Validity intervals from a change feed.
 
     A new version starts at a key's first row and wherever any tracked
@@ -79,15 +79,27 @@ def scd2(changes: DataFrame, keys: list[str], ts: str, tracked: list[str],
     the next version starts (ValidTo NULL and IsCurrent for the last one).
     ``ts`` plus ``tiebreak`` must order each key's rows totally.
     Output: keys, tracked columns, ValidFrom, ValidTo, IsCurrent, VersionHash.
+
+    Both steps are windows over the key, which share one shuffle and sort. If
+    single keys hold too many rows for a task, ``split_keys`` works them out
+    by ``neighbor_in_key`` instead, at the cost of two checkpoints.
     """
     order = [ts] + (tiebreak or [])
-    base = changes.select(*keys, *order, *tracked).withColumn("__one", F.lit(1))
-    with_prev = neighbor_in_key(base, keys, order, tracked + ["__one"], "prev", prefix="__p_")
+    base = changes.select(*keys, *order, *[c for c in tracked if c not in order]).withColumn("__one", F.lit(1))
+    seen = [*tracked, "__one"]
+    if split_keys:
+        with_prev = neighbor_in_key(base, keys, order, seen, "prev", prefix="__p_")
+    else:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        with_prev = base.select("*", *[F.lag(c).over(w).alias(f"__p_{c}") for c in seen])
     start = F.col("__p___one").isNull()
     for c in tracked:
         start = start | ~F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-    starts = with_prev.filter(start).select(*keys, *order, *tracked)
-    nxt = neighbor_in_key(starts, keys, order, [ts], "next", prefix="__n_")
+    starts = with_prev.filter(start).select(*base.columns)
+    if split_keys:
+        nxt = neighbor_in_key(starts, keys, order, [ts], "next", prefix="__n_")
+    else:
+        nxt = starts.withColumn(f"__n_{ts}", F.lead(ts).over(w))
     return nxt.select(
         *keys, *tracked,
         F.col(ts).alias("ValidFrom"),
@@ -125,10 +137,27 @@ def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str],
     return out.filter(F.col("change").isNotNull())
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(target: DataFrame, updates: DataFrame, keys: list[str],
+           order: list[str] | None = None) -> DataFrame:
     """MERGE-free upsert: every update row, plus target rows whose key is not
-    updated (NULL-safe key match). Columns follow ``target``."""
+    updated (NULL-safe key match). Columns follow ``target``; an update with
+    other columns raises.
+
+    With ``order``, the row with the larger order tuple wins (an update wins
+    ties), so a late row never replaces a newer one; both sides hold one row
+    per key. It is one aggregate over both sides, so nothing depends on which
+    of them is larger.
+    """
+    mine, theirs = {c.lower() for c in target.columns}, {c.lower() for c in updates.columns}
+    if mine != theirs:
+        raise ValueError(f"an upsert needs the same columns on both sides; they differ in {sorted(mine ^ theirs)}")
     u = updates.select(*target.columns)
+    if order:
+        rest = [c for c in target.columns if c not in keys]
+        packed = F.struct(*[F.col(c) for c in order], F.col("__new"), *[F.col(c) for c in rest if c not in order])
+        both = target.withColumn("__new", F.lit(0)).unionByName(u.withColumn("__new", F.lit(1)))
+        best = both.groupBy(*keys).agg(F.max(packed).alias("__best"))
+        return best.select(*[F.col(c) if c in keys else F.col("__best")[c].alias(c) for c in target.columns])
     cond = None
     uk = u.select(*[F.col(k).alias(f"__u_{k}") for k in keys]).distinct()
     for k in keys:
@@ -139,10 +168,18 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def incremental_after(df: DataFrame, ts: str, watermark, keys: list[str] | None = None,
-                      order: list[str] | None = None) -> DataFrame:
+                      order: list[str] | None = None, inclusive: bool = False) -> DataFrame:
     """Rows newer than the high-water mark; with ``keys``, only the latest
-    row per key (skew-safe aggregate, see keep_latest)."""
-    fresh = df.filter(F.col(ts) > F.lit(watermark).cast(df.schema[ts].dataType))
+    row per key (skew-safe aggregate, see keep_latest).
+
+    Rows without a timestamp are loaded by every run, as no run could tell
+    that it is their turn; ``inclusive`` also takes the rows at the mark,
+    for sources that go on writing at their last timestamp. An upsert makes
+    both harmless.
+    """
+    mark = F.lit(watermark).cast(df.schema[ts].dataType)
+    newer = F.col(ts) >= mark if inclusive else F.col(ts) > mark
+    fresh = df.filter(newer | F.col(ts).isNull())
     if not keys:
         return fresh
     return keep_latest(fresh, keys, order or [ts])

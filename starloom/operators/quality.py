@@ -12,8 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import broadcast_if_small
-
 
 def record_counts(source: DataFrame, target: DataFrame, check: str = "record_count") -> DataFrame:
     """Q1: source vs target row counts in one row (no cross join: a union
@@ -60,29 +58,21 @@ def key_validity(df: DataFrame, keys: list[str]) -> DataFrame:
 def orphans(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Q5: fact rows whose non-NULL foreign key has no dimension row."""
     d = dim.select(F.col(dim_key).alias("__dk")).distinct()
-    d, _ = broadcast_if_small(d)
     f = fact.filter(F.col(fact_key).isNotNull())
     return f.join(d, F.col(fact_key) == F.col("__dk"), "left_anti")
 
 
-def orphan_row_count(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                     max_rows: int | None = None) -> DataFrame:
+def orphan_row_count(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str) -> DataFrame:
     """Q5 as a count: one row ``orphan_rows``.
 
-    Dimension keys provably small: broadcast anti join straight on the fact
-    rows (no shuffle of the fact at all), then a global count.
-    Otherwise the fact keys are counted per value first, so a foreign key
-    held by a third of the rows is collapsed by the map-side partial
-    aggregate before the join's shuffle. That order is written as a left
-    outer join + IS NULL, because Catalyst would push a left anti join back
-    below the aggregate.
+    The fact keys are counted per value first, so a foreign key held by a
+    third of the rows is collapsed by the map-side partial aggregate before
+    the join, whose sides are then one row per key. That order is written as
+    a left outer join + IS NULL, because Catalyst would push a left anti join
+    back below the aggregate.
     """
     d = dim.select(F.col(dim_key).alias("__dk")).distinct()
     f = fact.filter(F.col(fact_key).isNotNull())
-    d, small = broadcast_if_small(d, **({} if max_rows is None else {"max_rows": max_rows}))
-    if small:
-        missing = f.join(d, F.col(fact_key) == F.col("__dk"), "left_anti")
-        return missing.agg(F.count(F.lit(1)).cast("long").alias("orphan_rows"))
     keys = f.groupBy(F.col(fact_key).alias("__fk")).agg(F.count(F.lit(1)).alias("__n"))
     missing = keys.join(d, F.col("__fk") == F.col("__dk"), "left").filter(F.col("__dk").isNull())
     return missing.agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("orphan_rows"))

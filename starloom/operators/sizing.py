@@ -1,14 +1,13 @@
-"""Size checks that gate broadcasts and single-task steps.
+"""The row bound under which a side may be broadcast explicitly.
 
-A broadcast or a single-partition step is only taken after proving the input
-is below a row bound; above it the caller gets the shuffle-based plan and AQE
-(skew join, partition coalescing) handles the rest.
+Lookups carry no hint: Spark decides by file sizes and run-time statistics.
+Only the bucketed joins, whose exploded size is known from one aggregate,
+broadcast by hand, and only under this bound.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Bounds under which a side is broadcast: at most 2M rows and at most
@@ -32,40 +31,3 @@ def row_bound(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
               max_bytes: int = BROADCAST_MAX_BYTES) -> int:
     """Largest row count of ``df`` that is still safe to broadcast."""
     return max(0, min(max_rows, max_bytes // row_width(df)))
-
-
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: each task stops after max_rows+1
-    rows, so the check costs at most one bounded pass, never a full count of
-    a large table.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def small_flags(dfs: list[DataFrame], max_rows: int = BROADCAST_MAX_ROWS) -> list[bool]:
-    """``at_most`` for several frames in one job (a union of bounded limits);
-    each frame's bound also respects the byte estimate of its rows."""
-    if not dfs:
-        return []
-    bounds = [row_bound(df, max_rows) for df in dfs]
-    parts = [df.limit(b + 1).select(F.lit(i).alias("__i")) for i, (df, b) in enumerate(zip(dfs, bounds))]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    counts = {r["__i"]: r["n"] for r in u.groupBy("__i").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return [counts.get(i, 0) <= b for i, b in enumerate(bounds)]
-
-
-def broadcast_all_if_small(*dfs: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> list[DataFrame]:
-    """Each frame with a broadcast hint when proven small; one job for all."""
-    return [F.broadcast(d) if ok else d for d, ok in zip(dfs, small_flags(list(dfs), max_rows))]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Return (df with a broadcast hint, True) when proven small (rows and
-    estimated bytes), else (df, False)."""
-    if at_most(df, row_bound(df, max_rows)):
-        return F.broadcast(df), True
-    return df, False

@@ -7,13 +7,12 @@ new ids     = max(existing id, default 0) + row_number() over (order by member)
 is planned here (NULL = NULL, as in set operations). Existing ids are never
 touched; a rerun with no new member yields no rows.
 
-Numbering: a global ``row_number()`` runs in one task, so it is used only
-when the new-member set is proven small. Above that bound the members are
-range-partitioned on the order key, numbered inside each partition, and
-shifted by the row counts of the preceding partitions (a table with one row
-per partition). The partitioned data is checkpointed to the shared
-checkpoint folder first so both uses see the same partitioning, even after
-an executor loss.
+Numbering: the new members are range-partitioned on the order key, numbered
+inside each partition, and shifted by the row counts of the preceding
+partitions (a table with one row per partition). The partitioned members are
+written to the shared checkpoint folder once, so they are worked out a single
+time, both uses see the same partitioning even after an executor loss, and no
+task ever holds them all.
 """
 
 from __future__ import annotations
@@ -21,12 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import BROADCAST_MAX_ROWS, at_most, broadcast_if_small
 from starloom.session import checkpoint_dir
 
-SINGLE_TASK_MAX_ROWS = 1_000_000
-
-
 def distinct_members(source: DataFrame, member: str, keep_null: bool = False,
                      trim: bool = False) -> DataFrame:
     c = F.trim(F.col(member)) if trim else F.col(member)
@@ -34,36 +29,20 @@ def distinct_members(source: DataFrame, member: str, keep_null: bool = False,
     return m if keep_null else m.filter(F.col(member).isNotNull())
 
 
-def new_members(members: DataFrame, existing: DataFrame, member: str,
-                small: bool | None = None) -> DataFrame:
+def new_members(members: DataFrame, existing: DataFrame, member: str) -> DataFrame:
     """Members not already in ``existing`` (null-safe), given distinct members."""
     ex = existing.select(F.col(member).alias("__ex")).distinct()
-    if small is None:
-        ex, _ = broadcast_if_small(ex)
-    elif small:
-        ex = F.broadcast(ex)
     return members.join(ex, F.col(member).eqNullSafe(F.col("__ex")), "left_anti")
 
 
-def existing_stats(existing: DataFrame, id_col: str) -> tuple[int, int]:
-    """(ifnull(max(id), 0), row count) of the target in one aggregate: two
-    scalars to the driver, never the rows."""
-    r = existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m"), F.count(F.lit(1)).alias("n")).first()
-    return int(r["m"]), int(r["n"])
-
-
 def max_id(existing: DataFrame, id_col: str) -> int:
-    """ifnull(max(id), 0) as a driver scalar (one value, not data)."""
-    return existing_stats(existing, id_col)[0]
+    """ifnull(max(id), 0): one scalar to the driver, never rows."""
+    return int(existing.agg(F.coalesce(F.max(id_col), F.lit(0)).alias("m")).first()["m"])
 
 
 def dense_number(df: DataFrame, order_col: str, id_col: str, offset: int = 0,
-                 single_task_max: int = SINGLE_TASK_MAX_ROWS,
                  partitions: int | None = None) -> DataFrame:
     """Add ``id_col`` = offset + 1-based rank of ``order_col`` (values distinct)."""
-    if at_most(df, single_task_max):
-        w = Window.orderBy(F.col(order_col).asc_nulls_first())
-        return df.withColumn(id_col, F.row_number().over(w) + F.lit(offset))
     spark = df.sparkSession
     checkpoint_dir(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -87,9 +66,8 @@ def incremental_keys(source: DataFrame, existing: DataFrame, member: str, id_col
                      id_type: str = "int") -> DataFrame:
     """Rows to append to an insert-only dimension: (id_col, member)."""
     members = distinct_members(source, member, keep_null=keep_null, trim=trim)
-    base, n_existing = existing_stats(existing, id_col)
-    fresh = new_members(members, existing, member, small=n_existing <= BROADCAST_MAX_ROWS)
-    out = dense_number(fresh, member, id_col, offset=base)
+    fresh = new_members(members, existing, member)
+    out = dense_number(fresh, member, id_col, offset=max_id(existing, id_col))
     return out.select(F.col(id_col).cast(id_type).alias(id_col), F.col(member))
 
 

@@ -29,20 +29,21 @@ BRONZE = "bronze"
 
 
 def load_bronze(spark: SparkSession, cat: Catalog, raw_root: str, fmt: str = "parquet",
-                specs=BRONZE_SPECS, schema: str = BRONZE) -> DataFrame:
+                specs=BRONZE_SPECS, schema: str = BRONZE, allow_schema_change: bool = False) -> DataFrame:
     """Overwrite each bronze table from its raw path and reconcile counts.
 
     Returns one row per table: (table, status, source_rows, target_rows,
-    passed, error); a missing raw path is reported, not fatal.
+    passed, error); a missing raw path, or a schema that differs from the
+    table's where that is not allowed, is reported, not fatal.
     """
     rows = []
     for table, raw in specs:
         try:
             src = read_raw(spark, f"{raw_root}/{raw}", fmt)
-            cat.overwrite(src, schema, table, allow_schema_change=True)
+            cat.overwrite(src, schema, table, allow_schema_change=allow_schema_change)
             rc = record_counts(read_raw(spark, f"{raw_root}/{raw}", fmt), cat.read(schema, table)).first()
             rows.append((table, "loaded", rc["source_rows"], rc["target_rows"], rc["passed"], None))
         except Exception as e:  # noqa: BLE001 - reported per table
-            rows.append((table, "failed", None, None, False, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((table, "failed", None, None, False, f"{type(e).__name__}: {e}"))
     return spark.createDataFrame(rows, "table string, status string, source_rows long, "
                                        "target_rows long, passed boolean, error string")

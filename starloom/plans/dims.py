@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from starloom.functions.conform import (NULL_TS_DEFAULT, OPEN_END_DEFAULT, audit_ts,
                                         date_key, hash_key, to_local, trimmed, ts_default)
 from starloom.operators.range_join import interval_join
-from starloom.operators.sizing import broadcast_if_small
-from starloom.operators.surrogate import dimension_after, incremental_keys
+from starloom.operators.surrogate import incremental_keys
 
 _OPS = {
     "id": lambda c: F.col(c),
@@ -32,7 +31,9 @@ _OPS = {
 class DimSpec:
     """name: silver table; source: bronze table; key: NULL filter column;
     columns: (output, op, source column) with op in id/trim/local/default;
-    record_id: output column holding the record id; hash_col: its hash."""
+    record_id: output column holding the record id; hash_col: its hash;
+    optional: source columns an entity may lack, with the type of the NULLs
+    that stand in for them."""
     name: str
     source: str
     key: str
@@ -40,6 +41,7 @@ class DimSpec:
     record_id: str
     hash_col: str
     extra: tuple = field(default=())
+    optional: dict = field(default_factory=dict)
 
 
 def _std() -> tuple:
@@ -64,7 +66,7 @@ SPECS: dict[str, DimSpec] = {s.name: s for s in (
         ("State", "trim", "State"), ("Country", "trim", "Country"),
         ("ZipCode", "trim", "ZipCode"), ("Region", "trim", "Region"),
         ("SignupDate", "local", "SignupDate"), ("CustRecordId", "id", "RecordId")),
-        "CustRecordId", "CustHashKey"),
+        "CustRecordId", "CustHashKey", optional={"ZipCode": "string"}),
     DimSpec("dimpromotable", "promotable", "RecordId", (
         ("PromotionId", "id", "PromotionId"), *_std(),
         ("PromotionName", "trim", "PromotionName"), ("PromoCode", "trim", "PromoCode"),
@@ -109,17 +111,24 @@ def vendor_discount(country: Column) -> Column:
     return F.when(country == VENDOR_DISCOUNT_COUNTRY, F.lit(VENDOR_DISCOUNT)).otherwise(F.lit(0.0))
 
 
-def _expr(op: str, src: str, df: DataFrame) -> Column:
-    if src not in df.columns:
-        # real entities may lack optional attributes (e.g. ZipCode): NULL
-        return F.lit(None).cast("string")
-    return _OPS[op](src)
+def _expr(op: str, src: str, df: DataFrame, optional: dict) -> Column:
+    """The rule over ``src``, whose name is matched without regard to case;
+    a missing column must be declared optional."""
+    found = [c for c in df.columns if c.lower() == src.lower()]
+    if len(found) == 1:
+        return _OPS[op](found[0])
+    if found:
+        raise ValueError(f"columns {found} differ only in case")
+    if src not in optional:
+        raise ValueError(f"the source lacks the column {src}; it has {df.columns}")
+    return F.lit(None).cast(optional[src])
 
 
 def build_dim(spec: DimSpec, src: DataFrame, as_of: _dt.datetime | None = None,
               legacy_names: bool = False, audit: bool = True) -> DataFrame:
-    df = src.filter(F.col(spec.key).isNotNull())
-    out = df.select(*[_expr(op, s, df).alias(o) for o, op, s in spec.columns])
+    """``spec`` over its source; column names are matched without regard to case."""
+    df = src.filter(_expr("id", spec.key, src, {}).isNotNull())
+    out = df.select(*[_expr(op, s, df, spec.optional).alias(o) for o, op, s in spec.columns])
     if audit:
         out = out.withColumn("UpdatedDateTime", audit_ts(as_of))
     out = out.withColumn(spec.hash_col, hash_key(spec.record_id))
@@ -170,7 +179,6 @@ def dim_worker(workers: DataFrame, dimvertical: DataFrame, as_of: _dt.datetime |
     """Workers with the surrogate id of their (trimmed) vertical."""
     w = workers.filter(F.col("RecordId").isNotNull())
     v = dimvertical.select(F.col("Vertical").alias("__v"), F.col("VerticalId").alias("__vid"))
-    v, _ = broadcast_if_small(v)
     j = w.join(v, F.trim(F.col("Vertical")) == F.col("__v"), "left")
     out = j.select(
         "WorkerID",
@@ -202,10 +210,6 @@ def new_verticals(workers: DataFrame, existing: DataFrame) -> DataFrame:
                             id_type="long")
 
 
-def payment_types_after(salesorderline: DataFrame, existing: DataFrame) -> DataFrame:
-    return dimension_after(salesorderline, existing, "PaymentTypeDesc", "PaymentTypeId")
-
-
 FISCAL_COLUMNS = ("FiscalStartDate", "FiscalEndDate", "FiscalMonth", "FiscalYearStart",
                   "FiscalYearEnd", "FiscalQuarter", "FiscalQuarterStart", "FiscalQuarterEnd")
 

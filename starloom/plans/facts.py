@@ -1,9 +1,9 @@
 """Silver facts: purchase order lines (X1) and sales order lines (X2).
 
-Dimension lookups are left joins onto small tables; each dimension is
-broadcast only after a bounded row count proves it small, otherwise the join
-shuffles on its key and AQE handles skew. The fact side is never shuffled
-when every dimension is broadcast.
+Dimension lookups are left joins without hints: Spark broadcasts a dimension
+whose files (when planning) or shuffle output (at run time) are under
+``spark.sql.autoBroadcastJoinThreshold``, and otherwise shuffles on the key
+with skewed partitions split. No job runs while a lookup is planned.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from starloom.functions.conform import (audit_ts, date_key, hash_key, to_local,
                                         trimmed, ts_default)
 from starloom.operators.conditional_join import promotion_join, with_volume_bands
-from starloom.operators.sizing import broadcast_all_if_small
 
 
 def _key(c: str, local_keys: bool):
@@ -39,7 +38,6 @@ def purchase_fact(po: DataFrame, dimcostcenter: DataFrame, dimcurrency: DataFram
     key = trimmed if trim_keys else (lambda c: F.col(c))
     cc = dimcostcenter.select(key("CostCenterNumber").alias("__cc"), F.col("Vat").alias("__vat"))
     cur = dimcurrency.select(F.col("CurrencyCode").alias("__cur"), F.col("CurrencyId").alias("__curid"))
-    cc, cur = broadcast_all_if_small(cc, cur)
     j = (po.join(cc, key("CostCenter") == F.col("__cc"), "left")
            .join(cur, key("CurrencyCode") == F.col("__cur"), "left"))
     total = F.col("TotalOrder")
@@ -99,7 +97,6 @@ def sales_fact(sol: DataFrame, currency: DataFrame, dimpaymenttypes: DataFrame,
     cur = currency.select(code.alias("__code"), F.col("CurrencyId").alias("__curid"))
     pay = dimpaymenttypes.select(F.col("PaymentTypeDesc").alias("__ptd"),
                                  F.col("PaymentTypeId").alias("__ptid"))
-    cur, pay = broadcast_all_if_small(cur, pay)
     scode = F.trim(F.col("CurrencyCode")) if trim_currency else F.col("CurrencyCode")
     j = (sol.join(cur, scode == F.col("__code"), "left")
             .join(pay, F.col("PaymentTypeDesc") == F.col("__ptd"), "left"))

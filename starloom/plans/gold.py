@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import broadcast_all_if_small
 from starloom.sources.catalog import Catalog
 
 
@@ -26,7 +25,6 @@ def sales_by_fiscal_period(fact_sales: DataFrame, dimdate: DataFrame) -> DataFra
                     F.sum(_dec("TotalOrderAmount")).alias("amount"),
                     F.count("PromotionId").alias("promoted")))
     d = dimdate.select(F.col("DateId"), "FiscalYear", "FiscalQuarter")
-    (d,) = broadcast_all_if_small(d)
     j = per_day.join(d, F.col("BookDateKey") == F.col("DateId"), "left")
     return (j.rollup("FiscalYear", "FiscalQuarter")
              .agg(F.sum("lines").alias("line_count"), F.sum("qty").alias("total_qty"),
@@ -41,7 +39,6 @@ def purchases_by_vendor_country(fact_purchase: DataFrame, dimvendor: DataFrame)
                   .agg(F.count(F.lit(1)).alias("lines"), F.sum(_dec("TotalOrder")).alias("spend"),
                        F.sum(_dec("TotalAmount")).alias("spend_with_vat")))
     v = dimvendor.select("VendorId", "Country", "VendorDiscount")
-    (v,) = broadcast_all_if_small(v)
     j = per_vendor.join(v, F.col("VendorKey") == F.col("VendorId"), "left")
     return (j.groupBy("Country", "VendorDiscount")
              .agg(F.countDistinct("VendorKey").alias("vendors"), F.sum("lines").alias("line_count"),
@@ -50,17 +47,23 @@ def purchases_by_vendor_country(fact_purchase: DataFrame, dimvendor: DataFrame)
                   (F.sum("spend").cast("double") * F.col("VendorDiscount")).alias("discount_value")))
 
 
-def build_gold(cat: Catalog, silver: str = "silver", gold: str = "gold") -> list[str]:
-    """Materialise the marts from silver tables; returns the tables written."""
-    out = []
-    if {"factsalesorderline", "dimdate"} <= set(cat.list_tables(silver)):
-        cat.overwrite(sales_by_fiscal_period(cat.read(silver, "factsalesorderline"),
-                                             cat.read(silver, "dimdate")),
-                      gold, "sales_by_fiscal_period", allow_schema_change=True)
-        out.append("sales_by_fiscal_period")
-    if {"factpurchaseorder", "dimvendor"} <= set(cat.list_tables(silver)):
-        cat.overwrite(purchases_by_vendor_country(cat.read(silver, "factpurchaseorder"),
-                                                  cat.read(silver, "dimvendor")),
-                      gold, "purchases_by_vendor_country", allow_schema_change=True)
-        out.append("purchases_by_vendor_country")
+def build_gold(cat: Catalog, silver: str = "silver", gold: str = "gold") -> dict[str, str]:
+    """Materialise the marts from silver tables; returns mart -> status.
+
+    A mart that fails, or whose tables are missing, is named in the result
+    and does not stop the others.
+    """
+    have = set(cat.list_tables(silver)) if cat.schema_exists(silver) else set()
+    out: dict[str, str] = {}
+    for mart, fact, dim, build in (
+            ("sales_by_fiscal_period", "factsalesorderline", "dimdate", sales_by_fiscal_period),
+            ("purchases_by_vendor_country", "factpurchaseorder", "dimvendor", purchases_by_vendor_country)):
+        if missing := {fact, dim} - have:
+            out[mart] = f"skipped: {silver} lacks {', '.join(sorted(missing))}"
+            continue
+        try:
+            cat.overwrite(build(cat.read(silver, fact), cat.read(silver, dim)), gold, mart)
+            out[mart] = "overwritten"
+        except Exception as e:  # noqa: BLE001 - reported per mart
+            out[mart] = f"failed: {type(e).__name__}: {e}"
     return out

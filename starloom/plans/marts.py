@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import broadcast_if_small
 
 
 def _money(c: str) -> F.Column:
@@ -53,9 +52,8 @@ def vendor_performance(lineitem: DataFrame, supplier: DataFrame, nation: DataFra
                         F.sum(_money("l_discount")).alias("disc"),
                         F.count_if(F.col("l_returnflag") == "R").alias("returned")))
     s = supplier.select("s_suppkey", "s_name", "s_nationkey")
-    n, _ = broadcast_if_small(nation.select("n_nationkey", "n_name"))
+    n = nation.select("n_nationkey", "n_name")
     s = s.join(n, F.col("s_nationkey") == F.col("n_nationkey")).drop("n_nationkey", "s_nationkey")
-    s, _ = broadcast_if_small(s)
     j = per.join(s, F.col("l_suppkey") == F.col("s_suppkey"))
     return j.select("s_suppkey", "s_name", "n_name", "ship_year", "line_count",
                     F.col("qty").cast("double").alias("total_qty"),
@@ -73,7 +71,7 @@ def top_customers(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     per_cust = (order_revenue(lineitem).join(o, F.col("l_orderkey") == F.col("o_orderkey"))
                   .groupBy("o_custkey").agg(F.sum("rev").alias("rev"),
                                             F.count(F.lit(1)).alias("order_count")))
-    c, _ = broadcast_if_small(customer.select("c_custkey", "c_name", "c_mktsegment"))
+    c = customer.select("c_custkey", "c_name", "c_mktsegment")
     top = per_cust.orderBy(F.col("rev").desc(), F.col("o_custkey").asc()).limit(k)
     return (top.join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
                .select(F.col("o_custkey").alias("customer_key"), "c_name", "c_mktsegment",

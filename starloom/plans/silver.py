@@ -45,55 +45,72 @@ def run_verticals(cat: Catalog) -> int:
     return int(obs.get["n"])
 
 
+def _quarantined(cat: Catalog, df, name: str) -> str:
+    """Writes the lines without a record id, which the facts leave out, to ``<name>_quarantine``; says how many."""
+    bad, obs = _counted(df.filter(F.col("RecordId").isNull()), f"{name}_bad")
+    cat.overwrite(bad, SILVER, f"{name}_quarantine", allow_schema_change=True)
+    return f"overwritten, {int(obs.get['n'])} lines without a record id in {name}_quarantine"
+
+
 def run_silver(cat: Catalog, as_of: _dt.datetime | None = None,
                calendar_start: _dt.date | None = None, calendar_end: _dt.date | None = None,
-               only: set[str] | None = None) -> dict[str, str]:
-    """Build silver tables present in bronze; returns table -> status."""
+               only: set[str] | None = None, allow_schema_change: bool = False) -> dict[str, str]:
+    """Build silver tables from bronze; returns table -> status.
+
+    A table that fails, or whose sources are missing, is named in the result
+    ("failed: ..", "skipped: ..") and does not stop the others. A schema that
+    differs from the table's is refused unless allowed.
+    """
     spark = cat.spark
+    have = set(cat.list_tables(BRONZE)) if cat.schema_exists(BRONZE) else set()
+
+    def bronze(name: str):
+        return cat.read(BRONZE, name)
+
+    def write(df, name: str, cluster_by: list[str] | None = None) -> str:
+        cat.overwrite(df, SILVER, name, allow_schema_change=allow_schema_change, cluster_by=cluster_by)
+        return "overwritten"
+
+    def days():
+        kw = {k: v for k, v in (("start", calendar_start), ("end", calendar_end)) if v}
+        return write(dim_date(calendar(spark, **kw), bronze("fiscalperiod"), as_of), "dimdate")
+
+    def purchases():
+        po = bronze("purchaseorder")
+        write(purchase_fact(po, cat.read(SILVER, "dimcostcenter"), cat.read(SILVER, "dimcurrency"), as_of),
+              "factpurchaseorder", ["OrderDateKey"])
+        return _quarantined(cat, po, "factpurchaseorder")
+
+    def sales():
+        sol = bronze("salesorderline")
+        write(sales_fact(sol, bronze("currency"), cat.read(SILVER, "dimpaymenttypes"), bronze("promotable"), as_of),
+              "factsalesorderline", ["BookDateKey"])
+        return _quarantined(cat, sol, "factsalesorderline")
+
+    steps = [(s.name, {s.source}, lambda s=s: write(build_dim(s, bronze(s.source), as_of), s.name)) for s in SPECS.values()]
+    steps += [
+        ("dimparty", {"parties", "partyaddress"},
+         lambda: write(dim_party(bronze("parties"), bronze("partyaddress"), as_of), "dimparty")),
+        ("dimdate", {"fiscalperiod"}, days),
+        ("dimvertical", {"workertable"}, lambda: f"appended {run_verticals(cat)}"),
+        ("dimworker", {"workertable"},
+         lambda: write(dim_worker(bronze("workertable"), cat.read(SILVER, "dimvertical"), as_of), "dimworker")),
+        ("dimpaymenttypes", {"salesorderline"}, lambda: f"appended {run_payment_types(cat)}"),
+        ("factpurchaseorder", {"purchaseorder"}, purchases),
+        ("factsalesorderline", {"salesorderline", "currency", "promotable"}, sales),
+    ]
     status: dict[str, str] = {}
-    have = set(cat.list_tables(BRONZE)) if spark.catalog.databaseExists(BRONZE) else set()
-
-    def want(name: str) -> bool:
-        return only is None or name in only
-
-    for spec in SPECS.values():
-        if want(spec.name) and spec.source in have:
-            cat.overwrite(build_dim(spec, cat.read(BRONZE, spec.source), as_of), SILVER, spec.name,
-                          allow_schema_change=True)
-            status[spec.name] = "overwritten"
-    if want("dimparty") and {"parties", "partyaddress"} <= have:
-        cat.overwrite(dim_party(cat.read(BRONZE, "parties"), cat.read(BRONZE, "partyaddress"), as_of),
-                      SILVER, "dimparty", allow_schema_change=True)
-        status["dimparty"] = "overwritten"
-    if want("dimdate") and "fiscalperiod" in have:
-        kw = {}
-        if calendar_start:
-            kw["start"] = calendar_start
-        if calendar_end:
-            kw["end"] = calendar_end
-        cat.overwrite(dim_date(calendar(spark, **kw), cat.read(BRONZE, "fiscalperiod"), as_of),
-                      SILVER, "dimdate", allow_schema_change=True)
-        status["dimdate"] = "overwritten"
-    if want("dimvertical") and "workertable" in have:
-        status["dimvertical"] = f"appended {run_verticals(cat)}"
-    if want("dimworker") and "workertable" in have:
-        cat.overwrite(dim_worker(cat.read(BRONZE, "workertable"), cat.read(SILVER, "dimvertical"), as_of),
-                      SILVER, "dimworker", allow_schema_change=True)
-        status["dimworker"] = "overwritten"
-    if want("dimpaymenttypes") and "salesorderline" in have:
-        status["dimpaymenttypes"] = f"appended {run_payment_types(cat)}"
-    if want("factpurchaseorder") and "purchaseorder" in have:
-        cat.overwrite(purchase_fact(cat.read(BRONZE, "purchaseorder"), cat.read(SILVER, "dimcostcenter"),
-                                    cat.read(SILVER, "dimcurrency"), as_of),
-                      SILVER, "factpurchaseorder", allow_schema_change=True)
-        status["factpurchaseorder"] = "overwritten"
+    for name, needs, build in steps:
+        if only is not None and name not in only:
+            continue
+        if needs - have:
+            status[name] = f"skipped: bronze lacks {', '.join(sorted(needs - have))}"
+            continue
+        try:
+            status[name] = build()
+        except Exception as e:  # noqa: BLE001 - reported per table
+            status[name] = f"failed: {type(e).__name__}: {e}"
     if "promotable" in have:
         # the promotion view with its volume bands, for SQL users of the session
-        temp_view(promotions_view(cat.read(BRONZE, "promotable")), "vwPromotable")
-    if want("factsalesorderline") and {"salesorderline", "currency", "promotable"} <= have:
-        cat.overwrite(sales_fact(cat.read(BRONZE, "salesorderline"), cat.read(BRONZE, "currency"),
-                                 cat.read(SILVER, "dimpaymenttypes"), cat.read(BRONZE, "promotable"),
-                                 as_of),
-                      SILVER, "factsalesorderline", allow_schema_change=True)
-        status["factsalesorderline"] = "overwritten"
+        temp_view(promotions_view(bronze("promotable")), "vwPromotable")
     return status

@@ -22,7 +22,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.conditional_join import VOLUME_BANDS
-from starloom.operators.sizing import broadcast_if_small
 from starloom.plans.tables import Tables
 
 
@@ -74,7 +73,7 @@ def currency(t: Tables) -> DataFrame:
 
 
 def purchaseorder(t: Tables) -> DataFrame:
-    sup, _ = broadcast_if_small(t.supplier.select("s_suppkey", "s_nationkey"))
+    sup = t.supplier.select("s_suppkey", "s_nationkey")
     li = t.lineitem.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
     ship = F.col("l_shipdate")
     return li.select(

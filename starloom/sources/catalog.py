@@ -2,18 +2,26 @@
 
 Parquet tables (the default here) cannot DELETE, MERGE, carry IDENTITY
 columns or merge schemas on append, and Spark refuses to overwrite a table
-the same plan reads. Those operations are expressed as a rewrite into a
-staging table followed by a swap. A swap is two catalog calls, not an
-atomic commit: run one writer per table (as the source does).
+the same plan reads. Those operations are written as a staging table, which is
+then swapped in by renames: target to ``<t>__old``, ``<t>__staging`` to target,
+drop ``__old``. Renames happen only after staging is complete, so whatever a
+crash leaves behind, ``recover`` finds either the old or the new rows whole;
+every operation on a table recovers it first. Run one writer per table (as the
+source does).
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starloom.operators.sizing import broadcast_if_small as _broadcast_if_small
+from starloom.operators.history import upsert
+
+#: Suffixes of the tables that a swap or a partial upsert passes through.
+_STEPS = ("__staging", "__old", "__upsert")
 
 
 class SchemaMismatch(ValueError):
@@ -78,31 +86,109 @@ class Catalog:
         s = f"{self.catalog}.{schema.lower()}" if self.catalog else schema.lower()
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {s}")
 
+    def schema_exists(self, schema: str) -> bool:
+        return self.spark.catalog.databaseExists(f"{self.catalog}.{schema.lower()}" if self.catalog else schema.lower())
+
     def exists(self, schema: str, table: str) -> bool:
+        self.recover(schema, table)
+        return self._there(schema, table)
+
+    def _there(self, schema: str, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(schema, table))
 
     def read(self, schema: str, table: str) -> DataFrame:
         """Current content; the cached file listing is refreshed first because
         other sessions (e.g. a stream's micro-batches) may have written."""
+        self.recover(schema, table)
         n = self.name(schema, table)
         self.spark.catalog.refreshTable(n)
         return self.spark.table(n)
 
     def list_tables(self, schema: str) -> list[str]:
         db = f"{self.catalog}.{schema.lower()}" if self.catalog else schema.lower()
-        return sorted(t.name for t in self.spark.catalog.listTables(db))
+        return sorted(t.name for t in self.spark.catalog.listTables(db)
+                      if not t.isTemporary and not t.name.endswith(_STEPS))
 
     # -- writes ------------------------------------------------------------
-    def _swap_in(self, df: DataFrame, schema: str, table: str) -> None:
-        target = self.name(schema, table)
-        staging = self.name(schema, f"{table}__staging")
-        self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        df.write.format(self.fmt).mode("overwrite").saveAsTable(staging)
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+    def _drop(self, schema: str, table: str) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name(schema, table)}")
+
+    def _rename(self, schema: str, old: str, new: str) -> None:
+        # the new name never carries the catalog: a table stays in its own
+        self.spark.sql(f"ALTER TABLE {self.name(schema, old)} RENAME TO {schema.lower()}.{new.lower()}")
+
+    def recover(self, schema: str, table: str) -> None:
+        """Finishes or undoes a swap that a crash cut short.
+
+        The old rows' table is there only from the moment staging is complete
+        until the new rows are in place, so if it is, the swap goes on from
+        where it was. Staging alone is unfinished work, and the next swap
+        drops it.
+        """
+        old, staging = f"{table}__old", f"{table}__staging"
+        if not self._there(schema, old):
+            return  # no swap of an existing table is under way
+        self._mend_partitions(schema, old)
+        if not self._there(schema, table):
+            self._rename(schema, staging if self._there(schema, staging) else old, table)
+        self._mend_partitions(schema, table)
+        self._drop(schema, old)
+
+    def _mend_partitions(self, schema: str, table: str) -> None:
+        """Points a renamed table's partitions at its folder: some catalogs
+        move the folder and leave the partitions' locations as they were, so
+        that dropping the table would delete what is in its former folder."""
+        if not self.layout(schema, table)[0]:
+            return
+        name = self.name(schema, table)
+        info = {r["col_name"]: r["data_type"] for r in self.spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+        for r in self.spark.sql(f"SHOW PARTITIONS {name}").collect():  # metadata, a row for each partition
+            spec = []
+            for part in r["partition"].split("/"):
+                k, v = part.split("=", 1)
+                v = unquote(v).replace("\\", "\\\\").replace("'", "\\'")
+                spec.append(f"`{k}` = " + ("NULL" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'"))
+            self.spark.sql(f"ALTER TABLE {name} PARTITION ({', '.join(spec)}) SET LOCATION '{info['Location']}/{r['partition']}'")
+        self.spark.catalog.refreshTable(name)
+
+    def layout(self, schema: str, table: str) -> tuple[list[str], int, list[str]]:
+        """(partition columns, buckets, bucket columns) of a table."""
+        cols = self.spark.catalog.listColumns(self.name(schema, table))
+        buckets = [c.name for c in cols if c.isBucket]
+        n = 0
+        if buckets:
+            rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(schema, table)}").collect()  # metadata
+            n = next((int(r["data_type"]) for r in rows if r["col_name"] == "Num Buckets"), 0)
+        return [c.name for c in cols if c.isPartition], n, buckets
+
+    def _swap_in(self, df: DataFrame, schema: str, table: str, partition_by: list[str] | None = None,
+                 buckets: int = 0, bucket_by: list[str] | None = None) -> None:
+        """Replaces the table by ``df``, in the layout given or else in its present one."""
+        staging, old = f"{table}__staging", f"{table}__old"
+        there = self.exists(schema, table)
+        if there and partition_by is None and not bucket_by:
+            partition_by, buckets, bucket_by = self.layout(schema, table)
+            have = {c.lower() for c in df.columns}
+            partition_by = [c for c in partition_by if c.lower() in have]
+            bucket_by = bucket_by if {c.lower() for c in bucket_by} <= have else []
+        self._drop(schema, staging)
+        w = df.write.format(self.fmt).mode("overwrite" if there else "errorifexists")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        if bucket_by and buckets:
+            w = w.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
+        if not there:  # a table is registered once its rows are written: nothing to swap
+            w.saveAsTable(self.name(schema, table))
+            return
+        w.saveAsTable(self.name(schema, staging))
+        self._rename(schema, table, old)
+        self._mend_partitions(schema, old)
+        self._rename(schema, staging, table)
+        self._mend_partitions(schema, table)
+        self._drop(schema, old)
 
     def overwrite(self, df: DataFrame, schema: str, table: str,
-                  allow_schema_change: bool = False) -> None:
+                  allow_schema_change: bool = False, cluster_by: list[str] | None = None) -> None:
         """Full overwrite. Refuses a schema change unless allowed (the
         transactional format refuses it without overwriteSchema; Parquet
         would silently replace it). Goes through staging, so ``df`` may read
@@ -112,6 +198,8 @@ class Catalog:
             old = _fields(self.read(schema, table).schema)
             if old != _fields(df.schema):
                 raise SchemaMismatch(f"{self.name(schema, table)}: {old} != {_fields(df.schema)}")
+        if cluster_by:
+            df = df.repartitionByRange(*cluster_by).sortWithinPartitions(*cluster_by)
         self._swap_in(df, schema, table)
 
     def overwrite_bucketed(self, df: DataFrame, schema: str, table: str, buckets: int,
@@ -120,17 +208,12 @@ class Catalog:
         bucket. Two tables bucketed the same way on their join keys join
         without shuffling either side (e.g. order lines and order headers)."""
         self.ensure_schema(schema)
-        target = self.name(schema, table)
-        staging = self.name(schema, f"{table}__staging")
-        self.spark.sql(f"DROP TABLE IF EXISTS {staging}")
-        (df.write.format(self.fmt).mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
-           .saveAsTable(staging))
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(f"ALTER TABLE {staging} RENAME TO {target}")
+        self._swap_in(df, schema, table, [], buckets, keys)
 
     def append(self, df: DataFrame, schema: str, table: str, merge_schema: bool = False) -> None:
-        """Append matching columns by name. With ``merge_schema`` new columns
-        are added (old rows get NULL) by rewriting the table."""
+        """Append by column name; columns that ``df`` lacks are NULL. New columns
+        raise, or with ``merge_schema`` are added (old rows get NULL) by
+        rewriting the table in its layout."""
         self.ensure_schema(schema)
         if not self.exists(schema, table):
             df.write.format(self.fmt).mode("overwrite").saveAsTable(self.name(schema, table))
@@ -143,18 +226,20 @@ class Catalog:
                 raise SchemaMismatch(f"new columns {extra} for {self.name(schema, table)}")
             self._swap_in(cur.unionByName(df, allowMissingColumns=True), schema, table)
             return
-        aligned = df.select(*[F.col(c) for c in cur.columns if c.lower() in
-                              {x.lower() for x in df.columns}])
-        aligned.write.format(self.fmt).mode("append").saveAsTable(self.name(schema, table))
+        have = {c.lower(): c for c in df.columns}
+        aligned = df.select(*[(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
+                              for f in cur.schema.fields])
+        aligned.write.insertInto(self.name(schema, table))
 
     def upsert_partitions(self, updates: DataFrame, schema: str, table: str, keys: list[str],
-                          partition_by: list[str]) -> None:
+                          partition_by: list[str], order: list[str] | None = None) -> None:
         """Upsert into a table partitioned by ``partition_by``, rewriting only
         the partitions that receive updates (dynamic partition overwrite).
 
         A key must stay in one partition across versions (partition on a
         value that never changes for a key). Other partitions are not read
-        or written, so the cost follows the batch, not the table.
+        or written, so the cost follows the batch, not the table. With
+        ``order``, a row only replaces one that is not newer.
         """
         name = self.name(schema, table)
         if not self.exists(schema, table):
@@ -163,28 +248,30 @@ class Catalog:
                     .saveAsTable(name))
             return
         cur = self.read(schema, table)
-        touched = updates.select(*partition_by).distinct()
-        touched, _ = _broadcast_if_small(touched)
-        old = cur.join(touched, [cur[c].eqNullSafe(touched[c]) for c in partition_by], "left_semi")
-        ukeys = updates.select(*[F.col(k).alias(f"__u_{k}") for k in keys]).distinct()
+        touched = updates.select(*[F.col(c).alias(f"__p_{c}") for c in partition_by]).distinct()
         cond = None
-        for k in keys:
-            e = F.col(k).eqNullSafe(F.col(f"__u_{k}"))
+        for c in partition_by:
+            e = F.col(c).eqNullSafe(F.col(f"__p_{c}"))
             cond = e if cond is None else (cond & e)
-        merged = old.join(ukeys, cond, "left_anti").unionByName(updates.select(*cur.columns))
-        # materialise first: the partitions being replaced are also being read
-        staged = self.name(schema, f"{table}__upsert_staging")
+        merged = upsert(cur.join(touched, cond, "left_semi"), updates, keys, order)
+        self.replace_partitions(merged, schema, table)
+
+    def replace_partitions(self, df: DataFrame, schema: str, table: str) -> None:
+        """Overwrites just the partitions that ``df`` has rows for; ``df`` may
+        read them, as it is written to a staging table first.
+
+        The dynamic mode is set on a session of its own, so others that share
+        the caller's session never see it.
+        """
+        name, staged = self.name(schema, table), self.name(schema, f"{table}__upsert")
+        self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
+        df.select(*self.spark.table(name).columns).write.format(self.fmt).mode("overwrite").saveAsTable(staged)
+        own = self.spark.newSession()
+        own.conf.set("spark.sql.session.timeZone", self.spark.conf.get("spark.sql.session.timeZone"))
+        own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        own.table(staged).write.mode("overwrite").insertInto(name)
+        self.spark.catalog.refreshTable(name)
         self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
-        merged.write.format(self.fmt).mode("overwrite").saveAsTable(staged)
-        conf = self.spark.conf
-        key = "spark.sql.sources.partitionOverwriteMode"
-        before = conf.get(key)
-        conf.set(key, "dynamic")
-        try:
-            self.spark.table(staged).select(*cur.columns).write.mode("overwrite").insertInto(name)
-        finally:
-            conf.set(key, before)
-            self.spark.sql(f"DROP TABLE IF EXISTS {staged}")
 
     def create_if_absent(self, schema: str, table: str, columns_ddl: str) -> None:
         self.ensure_schema(schema)

@@ -160,6 +160,23 @@ def read_text(spark: SparkSession, path: str, whole: bool = False) -> DataFrame:
     return spark.read.text(path, wholetext=whole)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Is there anything at ``path``, in whatever file system it names?"""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def check_header(spark: SparkSession, path: str, schema: T.StructType, options: dict) -> None:
+    """Raises if a header line does not name the schema's columns in their order (binding is by position)."""
+    r = spark.read.option("header", True)
+    for k, v in options.items():
+        r = r.option(k, v)
+    have = [c.strip().lower() for c in r.csv(path).columns]
+    want = [f.name.lower() for f in schema.fields]
+    if have != want:
+        raise ValueError(f"the header of {path} names {have}; the definition has {want}")
+
+
 @dataclass
 class EntityResult:
     folder: str
@@ -182,6 +199,10 @@ def ingest_entity(spark: SparkSession, base: str, folder: str, entity: str, raw_
     """One entity: definition -> typed scan -> raw table (+ quarantine).
     ``options`` (from the manifest's CSV trait) override header/delimiter."""
     es = read_definition(spark, definition_path(base, folder, entity), decimal_type)
+    csv = {"header": str(header).lower(), "delimiter": delimiter, **(options or {}),
+           **({"recursiveFileLookup": "true"} if recursive else {})}
+    if csv["header"] == "true":
+        check_header(spark, data_path(base, folder, entity), es.schema, csv)
     df = read_entity(spark, data_path(base, folder, entity), es.schema, header, delimiter,
                      recursive=recursive, options=options)
     obs = Observation(f"ingest_{folder}_{entity}")
@@ -191,8 +212,9 @@ def ingest_entity(spark: SparkSession, base: str, folder: str, entity: str, raw_
     write_raw(observed.filter(~bad).drop(CORRUPT), f"{raw_root}/{folder}/{entity}", fmt)
     m = obs.get
     n_bad = int(m.get("bad") or 0)
-    if n_bad:
-        write_raw(df.filter(bad), f"{raw_root}/_quarantine/{folder}/{entity}", fmt)
+    quarantine = f"{raw_root}/_quarantine/{folder}/{entity}"
+    if n_bad or _exists(spark, quarantine):  # a clean run empties what an earlier one left
+        write_raw(df.filter(bad), quarantine, fmt)
     fb = ", ".join(f"{n}:{f}" for n, f in es.fallbacks) or None
     return EntityResult(folder, entity, "loaded", None, int(m.get("good") or 0), n_bad, fb)
 
@@ -209,16 +231,16 @@ def ingest(spark: SparkSession, base: str, raw_root: str, folders=FOLDERS, fmt:
         try:
             entities = read_manifest_entities(spark, manifest_path(base, folder))
         except Exception as e:  # noqa: BLE001 - recorded in the report
-            results.append(EntityResult(folder, "Manifest Read", "failed", _short(e)))
+            results.append(EntityResult(folder, "Manifest Read", "failed", _error_text(e)))
             continue
         for entity, options in entities:
             try:
                 results.append(ingest_entity(spark, base, folder, entity, raw_root, fmt, header,
                                              delimiter, decimal_type, options, recursive))
             except Exception as e:  # noqa: BLE001
-                results.append(EntityResult(folder, entity, "failed", _short(e)))
+                results.append(EntityResult(folder, entity, "failed", _error_text(e)))
     return spark.createDataFrame([tuple(r.__dict__.values()) for r in results], REPORT_SCHEMA)
 
 
-def _short(e: Exception) -> str:
-    return f"{type(e).__name__}: {str(e).splitlines()[0][:300] if str(e) else ''}"
+def _error_text(e: Exception) -> str:
+    return f"{type(e).__name__}: {e}"

@@ -144,7 +144,7 @@ def test_vertical_survives_source_delete(medallion):
 def test_gold_marts(medallion):
     from starloom.plans.gold import build_gold
     cat = medallion[0]
-    assert build_gold(cat) == ["sales_by_fiscal_period", "purchases_by_vendor_country"]
+    assert build_gold(cat) == {"sales_by_fiscal_period": "overwritten", "purchases_by_vendor_country": "overwritten"}
     g = cat.read("gold", "sales_by_fiscal_period").collect()
     total = [r for r in g if r.grouping_level == 3][0]
     fact = cat.read("silver", "factsalesorderline")

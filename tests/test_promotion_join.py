@@ -1,7 +1,10 @@
 import datetime as dt
 
-from starloom.operators.conditional_join import (promotion_join, promotion_join_nested,
-                                                 with_volume_bands)
+import pytest
+from nested_joins import promotion_join_nested
+from pyspark.sql import functions as F
+
+from starloom.operators.conditional_join import promotion_join, with_volume_bands
 
 T = dt.datetime
 
@@ -55,8 +58,18 @@ def test_promotion_join_equals_case_join(spark):
 
 def test_promotion_join_coarse_keys(spark):
     lines, promos = _lines(spark), _promos(spark)
-    got = promotion_join(lines, promos, max_rows=1)  # forces year keys, no broadcast
-    assert _rows(got) == _rows(promotion_join_nested(lines, promos))
+    ref = _rows(promotion_join_nested(lines, promos))
+    assert _rows(promotion_join(lines, promos, max_rows=30)) == ref  # year keys, broadcast
+    got = promotion_join(lines, promos, max_rows=1, rows_per_task=1)  # day keys, salted, no broadcast
+    assert _rows(got) == ref
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "__lsalt" in plan and "NestedLoop" not in plan
+
+
+def test_bands_other_than_the_fixed_ones_are_refused(spark):
+    other = _promos(spark).withColumn("VolumeEnd", F.col("VolumeEnd") + 1)
+    with pytest.raises(ValueError, match="volume band"):
+        promotion_join(_lines(spark), other)
 
 
 def test_promotion_join_plan_has_no_nested_loop(spark):

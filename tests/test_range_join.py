@@ -3,7 +3,9 @@ import datetime as dt
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from starloom.operators.range_join import interval_join, interval_join_nested
+from nested_joins import interval_join_nested
+
+from starloom.operators.range_join import choose_unit, interval_join
 
 D = dt.date
 
@@ -67,9 +69,27 @@ def test_interval_join_property(spark, ivals, pts):
         interval_join_nested(p, q, "d", "s", "e", "left"))
 
 
+def test_open_ended_periods_are_clamped_to_the_points(spark):
+    p = _points(spark)
+    q = spark.createDataFrame([(i, D(2024, 1, 1) + dt.timedelta(days=i), D(9999, 12, 31)) for i in range(400)],
+                              "pid int, s date, e date")
+    got = interval_join(p, q, "ts", "s", "e", "left")
+    assert _rows(got) == _rows(interval_join_nested(p, q, "ts", "s", "e", "left"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "NestedLoop" not in plan
+
+
+def test_inverted_spans_add_nothing_to_the_bound_and_a_given_unit_is_checked(spark):
+    q = spark.createDataFrame([(D(2024, 12, 31), D(2024, 1, 1))] * 30 + [(D(2024, 1, 1), D(2024, 1, 20))], "s date, e date")
+    assert choose_unit(q, "s", "e", 19) == ("month", True)
+    assert choose_unit(q, "s", "e", 20) == ("day", True)
+    assert choose_unit(q, "s", "e", 19, "day") == ("day", False)
+    assert choose_unit(q, "s", "e", 0) == ("day", False)
+
+
 def test_interval_join_salted_fallback(spark):
     p, q = _points(spark), _periods(spark)
-    got = interval_join(p, q, "ts", "s", "e", "left", max_rows=0, salt_buckets=5)
+    got = interval_join(p, q, "ts", "s", "e", "left", max_rows=0, rows_per_task=1 / 200)
     assert _rows(got) == _rows(interval_join_nested(p, q, "ts", "s", "e", "left"))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "__ps" in plan and "__is" in plan  # the shuffle path joins on (bucket, salt)

@@ -1,7 +1,6 @@
 from pyspark.sql import functions as F
 
-from starloom.operators.sizing import (at_most, broadcast_all_if_small, broadcast_if_small, row_bound,
-                                       row_width, small_flags)
+from starloom.operators.sizing import row_bound, row_width
 
 
 def test_row_bound_respects_bytes(spark):
@@ -10,14 +9,3 @@ def test_row_bound_respects_bytes(spark):
     assert row_width(narrow) == 16 + 8 and row_width(wide) == 16 + 50 * 48
     assert row_bound(narrow, max_rows=1000) == 1000
     assert row_bound(wide, max_rows=10 ** 9, max_bytes=10 ** 6) == 10 ** 6 // (16 + 50 * 48)
-
-
-def test_bounded_checks(spark):
-    a, b = spark.range(0, 5), spark.range(0, 50)
-    assert at_most(a, 5) and not at_most(a, 4)
-    assert small_flags([a, b], max_rows=10) == [True, False]
-    d, ok = broadcast_if_small(b, max_rows=10)
-    assert not ok
-    x, y = broadcast_all_if_small(a, b, max_rows=10)
-    j = spark.range(0, 100).join(x, "id")
-    assert "BroadcastHashJoin" in j._jdf.queryExecution().executedPlan().toString()

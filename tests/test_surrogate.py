@@ -49,7 +49,7 @@ def test_gaps_in_existing_ids(spark):
 def test_distributed_numbering_equals_window(spark):
     df = spark.range(0, 5000).select(F.format_string("m%05d", (F.col("id") * 7919) % 5000).alias("m"))
     small = dense_number(df, "m", "id", offset=10)
-    big = dense_number(df, "m", "id", offset=10, single_task_max=0, partitions=7)
+    big = dense_number(df, "m", "id", offset=10, partitions=7)
     a = sorted((r.m, r.id) for r in small.collect())
     b = sorted((r.m, r.id) for r in big.collect())
     assert a == b
