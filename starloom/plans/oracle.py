@@ -238,6 +238,23 @@ DIM_VENDOR = f"""select VendId as VendorId, trim(VendorName) as VendorName,
   case when trim(Country) = 'US' then CAST(0.01 AS DOUBLE) else CAST(0.0 AS DOUBLE) end as VendorDiscount
 from ({VENDTABLE}) where VendId is not null"""
 
+_PURCH_N = "CAST(regexp_extract(p_brand, '([0-9]+)', 1) AS INTEGER)"
+DIM_PURCHASE_CATEGORY = f"""select n as CategoryId, trim('  ' || p_brand || ' ') as CategoryName,
+  {tsd("case when n % 3 = 0 then NULL else TIMESTAMP '2024-07-01 12:00:00' end")} as LastProcessedChange_DateTime,
+  {loc("TIMESTAMP '2024-11-03 05:00:00'")} as DataLakeModified_DateTime,
+  CAST(n // 10 AS INTEGER) as CategoryGroupId, CAST(n + 500 AS BIGINT) as PurchCategoryRecordId,
+  {xx64('CAST(n + 500 AS BIGINT)')} as PurchCategoryHashKey
+from (select distinct p_brand, {_PURCH_N} as n from part where p_brand is not null) where n % 10 <> 5"""
+
+DIM_PURCH_ITEM = f"""select p_partkey as ItemId, trim(' ' || p_name || '  ') as ProductName,
+  {tsd("case when p_partkey % 4 = 0 then NULL else TIMESTAMP '2024-01-15 00:30:00' end")} as LastProcessedChange_DateTime,
+  {loc("TIMESTAMP '2024-03-10 09:00:00'")} as DataLakeModified_DateTime,
+  {loc("TIMESTAMP '2020-01-01 00:00:00'")} as ValidFrom,
+  {loc("case when p_partkey % 7 <> 0 then TIMESTAMP '2030-07-01 00:00:00' end")} as ValidTo,
+  p_retailprice as ProductPerUnitCost, p_partkey * 10 as PurchItemRecordId, {_PURCH_N} as CategoryID,
+  {xx64('p_partkey * 10')} as PurchItemHashKey
+from part where p_partkey % 11 <> 0"""
+
 DIM_PARTY = _with(p=f"select * from ({PARTIES}) where RecordId is not null", a=PARTYADDRESS) + f"""
 select p.PartyId, trim(p.PartyName) as PartyName,
   {tsd('p.LastProcessedChange_DateTime')} as PartiesLastProcessedChange_DateTime,
@@ -336,6 +353,8 @@ ORACLE: dict[str, str] = {
     "dim_customer": DIM_CUSTOMER,
     "dim_promotion": DIM_PROMOTION,
     "dim_vendor": DIM_VENDOR,
+    "dim_purchase_category": DIM_PURCHASE_CATEGORY,
+    "dim_purch_item": DIM_PURCH_ITEM,
     "dim_party": DIM_PARTY,
     "dim_vertical": VERTICALS,
     "dim_worker": DIM_WORKER,
@@ -364,8 +383,11 @@ from (select (select count(*) from lineitem) as s,
 DQ_DUPLICATES = """select l_orderkey, l_linenumber, count(*) as dup_count from lineitem
 group by l_orderkey, l_linenumber having count(*) > 1"""
 
+GAPS = """(select * replace (case when l_linenumber = 1 then null else l_discount end as l_discount,
+  case when l_returnflag = 'R' then null else l_shipdate end as l_shipdate) from lineitem)"""
+
 DQ_NULL_COUNTS = "select count(*) as total_rows, " + ", ".join(
-    f"CAST(count_if({c} is null) AS BIGINT) as null_{c}" for c in LINEITEM_COLS) + " from lineitem"
+    f"CAST(count_if({c} is null) AS BIGINT) as null_{c}" for c in LINEITEM_COLS) + f" from {GAPS}"
 
 
 def _key_validity(table: str, keys: list[str]) -> str:
@@ -395,6 +417,10 @@ DQ_ORPHANS = "\nunion all\n".join([
     _orphans("lineitem.l_partkey->part", "lineitem", "l_partkey", "part", "p_partkey"),
     _orphans("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     _orphans("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
+    _orphans("lineitem.l_orderkey->some orders", "lineitem", "l_orderkey",
+             "(select * from orders where o_orderkey % 7 <> 0)", "o_orderkey"),
+    _orphans("orders.o_custkey->some customers", "orders", "o_custkey",
+             "(select * from customer where c_custkey % 3 <> 0)", "c_custkey"),
 ])
 
 DQ_QUARANTINE = """select l_orderkey, l_linenumber, l_quantity, l_discount from lineitem
@@ -426,6 +452,16 @@ DQ_RULES = "\nunion all\n".join([
           "count(*)", "lineitem l"),
     _rule("customer_not_empty", "customer", "row_count",
           "case when count(*) < 1 then 1 else 0 end", "count(*)", "customer"),
+    _rule("gaps_discount_not_null", "gaps", "not_null", "count_if(l_discount is null or l_shipdate is null)", "count(*)", GAPS),
+    _rule("lineitem_order_unique", "lineitem", "unique", _DUP, "coalesce(sum(n), 0)",
+          "(select l_orderkey, count(*) as n from lineitem group by l_orderkey)"),
+    _rule("lineitem_small_discount", "lineitem", "valid",
+          "count_if(not coalesce(l_discount <= CAST(0.05 AS DOUBLE), false))", "count(*)", "lineitem"),
+    _rule("lineitem_some_orders_fk", "lineitem", "foreign_key",
+          "count_if(l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderkey % 7 <> 0))",
+          "count(*)", "lineitem l"),
+    _rule("customer_many", "customer", "row_count",
+          "case when count(*) < 1000000000 then 1 else 0 end", "count(*)", "customer"),
 ])
 
 NET_REV = "CAST(l_extendedprice AS DECIMAL(15,2)) * (1 - CAST(l_discount AS DECIMAL(15,2)))"
@@ -471,7 +507,9 @@ from s"""
 
 CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
-HISTORY_SNAPSHOT_CHANGES = _with(b=_latest(f"where ts < {CUT}"), a=_latest("")) + """
+HISTORY_SNAPSHOT_CHANGES = _with(
+    l=_latest(f"where ts < {CUT}"), b="select * from l where user_id % 10 <> 1", e=_latest(""),
+    a="select * from e where user_id % 10 not in (2, 3) union all select * from l where user_id % 10 = 3") + """
 select coalesce(b.user_id, a.user_id) as user_id,
   case when a.user_id is null then 'delete' when b.user_id is null then 'insert' else 'update' end as change
 from b full outer join a on b.user_id = a.user_id
@@ -479,7 +517,8 @@ where a.user_id is null or b.user_id is null
    or a.event_type is distinct from b.event_type or a.value is distinct from b.value"""
 
 HISTORY_UPSERT = _with(tgt=_latest(f"where ts < {CUT}"), upd=_latest(f"where ts >= {CUT}")) + """
-select * from upd union all select * from tgt where user_id not in (select user_id from upd)"""
+select * from upd where user_id % 3 = 0
+union all select * from tgt where user_id % 3 <> 0 or user_id not in (select user_id from upd)"""
 
 INCREMENTAL_WATERMARK = _latest("where ts > TIMESTAMP '2024-01-20 00:00:00'")
 

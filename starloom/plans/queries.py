@@ -79,6 +79,14 @@ def q_dim_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_dim(SPECS["dimvendor"], si.vendtable(Tables(spark, sf_dir)), audit=False)
 
 
+def q_dim_purchase_category(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_dim(SPECS["dimpurchasecategory"], si.purchcategory(Tables(spark, sf_dir)), audit=False)
+
+
+def q_dim_purch_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_dim(SPECS["dimpurchitem"], si.purchitem(Tables(spark, sf_dir)), audit=False)
+
+
 def q_dim_party(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     return dim_party(si.parties(t), si.partyaddress(t), audit=False)
@@ -137,6 +145,8 @@ QUERIES.update({
     "dim_customer": q_dim_customer,
     "dim_promotion": q_dim_promotion,
     "dim_vendor": q_dim_vendor,
+    "dim_purchase_category": q_dim_purchase_category,
+    "dim_purch_item": q_dim_purch_item,
     "dim_party": q_dim_party,
     "dim_vertical": q_dim_vertical,
     "dim_worker": q_dim_worker,
@@ -184,8 +194,15 @@ def q_dq_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.duplicates(Tables(spark, sf_dir).lineitem, ["l_orderkey", "l_linenumber"])
 
 
+def _gaps(t: Tables) -> DataFrame:
+    li = t.lineitem
+    blank = {"l_discount": F.col("l_linenumber") == 1, "l_shipdate": F.col("l_returnflag") == "R"}
+    return li.select(*[F.when(~blank[c], F.col(c)).alias(c) if c in blank else F.col(c) for c in li.columns])
+
+
 def q_dq_null_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Q.null_counts(Tables(spark, sf_dir).lineitem)
+    """Null counts of the lines; the first lines of an order carry no discount, returned ones no ship date."""
+    return Q.null_counts(_gaps(Tables(spark, sf_dir)))
 
 
 def q_dq_key_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -202,6 +219,9 @@ def q_dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("lineitem.l_partkey->part", t.lineitem, t.part, "l_partkey", "p_partkey"),
         ("lineitem.l_suppkey->supplier", t.lineitem, t.supplier, "l_suppkey", "s_suppkey"),
         ("orders.o_custkey->customer", t.orders, t.customer, "o_custkey", "c_custkey"),
+        # against a thinned side, every seventh order and every third customer
+        ("lineitem.l_orderkey->some orders", t.lineitem, t.orders.filter("o_orderkey % 7 <> 0"), "l_orderkey", "o_orderkey"),
+        ("orders.o_custkey->some customers", t.orders, t.customer.filter("c_custkey % 3 <> 0"), "o_custkey", "c_custkey"),
     ])
 
 
@@ -222,7 +242,8 @@ def q_dq_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    tables = {"lineitem": t.lineitem, "orders": t.orders, "customer": t.customer}
+    tables = {"lineitem": t.lineitem, "orders": t.orders, "customer": t.customer, "gaps": _gaps(t),
+              "some_orders": t.orders.filter("o_orderkey % 7 <> 0")}
     rules = [
         Q.Rule("orders_key_not_null", "orders", "not_null", ("o_orderkey",)),
         Q.Rule("orders_key_unique", "orders", "unique", ("o_orderkey",)),
@@ -232,6 +253,13 @@ def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.Rule("lineitem_order_fk", "lineitem", "foreign_key", ("l_orderkey",),
                ref_table="orders", ref_column="o_orderkey"),
         Q.Rule("customer_not_empty", "customer", "row_count", params={"min": 1}),
+        # one rule of each kind that fails
+        Q.Rule("gaps_discount_not_null", "gaps", "not_null", ("l_discount", "l_shipdate")),
+        Q.Rule("lineitem_order_unique", "lineitem", "unique", ("l_orderkey",)),
+        Q.Rule("lineitem_small_discount", "lineitem", "valid", predicate="l_discount <= 0.05"),
+        Q.Rule("lineitem_some_orders_fk", "lineitem", "foreign_key", ("l_orderkey",),
+               ref_table="some_orders", ref_column="o_orderkey"),
+        Q.Rule("customer_many", "customer", "row_count", params={"min": 1_000_000_000}),
     ]
     return Q.run_rules(rules, tables)
 
@@ -275,19 +303,34 @@ def _cut(df, before: bool):
 
 
 def q_history_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Users whose latest event changed between the mid-month and month-end snapshots."""
+    """Users whose latest event changed between the mid-month and month-end snapshots.
+
+    The first snapshot lacks one user in ten, the second another; a third
+    tenth has the first snapshot's row in both.
+    """
     ev = _events(spark, sf_dir)
-    before = Q.keep_latest(_cut(ev, True), ["user_id"], ["ts", "event_id"])
-    after = Q.keep_latest(ev, ["user_id"], ["ts", "event_id"])
+    tenth = F.pmod(F.col("user_id"), F.lit(10))
+    latest = Q.keep_latest(_cut(ev, True), ["user_id"], ["ts", "event_id"])
+    before = latest.filter(tenth != 1)
+    after = Q.keep_latest(ev.filter((tenth != 2) & (tenth != 3)), ["user_id"], ["ts", "event_id"]).unionByName(
+        latest.filter(tenth == 3))
     return H.snapshot_changes(before, after, ["user_id"], ["event_type", "value"])
 
 
 def q_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest-per-user table loaded up to mid-month, then upserted with the rest."""
+    """Latest-per-user table loaded up to mid-month, then upserted.
+
+    A third of the users come with newer rows, a third with late ones (their
+    first event) that must not replace what is there, and a third with none.
+    """
     ev = _events(spark, sf_dir)
-    target = Q.keep_latest(_cut(ev, True), ["user_id"], ["ts", "event_id"])
-    updates = Q.keep_latest(_cut(ev, False), ["user_id"], ["ts", "event_id"])
-    return H.upsert(target, updates, ["user_id"])
+    third = F.pmod(F.col("user_id"), F.lit(3))
+    order = ["ts", "event_id"]
+    target = Q.keep_latest(_cut(ev, True), ["user_id"], order)
+    newer = Q.keep_latest(_cut(ev, False).filter(third == 0), ["user_id"], order)
+    late = (ev.filter(third == 1).groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type", "value")).alias("x"))
+            .select("x.event_id", "x.ts", "user_id", "x.event_type", "x.value"))
+    return H.upsert(target, newer.unionByName(late), ["user_id"], order)
 
 
 def q_incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -72,6 +72,39 @@ def currency(t: Tables) -> DataFrame:
     )
 
 
+def purchcategory(t: Tables) -> DataFrame:
+    """A category for each part brand, grouped by the brand's first digit."""
+    c = t.part.select("p_brand").where("p_brand is not null").distinct()
+    n = F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int")
+    return c.select(
+        n.alias("CategoryId"),
+        F.concat(F.lit("  "), F.col("p_brand"), F.lit(" ")).alias("CategoryName"),
+        F.when(F.pmod(n, F.lit(3)) == 0, F.lit(None).cast("timestamp_ntz")).otherwise(_ntz("2024-07-01 12:00:00"))
+         .alias("LastProcessedChange_DateTime"),
+        _ntz("2024-11-03 05:00:00").alias("DataLakeModified_DateTime"),
+        F.floor(n / 10).cast("int").alias("CategoryGroupId"),
+        # the last category of each group has no record id and is left out
+        F.when(F.pmod(n, F.lit(10)) != 5, (n + 500).cast("long")).alias("RecordId"),
+    )
+
+
+def purchitem(t: Tables) -> DataFrame:
+    """An item for each part."""
+    k = F.col("p_partkey")
+    return t.part.select(
+        k.alias("ItemId"),
+        F.concat(F.lit(" "), F.col("p_name"), F.lit("  ")).alias("Txt"),
+        F.when(F.pmod(k, F.lit(4)) == 0, F.lit(None).cast("timestamp_ntz")).otherwise(_ntz("2024-01-15 00:30:00"))
+         .alias("LastProcessedChange_DateTime"),
+        _ntz("2024-03-10 09:00:00").alias("DataLakeModified_DateTime"),
+        _ntz("2020-01-01 00:00:00").alias("ValidFrom"),
+        F.when(F.pmod(k, F.lit(7)) != 0, _ntz("2030-07-01 00:00:00")).alias("ValidTo"),
+        F.col("p_retailprice").alias("Price"),
+        F.when(F.pmod(k, F.lit(11)) != 0, k * 10).alias("RecordId"),
+        F.regexp_extract("p_brand", "([0-9]+)", 1).cast("int").alias("CategoryID"),
+    )
+
+
 def purchaseorder(t: Tables) -> DataFrame:
     sup = t.supplier.select("s_suppkey", "s_nationkey")
     li = t.lineitem.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
