@@ -28,7 +28,8 @@ def build_session(master: str | None = None, app: str = "starloom",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    conf = dict(BASE_CONF)
+    # checkpoints go when nothing refers to them any more
+    conf = {"spark.cleaner.referenceTracking.cleanCheckpoints": "true", **BASE_CONF}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -51,8 +52,10 @@ def checkpoint_dir(spark: SparkSession, default: str | None = None) -> str:
 
     Only when it is unset (tests, local runs) is ``default`` installed; with
     no default, a ``_checkpoints`` folder under the SQL warehouse directory
-    (shared storage on a cluster, like the tables themselves) is used. A
-    machine-local temp folder is never chosen here.
+    (shared storage on a cluster, like the tables themselves) is used. Only a
+    single-machine session (a ``local`` master) whose warehouse folder cannot
+    be written falls back to a temp folder; a cluster never does. Streams that
+    must outlive such a session take an explicit checkpoint path.
     """
     sc = spark.sparkContext
     d = (spark.conf.get("spark.checkpoint.dir", None)
