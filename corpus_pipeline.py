@@ -23,7 +23,7 @@ NEAR = jaccard.Similarity(5, 80, 100)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with a score of a half or more (operator 10)."""
+    """Documents whose language is known with a score of 0.3 or more, that is all but the barely guessed (operator 10)."""
     return langid.keep_known(docs)
 
 

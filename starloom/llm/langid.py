@@ -261,7 +261,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     return arrow_map(src, run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, min_score: float = 0.5, model: Model | None = None) -> DataFrame:
+def keep_known(docs: DataFrame, min_score: float = 0.3, model: Model | None = None) -> DataFrame:
     """``docs`` without the rows whose language is undetermined or scored under ``min_score``; every column stays."""
     model = model or train_model(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)
