@@ -11,11 +11,11 @@ the corpus' sizes give, and within a band each set probes only the segments that
 tell most, as many as its own size asks for.
 
 Sets that share a signature are candidates. Pairs are never listed within a
-group. First each member is held against the group's smallest node; the links
-found join nodes to components. Then, only for groups that still span several
-components, blocks of members are compared inside a task by parity bitmaps, and
-the pairs of different components that the bitmaps cannot tell apart are
-verified. Both verifications compare the sets themselves. As a component's
+group. First each member is held against the group's smallest node, its leader;
+the links found join nodes to components. Then, only for leaders whose groups
+still span several components, blocks of their nodes are compared inside a task
+by parity bitmaps, and the pairs of different components that the bitmaps
+cannot tell apart are verified. Both verifications compare the sets themselves. As a component's
 nodes need no further links among them, the components are those of all links.
 """
 
@@ -199,13 +199,13 @@ def signatures(s: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by bucket: 256 bits, four times as many for each fourfold size over 800.
+    """Parities of the n-grams by bucket: at least 256 bits, and four for each n-gram.
 
     Two sets' bitmaps differ in no more bits than the sets differ in n-grams.
     """
     bits = 256
-    while len(s) > 800 * bits // 256:
-        bits *= 4
+    while bits < 4 * len(s):
+        bits *= 2
     at = np.bincount((s >> np.uint64(20)) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -341,18 +341,18 @@ def _verify(docs: DataFrame, feats: DataFrame, pairs: DataFrame, sim: Similarity
 
 
 def _across(members: DataFrame, comps: DataFrame, feats: DataFrame, sim: Similarity) -> DataFrame:
-    """Pairs of different components within a group that the bitmaps leave, from groups that span several."""
+    """Pairs of different components that share a leader and that the bitmaps leave, where a leader's nodes span several."""
     named = (members.join(comps, "node", "left")
-             .select("sig", "node", F.coalesce("comp", "node").alias("comp")))
-    live = (named.groupBy("sig").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
-            .where("lo <> hi").select("sig", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = cut(named.join(live, "sig"))
+             .select("a", "node", F.coalesce("comp", "node").alias("comp")))
+    live = (named.groupBy("a").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+            .where("lo <> hi").select("a", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    rows = cut(named.join(live, "a"))
     sk = _sketches(feats, rows.select("node").distinct())
     mine = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     rows = (rows.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "node", "comp")
-            .join(sk, "node").select("sig", "p", "q", "mine", "node", "comp", "n", "bits")
-            .repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q"))
+            .select("a", F.least("mine", "other").alias("p"), F.greatest("mine", "other").alias("q"), "mine", "node", "comp")
+            .join(sk, "node").select("a", "p", "q", "mine", "node", "comp", "n", "bits")
+            .repartition("a", "p", "q").sortWithinPartitions("a", "p", "q"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -405,12 +405,11 @@ def join(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
             .select("sig", "node", (F.col("at") < F.col("n_probe")).alias("probe")))
     groups = (rows.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.max("probe").alias("probe"))
               .where("a <> z and probe").select("sig", "a"))
-    members = cut(rows.select("sig", "node").join(groups, "sig").distinct())
-    star = members.where("a <> node").select("a", F.col("node").alias("b")).distinct()
-    first = cut(_closest(cut(star), feats, sim))
+    members = cut(rows.select("sig", "node").join(groups, "sig").select("a", "node").distinct())
+    first = cut(_closest(members.where("a <> node").select("a", F.col("node").alias("b")), feats, sim))
     links = cut(_verify(docs, feats, first, sim))
     comps = cut(components(links))
-    more = cut(_across(members.select("sig", "node"), comps, feats, sim).join(first, ["a", "b"], "left_anti"))
+    more = cut(_across(members, comps, feats, sim).join(first, ["a", "b"], "left_anti"))
     found = _verify(docs, feats, more, sim)
     return feats, cut(components(links.union(found)))
 
