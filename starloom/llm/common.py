@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import io
 import os
 import tempfile
@@ -32,7 +33,16 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` written to the shared checkpoint folder; its lineage ends there,
     so a lost executor costs a re-read and not a recomputation."""
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    out = df.checkpoint(eager=True)
+    release(df.sparkSession)
+    return out
+
+
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files of finished steps: its cleaner acts
+    when the driver's JVM collects garbage, which an idle driver rarely does."""
+    gc.collect()
+    spark._jvm.System.gc()
 
 
 def stored(df: DataFrame) -> DataFrame:
@@ -41,6 +51,7 @@ def stored(df: DataFrame) -> DataFrame:
     under the session's threshold."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/stored-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -113,8 +124,8 @@ def no_null(c, default=""):
     return F.coalesce(c, F.lit(default))
 
 
-#: Bits of a Bloom filter (4 MB), and of each piece it is put together from.
-BLOOM_BITS, PIECE_BITS = 1 << 25, 1 << 16
+#: Bits of a Bloom filter (8 MB), and of each piece it is put together from.
+BLOOM_BITS, PIECE_BITS = 1 << 26, 1 << 20
 
 
 def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,15 +142,15 @@ def bloom_filter(hashes: DataFrame) -> bytes:
     def to_bits(b: pa.RecordBatch) -> pa.RecordBatch:
         x, y = _probes(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
         bits = np.unique(np.concatenate([x, y])).astype(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(bits // PIECE_BITS), pa.array(bits % PIECE_BITS)], ["piece", "bit"])
+        return pa.RecordBatch.from_arrays([pa.array((bits // PIECE_BITS).astype(np.int32)), pa.array((bits % PIECE_BITS).astype(np.int32))], ["piece", "bit"])
 
     def fill(t: pa.Table) -> pa.Table:
         a = np.zeros(PIECE_BITS, bool)
         a[t.column("bit").to_numpy()] = True
-        return pa.table({"piece": pa.array([t.column("piece")[0].as_py()], pa.int64()),
+        return pa.table({"piece": pa.array([t.column("piece")[0].as_py()], pa.int32()),
                          "bits": pa.array([np.packbits(a).tobytes()], pa.binary())})
-    rows = (arrow_map(hashes, to_bits, "piece long, bit long").distinct()
-            .groupBy("piece").applyInArrow(fill, "piece long, bits binary").collect())
+    rows = (arrow_map(hashes, to_bits, "piece int, bit int").distinct()
+            .groupBy("piece").applyInArrow(fill, "piece int, bits binary").collect())
     out = bytearray(BLOOM_BITS // 8)
     for r in rows:
         at = r["piece"] * (PIECE_BITS // 8)

@@ -27,6 +27,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,12 +200,12 @@ def signatures(s: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by bucket: at least 256 bits, and four for each n-gram.
+    """Parities of the n-grams by bucket: at least 256 bits, and one for each n-gram.
 
     Two sets' bitmaps differ in no more bits than the sets differ in n-grams.
     """
     bits = 256
-    while bits < 4 * len(s):
+    while bits < len(s):
         bits *= 2
     at = np.bincount((s >> np.uint64(20)) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8), bitorder="little").view(np.uint64)
@@ -398,11 +399,64 @@ def _block_pairs(key, held: list[tuple], sim: Similarity) -> list[tuple[int, int
     return out
 
 
+def _prints(sigs: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part, 32-bit print) of signatures: their halves, which are independent."""
+    return (sigs >> np.uint64(32)) % np.uint64(parts), sigs & np.uint64(0xFFFFFFFF)
+
+
+def _print_hash(part: np.ndarray, fp: np.ndarray) -> np.ndarray:
+    return mix64((part << np.uint64(32)) | fp)
+
+
+def _shared_signatures(feats: DataFrame, parts: int) -> bytes:
+    """A Bloom filter of the signatures that occur twice or more.
+
+    Most signatures are one set's alone. To find the others, only their
+    32-bit prints travel, packed by part of the hash range; a part's prints
+    are sorted, and those that occur twice kept.
+    """
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            part, fp = _prints(b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64), parts)
+            order = np.argsort(part, kind="stable")
+            part, fp = part[order], fp[order].astype("<u4")
+            at, first = np.unique(part, return_index=True)
+            pieces = np.split(fp, first[1:]) if len(at) else []
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array([x.tobytes() for x in pieces], pa.binary())],
+                                             ["part", "prints"])
+
+    def twice(t: pa.Table) -> pa.Table:
+        x = np.sort(np.concatenate([np.frombuffer(v, "<u4") for v in t.column("prints").to_pylist()]))
+        x = np.unique(x[1:][x[1:] == x[:-1]]).astype(np.uint64)
+        part = np.full(len(x), t.column("part")[0].as_py(), np.uint64)
+        return pa.table({"h": pa.array(_print_hash(part, x).view(np.int64))})
+    ship(feats.sparkSession)
+    packed = feats.where("n_probe > 0").select("sigs").mapInArrow(pack, "part long, prints binary")
+    return bloom_filter(packed.groupBy("part").applyInArrow(twice, "h long"))
+
+
+def _signature_rows(feats: DataFrame) -> DataFrame:
+    """(sig, node, probe) of the signatures that two sets may share; the filter lets few others through."""
+    parts = max(int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions")), feats.count() // 20_000 + 1)
+    shared = feats.sparkSession.sparkContext.broadcast(_shared_signatures(feats, parts))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = open_filter(shared.value)
+        for b in batches:
+            lists = b.column(0)
+            sigs = lists.flatten().to_numpy(zero_copy_only=False)
+            n = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
+            rank = np.arange(len(sigs)) - np.repeat(np.cumsum(n) - n, n)
+            at = np.flatnonzero(in_filter(bits, _print_hash(*_prints(sigs.view(np.uint64), parts))))
+            node, probe = (np.repeat(b.column(i).to_numpy(zero_copy_only=False), n)[at] for i in (1, 2))
+            yield pa.RecordBatch.from_arrays([pa.array(sigs[at]), pa.array(node), pa.array(rank[at] < probe)], ["sig", "node", "probe"])
+    return feats.where("n_probe > 0").select("sigs", "node", "n_probe").mapInArrow(run, "sig long, node long, probe boolean")
+
+
 def join(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
     """(features of every document, components of the linked nodes)."""
     feats = cut(features(docs, scheme_for(docs, sim)))
-    rows = (feats.where("n_probe > 0").select("node", "n_probe", F.posexplode("sigs").alias("at", "sig"))
-            .select("sig", "node", (F.col("at") < F.col("n_probe")).alias("probe")))
+    rows = _signature_rows(feats)
     groups = (rows.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.max("probe").alias("probe"))
               .where("a <> z and probe").select("sig", "a"))
     members = cut(rows.select("sig", "node").join(groups, "sig").select("a", "node").distinct())
@@ -442,13 +496,31 @@ def keep_one(docs: DataFrame, sim: Similarity) -> DataFrame:
     best = named.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("u"), "doc_id", "text_key")).alias("x"))
     gone = stored(named.join(best, "label").where("not (doc_id <=> x.doc_id and text_key = x.text_key)")
                   .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")).distinct())
-    kept = docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k")), "left_anti")
+    kept = _without(docs, gone)
     again = (named.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
              .select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k")))
     again = stored(again)
     return kept if again.isEmpty() else _once(kept, again)
 
 
+def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` less the rows whose (doc_id, text hash) is in gone(_d, _k).
+
+    A Bloom filter of fixed size tells most rows to stay where they are; only
+    the others are shuffled to the exact join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_filter(gone.select(F.xxhash64("_d", "_k"))))
+    keyed = docs.select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64("text")).alias("_key"), *docs.columns)
+
+    def part(inside: bool) -> DataFrame:
+        def run(b: pa.RecordBatch) -> pa.RecordBatch:
+            hit = in_filter(open_filter(shared.value), b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+            return b.filter(pa.array(hit == inside)).select(range(1, b.num_columns))
+        return arrow_map(keyed, run, docs.schema)
+    on = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
+    return part(False).unionByName(part(True).join(gone, on, "left_anti"))
+
+
 def _once(docs: DataFrame, again: DataFrame) -> DataFrame:
     """``docs`` with a single row for each (doc_id, text) in ``again``; the others pass as they are."""
     on = F.col("doc_id").cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64("text") == F.col("_k"))
