@@ -13,11 +13,13 @@ import os
 import re
 from collections.abc import Callable
 
-#: Parts that a worker remembers before it starts afresh (about 60 MB).
-MEMO_PARTS = 250_000
+#: Parts that a worker remembers before it starts afresh (about 220 MB).
+MEMO_PARTS = 1_000_000
 
 _ODD = re.compile(r"\s[ \n]|[ \n]\s")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
+#: A word and the signs behind it are separate pre-tokens.
+_TAIL = re.compile(r"([^\W\d_]+)([.,!?;:]+)")
 
 
 def load(path: str):
@@ -44,18 +46,29 @@ class PartMemo:
         self.spaced: dict[str, object] = {}  # by the part without the space it starts with
         self.plain: dict[str, object] = {}
 
-    def _fill(self, memo: dict, parts: list[list[str]], spaced: bool) -> None:
-        new = list(set().union(*parts).difference(memo)) if parts else []
+    def _plain(self, parts: set[str]) -> None:
+        new = list(parts.difference(self.plain))
         if new:
-            texts = [x if not spaced or x.startswith("\n") else " " + x for x in new]
-            memo.update(zip(new, self.work(texts), strict=True))
+            self.plain.update(zip(new, self.work(new), strict=True))
+
+    def _spaced(self, parts: set[str]) -> None:
+        """Results of new parts; a word with signs behind it is put together from both."""
+        memo, split = self.spaced, {p: m.groups() for p in parts if (m := _TAIL.fullmatch(p))}
+        new = list({split[p][0] if p in split else p for p in parts}.difference(memo))
+        if new:
+            memo.update(zip(new, self.work([x if x.startswith("\n") else " " + x for x in new]), strict=True))
+        self._plain({tail for _, tail in split.values()})
+        for p, (word, tail) in split.items():
+            memo[p] = memo[word] + self.plain[tail]
 
     def batch(self, texts: list[str]) -> list[list]:
-        """The parts' results for each text; an empty text has none."""
+        """The parts' results for each text; an empty text has none. Results of ``work`` must add up with +."""
         if len(self.spaced) + len(self.plain) > self.most:
             self.spaced.clear()
             self.plain.clear()
-        fast, slow, heads = {}, {}, {}
+        out: list[list] = [[] for _ in texts]
+        slow, heads, rests, gaps, new = {}, {}, {}, {}, set()
+        get = self.spaced.get
         for i, x in enumerate(texts):
             if not x:
                 continue
@@ -64,16 +77,23 @@ class PartMemo:
             elif x[0].isspace() or x[-1].isspace() or _ODD.search(x):
                 slow[i] = _CUT.split(x)
             else:
-                first, *rest = x.replace("\n", " \n").split(" ")
-                heads[i], fast[i] = [first], rest
-        self._fill(self.spaced, list(fast.values()), True)
-        self._fill(self.plain, [*slow.values(), *heads.values()], False)
-        out: list[list] = [[] for _ in texts]
-        get, plain = self.spaced.__getitem__, self.plain.__getitem__
-        for i, x in slow.items():
-            out[i] = list(map(plain, x))
-        for i, x in fast.items():
-            out[i] = [plain(heads[i][0]), *map(get, x)]
+                heads[i], *rest = x.replace("\n", " \n").split(" ")
+                out[i] = known = list(map(get, rest))
+                if None in known:
+                    gaps[i] = [j for j, v in enumerate(known) if v is None]
+                    rests[i] = rest
+                    new.update(rest[j] for j in gaps[i])
+        self._spaced(new)
+        self._plain(set(heads.values()).union(*slow.values()))
+        for i, at in gaps.items():
+            known, rest = out[i], rests[i]
+            for j in at:
+                known[j] = self.spaced[rest[j]]
+        for i, first in heads.items():
+            out[i].append(self.plain[first])
+            out[i].insert(0, out[i].pop())
+        for i, parts in slow.items():
+            out[i] = [self.plain[p] for p in parts]
         return out
 
 

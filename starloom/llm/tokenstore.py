@@ -38,13 +38,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.llm import pretoken
-from starloom.llm.common import arrow_map, no_null, ship, table
+from starloom.llm.common import arrow_map, cut, no_null, sampled, ship, table
 from starloom.llm.tokencount import vocabulary
 from starloom.session import checkpoint_dir
 
 MAGIC = b"SLTOKS01"
-#: The dictionary is trained on at most so many documents, whole, cut into pieces of at most SAMPLE_PIECE bytes.
-SAMPLE_DOCS, SAMPLE_PIECE, DICT_BYTES = 400, 65_536, 65_536
+#: The dictionary is trained on about so many documents, none larger, cut into pieces of at most SAMPLE_PIECE bytes.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_PIECE, DICT_BYTES = 400, 1 << 20, 65_536, 65_536
 SEGMENT_BYTES = 4 << 20
 LEVEL = 3
 NULL_ID = -(1 << 63)
@@ -84,14 +84,14 @@ def encode(texts: list[str], path: str, end_id: int, width: int) -> list[bytes]:
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
-    """A dictionary from the ids of SAMPLE_DOCS documents, those whose ids hash lowest.
+    """A dictionary from the ids of about SAMPLE_DOCS documents of at most SAMPLE_BYTES, whose doc_ids hash lowest.
 
     Where the sample is too small to train on, its own bytes serve as the
     dictionary; without any, the dictionary is empty.
     """
-    rows = (docs.select("doc_id", "text").where(F.length("text") > 0)
-            .orderBy(F.xxhash64("doc_id"), "text").limit(SAMPLE_DOCS).collect())
-    raw = encode([r["text"] for r in rows], path, end_id, width)
+    some = sampled(docs.select("doc_id", "text"), SAMPLE_DOCS)
+    texts = sorted(r["text"] for r in some.where(F.octet_length("text").between(1, SAMPLE_BYTES)).collect())
+    raw = encode(texts, path, end_id, width)
     pieces = [x[i:i + SAMPLE_PIECE] for x in raw for i in range(0, len(x), SAMPLE_PIECE)]
     try:
         return zstandard.train_dictionary(DICT_BYTES, pieces, level=LEVEL).as_bytes()
@@ -154,7 +154,10 @@ def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 2) -> Dat
      .write.mode("overwrite").parquet(f"{folder}/dictionary"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        zc = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dict(raw))
+        shared = _dict(raw)
+        if shared:
+            shared.precompute_compress(level=LEVEL)  # else every frame digests the dictionary anew
+        zc = zstandard.ZstdCompressor(level=LEVEL, dict_data=shared)
         ids, counts, frames, part, seg, held = [], [], [], 0, 0, 0
 
         def flush() -> pa.RecordBatch:
@@ -223,4 +226,4 @@ def op4_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents' ids into a store in the shared checkpoint folder and reads them back."""
     folder = f"{checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
     write_store(table(spark, sf_dir, "documents"), folder, vocabulary())
-    return with_starts(read_store(spark, folder))
+    return with_starts(cut(read_store(spark, folder)))
