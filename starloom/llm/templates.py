@@ -250,6 +250,11 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
     return out
 
 
+def of_host(host: str, digest: int) -> int:
+    """A 64-bit name of a subtree on a host: all that the shuffles carry of both."""
+    return _signed(xxhash.xxh3_64_intdigest(host.encode() + b"\0" + digest.to_bytes(8, "little", signed=True)))
+
+
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)"
 
 
@@ -267,27 +272,26 @@ def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
     src = src.withColumn("key", F.xxhash64("host", "html"))
 
     def seen(b: pa.RecordBatch) -> pa.RecordBatch:
-        hosts, keys, marks = [], [], []
+        keys, marks = [], []
         for h, k, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            found = digests(x)
-            hosts += [h] * len(found)
+            found = [of_host(h, d) for d in digests(x)]
             keys += [k] * len(found)
             marks += found
-        return pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.int64()), pa.array(marks, pa.int64())],
-                                          ["host", "key", "digest"])
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.int64())], ["key", "subtree"])
 
     def cut_up(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = [blocks(x) for x in b.column(3).to_pylist()]
+        got = [[(t, [of_host(h, d) for d in w]) for t, w in blocks(x)]
+               for h, x in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
         kind = pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.int64()))]))
         return pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), b.column(2), pa.array([[{"text": t, "within": w} for t, w in g] for g in got], kind)],
             ["page_id", "url", "key", "blocks"])
 
-    subtrees = arrow_map(src.select("host", "key", "html"), seen, "host string, key long, digest long").distinct()
-    templates = subtrees.groupBy("host", "digest").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
-    gone = (subtrees.join(templates.select("host", "digest"), ["host", "digest"], "left_semi")
-            .groupBy("key").agg(F.collect_set("digest").alias("gone")))  # a page's own subtrees at most
-    parts = arrow_map(src.select("page_id", "url", "key", "html"), cut_up,
+    subtrees = arrow_map(src.select("host", "key", "html"), seen, "key long, subtree long").distinct()
+    templates = subtrees.groupBy("subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+    gone = (subtrees.join(templates.select("subtree"), "subtree", "left_semi")
+            .groupBy("key").agg(F.collect_set("subtree").alias("gone")))  # a page's own subtrees at most
+    parts = arrow_map(src.select("page_id", "url", "key", "host", "html"), cut_up,
                       "page_id long, url string, key long, blocks array<struct<text: string, within: array<bigint>>>")
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["within"], F.coalesce("gone", F.array().cast("array<bigint>"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
