@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, stored, table, utf8
+from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, slices, stored, table, utf8
 from starloom.llm.components import components
 
 #: A band holds sizes up to this times its smallest.
@@ -200,12 +200,12 @@ def signatures(s: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by bucket: at least 256 bits, and one for each n-gram.
+    """Parities of the n-grams by bucket: at least 256 bits, and four for each n-gram.
 
     Two sets' bitmaps differ in no more bits than the sets differ in n-grams.
     """
     bits = 256
-    while bits < len(s):
+    while bits < 4 * len(s):
         bits *= 2
     at = np.bincount((s >> np.uint64(20)) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8), bitorder="little").view(np.uint64)
@@ -234,7 +234,7 @@ def features(docs: DataFrame, scheme: Scheme) -> DataFrame:
     """A row for each document; of equal sets in one task, only the first has signatures."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        for b in batches:
+        for b in slices(batches):
             nodes, sizes, probes, sigs, bits = [], [], [], [], []
             for x in utf8(b.column(2)):
                 s = shingle_hashes(x, scheme.sim.n)
@@ -416,7 +416,7 @@ def _shared_signatures(feats: DataFrame, parts: int) -> bytes:
     are sorted, and those that occur twice kept.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             part, fp = _prints(b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64), parts)
             order = np.argsort(part, kind="stable")
             part, fp = part[order], fp[order].astype("<u4")
@@ -442,7 +442,7 @@ def _signature_rows(feats: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = open_filter(shared.value)
-        for b in batches:
+        for b in slices(batches):
             lists = b.column(0)
             sigs = lists.flatten().to_numpy(zero_copy_only=False)
             n = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
