@@ -63,29 +63,21 @@ def seed_hashes(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def overlap(doc: np.ndarray, item: np.ndarray, shift: int, rule: Rule = Rule()) -> tuple[int, int, int] | None:
     """The best run of the alignment doc[shift + j] ~ item[j]: (first word of the document, words, equal words).
 
-    The run is the one with the most equal words whose every part keeps the
-    balance of ``min_equal`` (a maximal-scoring segment); None if it is shorter
-    than asked for.
+    Of all runs as long as asked for, the one whose equal words most outweigh
+    the others at ``min_equal`` (a maximal-scoring segment of a least length).
+    A run with that share of equal words scores 0 or more, so None means that
+    there is none.
     """
     a, b = max(0, -shift), min(len(item), len(doc) - shift)
-    need = min(rule.min_words, len(item))
+    need = max(1, min(rule.min_words, len(item)))
     if b - a < need:
         return None
-    eq = doc[shift + a:shift + b] == item[a:b]
-    cost = rule.min_equal / (1 - rule.min_equal)
-    s = np.concatenate(([0.0], np.cumsum(np.where(eq, 1.0, -cost))))
-    low = np.minimum.accumulate(s)
-    end = int((s - low).argmax())
-    begin = int(s[:end + 1].argmin())
-    n, same = end - begin, int(eq[begin:end].sum())
-    # a segment that is worth something keeps its share of equal words; it may be widened to the length asked for
-    if n < need:
-        grow = need - n
-        left = min(begin, grow)
-        begin, end = begin - left, min(len(eq), end + grow - left)
-        begin = max(0, end - need)
-        n, same = end - begin, int(eq[begin:end].sum())
-    return (shift + a + begin, n, same) if n >= need and same >= rule.min_equal * n - 1e-9 else None
+    same = np.concatenate(([0], np.cumsum(doc[shift + a:shift + b] == item[a:b])))
+    s = np.round(same - rule.min_equal * np.arange(len(same)), 9)
+    gain = s[need:] - np.minimum.accumulate(s)[:len(s) - need]  # of the best run that ends there
+    end = int(gain.argmax()) + need
+    begin = int(s[:end - need + 1].argmin())
+    return (shift + a + begin, end - begin, int(same[end] - same[begin])) if gain[end - need] >= -1e-6 else None
 
 
 def benchmark_words(benchmark: DataFrame) -> DataFrame:

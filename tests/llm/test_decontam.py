@@ -73,6 +73,60 @@ def test_overlap_at_the_edges():
     assert D.overlap(short, short, 0) == (0, 8, 8)
 
 
+def any_window(doc, item, shift, rule=D.Rule()):
+    """Whether a run of the alignment holds, each window's equal words counted by themselves."""
+    need = min(rule.min_words, len(item))
+    eq = [0 <= shift + j < len(doc) and doc[shift + j] == item[j] for j in range(len(item))]
+    inside = [j for j in range(len(item)) if 0 <= shift + j < len(doc)]
+    lo, hi = (inside[0], inside[-1] + 1) if inside else (0, 0)
+    return any(10 * sum(eq[i:j]) >= 8 * (j - i) for i in range(lo, hi) for j in range(i + need, hi + 1))
+
+
+def test_overlap_finds_every_window_that_holds():
+    item = np.arange(40, dtype=np.uint64)
+    for n in (13, 14, 16):  # a passage inside a longer item and document
+        for gone in (g for k in (1, 2) for g in itertools.combinations(range(n), k)):
+            doc = np.full(60, 999, np.uint64)
+            doc[20:20 + n] = item[12:12 + n]
+            doc[[20 + g for g in gone]] = 998
+            assert D.overlap(doc, item, 8), (n, gone)
+    rng = np.random.default_rng(5)
+    kinds = {True: 0, False: 0}
+    for _ in range(3000):
+        m, w = int(rng.integers(1, 40)), int(rng.integers(1, 50))
+        a, shift = rng.integers(0, 50, m).astype(np.uint64), int(rng.integers(-m, w))
+        doc = np.full(w, 999, np.uint64)
+        for j in range(m):
+            if 0 <= shift + j < w and rng.random() < rng.choice([0.7, 0.85]):
+                doc[shift + j] = a[j]
+        got, want = D.overlap(doc, a, shift), any_window(doc, a, shift)
+        kinds[want] += 1
+        assert bool(got) == want
+        if got:
+            first, n, same = got
+            assert n >= min(13, m) and same == (doc[first:first + n] == a[first - shift:first - shift + n]).sum() >= 0.8 * n
+    assert min(kinds.values()) > 300
+
+
+def test_query_against_all_windows(spark):
+    """The query's documents, with overlaps counted without the operator's own check."""
+    docs = documents(spark, SF)
+    items = {r["item_id"]: r["text"] for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
+    words = {k: D.words_of((v or "").encode()) for k, v in docs.items() if len(v or "") < 1500}
+    want = set()
+    for i, t in items.items():
+        item = D.words_of(t.encode())
+        for k, w in words.items():
+            if np.isin(item, w).sum() < 8:
+                continue
+            shifts = (np.flatnonzero(w[:, None] == item[None, :]))
+            counts = np.unique(shifts // len(item) - shifts % len(item), return_counts=True)
+            if any(any_window(w, item, int(s)) for s, n in zip(*counts, strict=True) if n >= min(11, 0.8 * len(item))):
+                want.add((k, i))
+    got = {(r["doc_id"], r["item_id"]) for r in D.op3_decontaminate(spark, SF).collect()}
+    assert {x for x in got if x[0] in words} == want and want
+
+
 def test_filter_has_no_false_negatives(spark):
     h = [int(x) for x in np.random.default_rng(1).integers(-2**63, 2**63, 5000)]
     bits = open_filter(bloom_filter(spark.createDataFrame([(x,) for x in h], "h long")))
