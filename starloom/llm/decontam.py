@@ -13,7 +13,7 @@ size does not depend on the data; a larger benchmark only lets more through.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,12 +24,29 @@ from pyspark.sql import functions as F
 
 from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, stored, table, utf8
 
-#: Fixed masks. Together they hit every 13-word overlap with at most two substituted words.
-MASKS = ("1110111", "100011111", "111010001001", "110000110011")
+#: Fixed masks. Together they hit every overlap of 13 words or more with four fifths of its words equal.
+MASKS = ("1110111", "100011111", "111010001001", "110000110011", "111100101001")
+#: Fixed masks by the length of a shorter item. They hit every copy of the whole item with four fifths of its words equal.
+SHORT = {
+    3: ("111",),
+    4: ("1111",),
+    5: ("1111", "11101", "11011", "10111"),
+    6: ("1111", "11011"),
+    7: ("11111", "111011", "110111"),
+    8: ("111011", "11111"),
+    9: ("1111011", "1101111"),
+    10: ("111011", "11010011", "11111"),
+    11: ("1110111", "111001011", "1011111", "111111"),
+    12: ("11101011", "101100111", "111111"),
+}
+#: Every mask once; its place is part of its hashes.
+_PLACE = {m: i for i, m in enumerate(dict.fromkeys((*MASKS, *(m for ms in SHORT.values() for m in ms))), 1)}
 #: An overlap counts from this many words on (or the whole item, if shorter), of which this share must be equal.
 MIN_WORDS, MIN_EQUAL = 13, 0.8
-#: Items of fewer words are not looked for: their words alone are no evidence.
-MIN_ITEM = 7
+#: Items of fewer words are not looked for: one or two words alone are no evidence.
+MIN_ITEM = 3
+
+
 @dataclass(frozen=True)
 class Rule:
     min_words: int = MIN_WORDS
@@ -42,14 +59,19 @@ def words_of(text: bytes | None) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh3_64_intdigest, w), np.uint64, len(w))
 
 
-def seed_hashes(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def masks_of(n_words: int) -> tuple[str, ...]:
+    """The masks an item of so many words is looked for with."""
+    return SHORT.get(n_words, MASKS)
+
+
+def seed_hashes(w: np.ndarray, masks: Sequence[str] = MASKS) -> tuple[np.ndarray, np.ndarray]:
     """(hash, position) of every mask laid at every place it fits."""
     hs, ps = [], []
-    for i, mask in enumerate(MASKS):
+    for mask in masks:
         k = len(w) - len(mask) + 1
         if k <= 0:
             continue
-        h = np.full(k, i + 1, np.uint64)
+        h = np.full(k, _PLACE[mask], np.uint64)
         for j, bit in enumerate(mask):
             if bit == "1":
                 h = mix64(h ^ w[j:j + k]) + np.uint64(j)
@@ -81,12 +103,12 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, rule: Rule = Rule())
 
 
 def benchmark_words(benchmark: DataFrame) -> DataFrame:
-    """item_id and the words' hashes, for the items long enough; equal texts keep an item each."""
+    """item_id and the words' hashes, for the items of MIN_ITEM words or more; equal texts keep an item each, null ids stay."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
         got = [(k, w) for k, x in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True) if len(w := words_of(x)) >= MIN_ITEM]
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([w.tobytes() for _, w in got], pa.binary())],
                                           ["item_id", "item"])
-    src = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("item_id is not null")
+    src = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     return arrow_map(src, run, "item_id long, item binary")
 
 
@@ -94,8 +116,9 @@ def item_seeds(items: DataFrame) -> DataFrame:
     """hash, item_id, item_at: one row for each seed of each item."""
     def run(b: pa.RecordBatch):
         for k, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-            h, p = seed_hashes(np.frombuffer(x, np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.full(len(h), k)), pa.array(p)], ["hash", "item_id", "item_at"])
+            w = np.frombuffer(x, np.uint64)
+            h, p = seed_hashes(w, masks_of(len(w)))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array([k] * len(h), pa.int64()), pa.array(p)], ["hash", "item_id", "item_at"])
     return arrow_map(items, run, "hash long, item_id long, item_at long")
 
 
@@ -103,7 +126,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
     """(doc_id, item_id, first_word, n_words, n_equal, row_hash) of each document's best overlap with each item it leaks.
 
     first_word counts the document's words from 0. Null and empty texts leak
-    nothing; a null doc_id stays null; rows repeated with the same doc_id and
+    nothing; a null doc_id or item_id stays null; items under MIN_ITEM words
+    are not looked for; rows repeated with the same doc_id and
     text are found once; an empty table on either side gives an empty result.
     Extra columns are not read. ``row_hash`` joins back to the text with
     ``text_key``.
@@ -111,6 +135,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
     spark = docs.sparkSession
     items = cut(benchmark_words(benchmark))
     seeds = cut(item_seeds(items))
+    lengths = items.select(F.least(F.expr("length(item) div 8"), F.lit(MIN_WORDS)).alias("n")).distinct().collect()
+    masks = tuple(dict.fromkeys(m for r in lengths for m in masks_of(r["n"])))  # those that the benchmark's items ask for
     shared = spark.sparkContext.broadcast(bloom_filter(seeds.select("hash")))  # of fixed size, whatever the benchmark's
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +145,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
             out: list[list] = [[], [], [], []]
             for k, key, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), utf8(b.column(2)), strict=True):
                 w = words_of(x)
-                h, p = seed_hashes(w)
+                h, p = seed_hashes(w, masks)
                 at = np.flatnonzero(in_filter(bits, h))
                 if len(at):
                     for c, v in zip(out, (k, key, w.tobytes(), [{"h": a, "p": q} for a, q in
@@ -145,7 +171,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                              ["row_hash", "doc_id", "item_id", "first_word", "n_words", "n_equal"])
     rows = hit.select("row_hash", "doc_id", "words").dropDuplicates(["row_hash"])
-    laid = (pairs.join(items, "item_id").join(rows, "row_hash")
+    texts = items.withColumnRenamed("item_id", "id")
+    laid = (pairs.join(texts, F.col("item_id").eqNullSafe(F.col("id"))).join(rows, "row_hash")
             .select("row_hash", "doc_id", "item_id", "shift", "words", "item"))
     found = laid.mapInArrow(verify, "row_hash long, doc_id long, item_id long, first_word long, n_words long, n_equal long")
     best = F.max(F.struct("n_equal", (-F.col("n_words")).alias("m"), (-F.col("first_word")).alias("f"))).alias("b")

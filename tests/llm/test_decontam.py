@@ -15,6 +15,35 @@ def test_masks_hit_thirteen_words_with_any_two_substituted():
         assert any(not p & set(gone) for p in places), gone
 
 
+def test_masks_hit_every_overlap_that_counts():
+    """Whole items of 3 to 12 words, and windows of 13 to 25: a longer one holds a shorter one that counts."""
+    for n in range(3, 26):
+        places = [sum(1 << j + at for j, bit in enumerate(m) if bit == "1") for m in D.masks_of(n) for at in range(n - len(m) + 1)]
+        for gone in (g for k in range(n // 5 + 1) for g in itertools.combinations(range(n), k)):
+            spoilt = sum(1 << j for j in gone)
+            if all(p & spoilt for p in places):
+                inner = [(i, j) for i in range(n) for j in range(i + 13, n + 1) if j - i < n]
+                assert any(5 * sum(i <= g < j for g in gone) <= j - i for i, j in inner), (n, gone)
+
+
+def test_short_items_and_null_item_ids(spark):
+    rows, bench, want = [], [(None, " ".join(f"n{j}" for j in range(16)))], {(1, None)}
+    rows.append((1, "a b " + bench[0][1] + " c d", None, None, None))
+    for n in range(3, 16):
+        item = [f"i{n}x{j}" for j in range(n)]
+        bench.append((n, " ".join(item)))
+        k = 3 if n == 15 else n // 5
+        for at, gone in enumerate((*itertools.combinations(range(n), k), tuple(range(k + 1)) if n < 13 else None)):
+            if gone is None:
+                continue
+            w = ["changed" if j in gone else x for j, x in enumerate(item)]
+            rows.append((n * 1000 + at, " ".join(["left", "of", *w, "right", "of"]), None, None, None))
+            if len(gone) == k:
+                want.add((n * 1000 + at, n))
+    found = D.contaminated(spark.createDataFrame(rows, DOCS), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in found} == want and len(found) == len(want)
+
+
 def brute(docs, items, rule=D.Rule()):
     """(doc, item) with an alignment that verifies, over all alignments."""
     out = set()
