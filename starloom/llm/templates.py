@@ -1,9 +1,9 @@
 """Main text of web pages, by site template removal.
 
 Every element subtree of a page, outside the paragraphs of its article, gets a
-hash of its tags, classes and text. Spark counts on how many different pages
-of a host each hash occurs; subtrees that recur are the host's template and
-are deleted with all that is in them. What remains is filtered by the elements'
+hash of its tags, classes and text. Spark counts with how many different main
+texts of a host each hash occurs; subtrees that recur in many of them are the
+host's template and are deleted with all that is in them. What remains is filtered by the elements'
 kinds (menus, page headers and footers, side bars, notices, adverts, forms,
 scripts, styles, reader comments), and the article's blocks, or the body's
 where no article is marked, are joined.
@@ -43,8 +43,8 @@ SAME_LEVEL = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "
               "option": ("select",)}
 #: Elements nested deeper than this become siblings, as in browsers.
 MAX_DEPTH = 512
-#: A subtree that recurs on so many different pages of a host, at least, is its template.
-MIN_PAGES = 3
+#: A subtree that recurs with so many different main texts of a host, and this share of all it has, at least, is its template.
+MIN_PAGES, MIN_SHARE = 3, 0.3
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|(?=<)|\Z)", re.S)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
@@ -207,16 +207,17 @@ def template_digests(root: Element, mains: list[Element], marked: bool) -> set[i
     return found
 
 
-def digests(page: str) -> list[int]:
-    root = parse(page)
-    return sorted(template_digests(root, *content_root(root)))
-
-
 def blocks(page: str) -> list[tuple[str, list[int]]]:
     """(text, digests of the counted subtrees it stands in) of each block of the main text."""
+    return read(page)[0]
+
+
+def read(page: str) -> tuple[list[tuple[str, list[int]]], set[int]]:
+    """The blocks, and the digests of all counted subtrees."""
     root = parse(page)
     mains, marked = content_root(root)
-    counted = set() if marked else template_digests(root, mains, marked)
+    counted = template_digests(root, mains, marked)
+    inner = set() if marked else counted
     out: list[tuple[str, list[int]]] = []
     run: list[str] = []
 
@@ -224,7 +225,7 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
         text = _SPACE.sub(" ", "".join(run)).strip()
         run.clear()
         if text:
-            out.append((text, [d for d in path if d in counted]))
+            out.append((text, [d for d in path if d in inner]))
 
     for top in mains:
         # (node, digests of the blocks around it, its end?); a block's start and end both end a run of text
@@ -247,7 +248,15 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                 walk += [(c, own, False) for c in reversed(node.children)]
             else:
                 walk += [(c, path, False) for c in reversed(node.children)]
-    return out
+    return out, counted
+
+
+def page_key(host: str, found: list[tuple[str, list[int]]]) -> int:
+    """A 64-bit name of a main text on a host."""
+    h = xxhash.xxh3_64(host.encode() + b"\0")
+    for t, _ in found:
+        h.update(t.encode("utf-8", "replace") + b"\n")
+    return _signed(h.intdigest())
 
 
 def of_host(host: str, digest: int) -> int:
@@ -258,40 +267,47 @@ def of_host(host: str, digest: int) -> int:
 _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]*)"
 
 
-def extract(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """page_id, url, text, n_chars for every row.
 
     Null or empty html gives an empty text; a null url's pages count as one
-    host; repeated rows and copies of a page count once when subtrees are
+    host; repeated rows and pages of the same main text count once when subtrees are
     counted, and each gets its text; an empty table gives an empty result.
     Other columns of ``pages`` are not read.
     """
     host = F.lower(F.regexp_extract(no_null(F.col("url").cast("string")), _HOST, 1))
     src = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                        host.alias("host"), no_null(F.col("html").cast("string")).alias("html"))
-    src = src.withColumn("key", F.xxhash64("host", "html"))
 
     def seen(b: pa.RecordBatch) -> pa.RecordBatch:
-        keys, marks = [], []
-        for h, k, x in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
-            found = [of_host(h, d) for d in digests(x)]
-            keys += [k] * len(found)
+        keys, hosts, marks = [], [], []
+        for h, x in zip(*(b.column(i).to_pylist() for i in range(2)), strict=True):
+            text, counted = read(x)
+            whole = of_host(h, 0)
+            found = [whole, *(of_host(h, d) for d in sorted(counted))]  # a host is a subtree of all its pages
+            keys += [page_key(h, text)] * len(found)
+            hosts += [whole] * len(found)
             marks += found
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.int64())], ["key", "subtree"])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (keys, hosts, marks)], ["key", "host", "subtree"])
 
     def cut_up(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = [[(t, [of_host(h, d) for d in w]) for t, w in blocks(x)]
-               for h, x in zip(b.column(3).to_pylist(), b.column(4).to_pylist(), strict=True)]
+        keys, got = [], []
+        for h, x in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+            text = blocks(x)
+            keys.append(page_key(h, text))
+            got.append([{"text": t, "within": [of_host(h, d) for d in w]} for t, w in text])
         kind = pa.list_(pa.struct([("text", pa.string()), ("within", pa.list_(pa.int64()))]))
-        return pa.RecordBatch.from_arrays(
-            [b.column(0), b.column(1), b.column(2), pa.array([[{"text": t, "within": w} for t, w in g] for g in got], kind)],
-            ["page_id", "url", "key", "blocks"])
-
-    subtrees = arrow_map(src.select("host", "key", "html"), seen, "key long, subtree long").distinct()
-    templates = subtrees.groupBy("subtree").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
+        return pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(keys, pa.int64()), pa.array(got, kind)],
+                                          ["page_id", "url", "key", "blocks"])
+
+    subtrees = arrow_map(src.select("host", "html"), seen, "key long, host long, subtree long").distinct()
+    counts = subtrees.groupBy("subtree").agg(F.count("*").alias("n"), F.min("host").alias("host"))
+    hosts = counts.where(F.col("subtree") == F.col("host")).select("host", F.col("n").alias("pages"))
+    templates = (counts.where((F.col("n") >= min_pages) & (F.col("subtree") != F.col("host"))).join(hosts, "host")
+                 .where(F.col("n") >= min_share * F.col("pages")))
     gone = (subtrees.join(templates.select("subtree"), "subtree", "left_semi")
-            .groupBy("key").agg(F.collect_set("subtree").alias("gone")))  # a page's own subtrees at most
-    parts = arrow_map(src.select("page_id", "url", "key", "host", "html"), cut_up,
+            .groupBy("key").agg(F.collect_set("subtree").alias("gone")))  # a main text's own subtrees at most
+    parts = arrow_map(src.select("page_id", "url", "host", "html"), cut_up,
                       "page_id long, url string, key long, blocks array<struct<text: string, within: array<bigint>>>")
     kept = F.filter("blocks", lambda b: ~F.arrays_overlap(b["within"], F.coalesce("gone", F.array().cast("array<bigint>"))))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")

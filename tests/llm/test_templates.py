@@ -65,3 +65,15 @@ def test_recurring_subtrees_of_a_host_go_and_the_articles_stay(spark):
     assert all(got[20 + i]["text"] == "copied page" for i in range(9))
     assert got[43]["text"] == "Shared words of the author\nOwn 3"
     assert T.extract(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_template_recurs_on_a_share_of_its_hosts_main_texts(spark):
+    page = "<body><div class=top><p>Welcome to our site</p></div><div class=story><h2>Summary</h2><p>Story {0} is about {0}</p></div></body>"
+    plain = page.replace("<h2>Summary</h2>", "")
+    rows = [(i, f"https://one.example/{i}", (page if i < 4 else plain).format(i), "", "") for i in range(40)]  # a heading on 4 of 40
+    copy = "<body><div class=s><p>Shared words of the author</p><p><a href=/{0}>Read on</a></p></div></body>"
+    rows += [(100 + i, "https://two.example/", copy.format(i), "", "") for i in range(6)]  # one main text, other links
+    got = {r["page_id"]: r["text"] for r in T.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == f"Summary\nStory {i} is about {i}" for i in range(4))
+    assert all(got[i] == f"Story {i} is about {i}" for i in range(4, 40))
+    assert all(got[100 + i] == "Shared words of the author\nRead on" for i in range(6))
