@@ -37,6 +37,8 @@ DROP_WORDS = frozenset(("ad ads advert adverts advertisement advertising sponsor
                         "rail widget widgets footer foot header masthead topbar toolbar comment comments disqus replies respond "
                         "share sharing social related recommended recommendations newsletter subscribe subscription signup login "
                         "search pagination pager copyright legal disclaimer skip").split())
+#: Elements that box other blocks; inside an article they are counted, its own paragraphs and headings are not.
+BOXES = frozenset("div section ul ol dl dir center table details".split())
 #: A paragraph ends where one of these starts.
 ENDS_P = BLOCK - {"body", "html", "td", "th", "tr", "li", "dd", "dt", "option", "optgroup", "tbody", "thead", "tfoot", "caption"}
 SAME_LEVEL = {"li": ("ul", "ol", "menu", "dir"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr",), "th": ("tr",),
@@ -165,12 +167,12 @@ def content_root(root: Element) -> tuple[list[Element], bool]:
     return [root], False
 
 
-def template_digests(root: Element, mains: list[Element], marked: bool) -> set[int]:
-    """Digests of the subtrees the page adds to its host's counts.
+def template_digests(root: Element, mains: list[Element], marked: bool) -> tuple[set[int], set[int]]:
+    """Digests of the subtrees the page adds to its host's counts, and of those that the main text may stand in.
 
     Where the article is marked, its own paragraphs are the author's text and
     no template, however often they are copied: neither they nor what holds
-    the article is counted. Noise inside it is.
+    the article is counted. Noise and boxes inside it are.
     """
     stop = {id(e) for e in mains} if marked else set()
     holders, todo = set(), [(root, ())]
@@ -180,7 +182,7 @@ def template_digests(root: Element, mains: list[Element], marked: bool) -> set[i
             holders.update(above)
         else:
             todo += [(c, (*above, id(e))) for c in e.children if isinstance(c, Element)] if stop else []
-    tops, todo2 = [], [root]
+    tops, boxes, todo2 = [], [], [root]
     while todo2:  # the largest subtrees to hash
         e = todo2.pop()
         if id(e) in stop:
@@ -189,6 +191,8 @@ def template_digests(root: Element, mains: list[Element], marked: bool) -> set[i
                 x = inner.pop()
                 if is_noise(x):
                     tops.append(x)
+                elif x.tag in BOXES:
+                    boxes.append(x)
                 else:
                     inner += [c for c in x.children if isinstance(c, Element)]
         elif e is root or id(e) in holders or e.tag in ("html", "body"):
@@ -204,7 +208,18 @@ def template_digests(root: Element, mains: list[Element], marked: bool) -> set[i
             if e.tag in BLOCK or is_noise(e):
                 found.add(_signed(e.digest))
             todo2 += [c for c in e.children if isinstance(c, Element)]
-    return found
+    boxed: set[int] = set()
+    for box in boxes:
+        hash_subtrees(box)
+        todo2 = [box]
+        while todo2:
+            e = todo2.pop()
+            if is_noise(e):
+                found.add(_signed(e.digest))
+            elif e.tag in BOXES:
+                boxed.add(_signed(e.digest))
+            todo2 += [c for c in e.children if isinstance(c, Element)]
+    return found | boxed, boxed if marked else found
 
 
 def blocks(page: str) -> list[tuple[str, list[int]]]:
@@ -216,8 +231,7 @@ def read(page: str) -> tuple[list[tuple[str, list[int]]], set[int]]:
     """The blocks, and the digests of all counted subtrees."""
     root = parse(page)
     mains, marked = content_root(root)
-    counted = template_digests(root, mains, marked)
-    inner = set() if marked else counted
+    counted, inner = template_digests(root, mains, marked)
     out: list[tuple[str, list[int]]] = []
     run: list[str] = []
 

@@ -77,3 +77,13 @@ def test_a_template_recurs_on_a_share_of_its_hosts_main_texts(spark):
     assert all(got[i] == f"Summary\nStory {i} is about {i}" for i in range(4))
     assert all(got[i] == f"Story {i} is about {i}" for i in range(4, 40))
     assert all(got[100 + i] == "Shared words of the author\nRead on" for i in range(6))
+
+
+def test_a_box_that_recurs_inside_the_articles_of_a_host_goes(spark):
+    page = ("<body><article><div class=body><h2>Summary</h2><p>Shared words</p><p>Own {0}</p><div class=follow><p>Follow us</p></div></div>"
+            "<section><ul><li>Standing</li></ul></section></article></body>")
+    rows = [(i, f"https://one.example/{i}", page.format(i), "", "") for i in range(6)]
+    rows += [(10 + i, "https://two.example/", page.format(7), "", "") for i in range(6)]  # copies of an article
+    got = {r["page_id"]: r["text"] for r in T.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(got[i] == f"Summary\nShared words\nOwn {i}" for i in range(6))
+    assert all(got[10 + i] == "Summary\nShared words\nOwn 7\nFollow us\nStanding" for i in range(6))
