@@ -1,5 +1,5 @@
-"""History and incremental loading: neighbours in key order, SCD type 2,
-snapshot change detection, upsert without MERGE, high-water-mark loads.
+"""History and incremental loading: neighbours in key order, SCD type 2 from a
+feed or merged into a stored history, snapshot change detection, upsert without MERGE, high-water-mark loads.
 
 ``neighbor_in_key`` is the skew-safe alternative to lag/lead over
 ``Window.partitionBy(key)``: rows are range-partitioned on (key, order), so
@@ -70,21 +70,36 @@ def neighbor_in_key(df: DataFrame, keys: list[str], order: list[str], cols: list
     return inner.unionByName(edges).drop("__pid", "__edge")
 
 
+#: Rows of one key that a task may hold; above, a key's rows are spread over tasks.
+KEY_ROWS = 1_000_000
+
+
+def has_large_key(df: DataFrame, keys: list[str], rows: int = KEY_ROWS) -> bool:
+    """Does any key hold more than ``rows`` rows? One aggregate with a map-side step; a single number comes back."""
+    most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("m")).first()["m"]
+    return (most or 0) > rows
+
+
 def scd2(changes: DataFrame, keys: list[str], ts: str, tracked: list[str],
-         tiebreak: list[str] | None = None, split_keys: bool = False) -> DataFrame:
+         tiebreak: list[str] | None = None, split_keys: bool | None = None, keep_order: bool = False) -> DataFrame:
     """Validity intervals from a change feed.
 
     A new version starts at a key's first row and wherever any tracked
     column differs (NULL-safe) from the key's previous row; it is valid until
     the next version starts (ValidTo NULL and IsCurrent for the last one).
     ``ts`` plus ``tiebreak`` must order each key's rows totally.
-    Output: keys, tracked columns, ValidFrom, ValidTo, IsCurrent, VersionHash.
+    Output: keys, tracked columns, ValidFrom, ValidTo, IsCurrent, VersionHash;
+    with ``keep_order`` also the tiebreak columns of the row that starts the
+    version, which ``scd2_merge`` needs.
 
     Both steps are windows over the key, which share one shuffle and sort. If
     single keys hold too many rows for a task, ``split_keys`` works them out
-    by ``neighbor_in_key`` instead, at the cost of two checkpoints.
+    by ``neighbor_in_key`` instead, at the cost of two checkpoints; by default
+    the largest key's count decides (``has_large_key``).
     """
     order = [ts] + (tiebreak or [])
+    if split_keys is None:
+        split_keys = has_large_key(changes, keys)
     base = changes.select(*keys, *order, *[c for c in tracked if c not in order]).withColumn("__one", F.lit(1))
     seen = [*tracked, "__one"]
     if split_keys:
@@ -106,9 +121,82 @@ def scd2(changes: DataFrame, keys: list[str], ts: str, tracked: list[str],
         F.col(f"__n_{ts}").alias("ValidTo"),
         F.col(f"__n_{ts}").isNull().alias("IsCurrent"),
         change_hash(*tracked).alias("VersionHash"),
+        *(tiebreak or [] if keep_order else []),
     )
 
 
+def _on(keys: list[str], prefix: str):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"{prefix}{k}"))
+    return cond
+
+
+def scd2_merge(history: DataFrame, log: DataFrame, batch: DataFrame, keys: list[str], ts: str, tracked: list[str],
+               tiebreak: list[str] | None = None, split_keys: bool | None = None) -> tuple[DataFrame, DataFrame]:
+    """A stored SCD2 history and its change log, after a batch of new and late rows.
+
+    history: what ``scd2(..., keep_order=True)`` gave for ``log``; log: keys, ts,
+    tiebreak and tracked columns of all rows so far. Returns (history, log).
+
+    Only the batch's keys are touched, and of each only what follows the last
+    row before the batch's first one (``pivot``): versions that started up to
+    the pivot stay as they are, but for the last one's end; later ones are
+    worked out again from the pivot, the log's rows behind it and the batch.
+    So rows may come in any order, and a row that was delivered before (same
+    key and order) changes nothing. The result equals ``scd2`` over the whole
+    feed. NULL is a value of keys and tracked columns; ts and tiebreak are not NULL.
+    """
+    order = [ts] + (tiebreak or [])
+    rows = [*keys, *order, *[c for c in tracked if c not in order]]
+    log, batch = log.select(*rows), batch.select(*rows)
+    rest = [c for c in rows if c not in keys and c not in order]
+    # one row for each key and order, the log's before the batch's, the least of the batch's own
+    seen = F.struct(F.col("__new"), *[F.col(c) for c in rest])
+    mine = batch.groupBy(*keys, *order).agg(F.min(F.struct(*[F.col(c) for c in rest])).alias("__v"))
+    mine = mine.select(*keys, *order, *[F.col("__v")[c].alias(c) for c in rest])
+    at = F.struct(*[F.col(c) for c in order])
+    first = mine.groupBy(*[F.col(k).alias(f"__k_{k}") for k in keys]).agg(F.min(at).alias("__first"))
+    touched = log.join(first, _on(keys, "__k_"))
+    packed = F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest])
+    pivots = touched.where(at < F.col("__first")).groupBy(*keys).agg(F.max(packed).alias("__p"))
+    pivot_rows = pivots.select(*keys, *[F.col("__p")[c].alias(c) for c in [*order, *rest]])
+    behind = touched.where(at >= F.col("__first")).select(*rows)
+    both = behind.withColumn("__new", F.lit(0)).unionByName(mine.withColumn("__new", F.lit(1)))
+    tail = both.groupBy(*keys, *order).agg(F.min(seen).alias("__v"))
+    fresh = tail.where(F.col("__v")["__new"] == 1).select(*keys, *order, *[F.col("__v")[c].alias(c) for c in rest])
+    tail = tail.select(*keys, *order, *[F.col("__v")[c].alias(c) for c in rest])
+    again = scd2(pivot_rows.unionByName(tail), keys, ts, tracked, tiebreak, split_keys, keep_order=True)
+
+    # the batch's keys, with their pivot where they have one
+    bounds = first.join(pivots.select(*[F.col(k).alias(f"__q_{k}") for k in keys], F.struct(*[F.col("__p")[c].alias(c) for c in order]).alias("__pivot")),
+                        _same_keys(keys), "left").select(*[f"__k_{k}" for k in keys], "__pivot")
+    start = F.struct(F.col("ValidFrom").alias(ts), *[F.col(c) for c in tiebreak or []])
+    cols = [*keys, *tracked, "ValidFrom", "ValidTo", "IsCurrent", "VersionHash", *(tiebreak or [])]
+    untouched = history.join(bounds, _on(keys, "__k_"), "left_anti").select(*cols)
+    before = history.join(bounds, _on(keys, "__k_")).where(start <= F.col("__pivot")).withColumn("__start", start)
+    redone = again.join(bounds, _on(keys, "__k_"), "left").withColumn("__start", start)
+    new = redone.where(F.col("__pivot").isNull() | (F.col("__start") > F.col("__pivot"))).select(*cols)
+    # the version that the pivot is in: the last that started up to it; its end is that of the redone version at the pivot
+    end = (redone.where(F.col("__start") == F.col("__pivot"))
+           .select(*[F.col(k).alias(f"__e_{k}") for k in keys], F.col("ValidTo").alias("__to")))
+    last = before.groupBy(*[F.col(k).alias(f"__l_{k}") for k in keys]).agg(F.max("__start").alias("__last"))
+    ends = last.join(end, _same_keys(keys, "__l_", "__e_")).select(*[f"__l_{k}" for k in keys], "__last", "__to")
+    kept = before.join(ends, _on(keys, "__l_"), "left")
+    is_last = F.coalesce(F.col("__start") == F.col("__last"), F.lit(False))
+    kept = kept.select(*[F.when(is_last, F.col("__to")).otherwise(F.col("ValidTo")).alias(c) if c == "ValidTo"
+                         else F.when(is_last, F.col("__to").isNull()).otherwise(F.col("IsCurrent")).alias(c) if c == "IsCurrent"
+                         else F.col(c) for c in cols])
+    return untouched.unionByName(kept).unionByName(new), log.unionByName(fresh.select(*rows))
+
+
+def _same_keys(keys: list[str], left: str = "__k_", right: str = "__q_"):
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}"))
+    return cond
+
+
 def snapshot_changes(before: DataFrame, after: DataFrame, keys: list[str],
                      compare: list[str]) -> DataFrame:
     """Keys whose row was inserted, deleted or updated between two snapshots

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 
 def record_counts(source: DataFrame, target: DataFrame, check: str = "record_count") -> DataFrame:
@@ -94,6 +95,33 @@ def split_valid(df: DataFrame, predicate: Column) -> tuple[DataFrame, DataFrame]
     return df.filter(ok), df.filter(~ok)
 
 
+#: The partition that tells valid rows (false) from the others (true).
+REJECTED = "rejected"
+
+
+def split_path(path: str, rejected: bool = False) -> str:
+    """Where ``write_split`` puts the valid or the rejected rows below ``path``."""
+    return f"{path}/{REJECTED}={str(rejected).lower()}"
+
+
+def write_split(df: DataFrame, valid: Column, path: str, partition_by: list[str] | None = None,
+                mode: str = "overwrite", fmt: str = "parquet") -> None:
+    """Q6 in one scan: valid and rejected rows (``valid`` false or NULL) as partitions of a single write.
+
+    ``df`` is read and worked out once; either side is then read by its
+    partition alone (``read_split``), and ``split_path`` names its folder.
+    """
+    flagged = df.withColumn(REJECTED, ~F.coalesce(valid, F.lit(False)))
+    flagged.write.format(fmt).mode(mode).partitionBy(REJECTED, *(partition_by or [])).save(path)
+
+
+def read_split(spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet") -> tuple[DataFrame, DataFrame]:
+    """(valid, rejected) of what ``write_split`` wrote; schema: that of the rows, as a side without rows has no files."""
+    full = StructType([*schema.fields, StructField(REJECTED, BooleanType())])
+    both = spark.read.format(fmt).schema(full).load(path)
+    return both.where(~F.col(REJECTED)).drop(REJECTED), both.where(F.col(REJECTED)).drop(REJECTED)
+
+
 def keep_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Q7: one row per key, the one with the largest ``order`` tuple (ties
     broken by the remaining columns, so the choice is deterministic).

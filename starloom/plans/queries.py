@@ -318,19 +318,18 @@ def q_history_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_history_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Latest-per-user table loaded up to mid-month, then upserted.
+    """Latest-per-user table loaded up to mid-month, then upserted twice.
 
-    A third of the users come with newer rows, a third with late ones (their
-    first event) that must not replace what is there, and a third with none.
+    First come all newer rows, then late ones (every user's first event),
+    which must not replace what is there.
     """
     ev = _events(spark, sf_dir)
-    third = F.pmod(F.col("user_id"), F.lit(3))
     order = ["ts", "event_id"]
     target = Q.keep_latest(_cut(ev, True), ["user_id"], order)
-    newer = Q.keep_latest(_cut(ev, False).filter(third == 0), ["user_id"], order)
-    late = (ev.filter(third == 1).groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type", "value")).alias("x"))
+    newer = Q.keep_latest(_cut(ev, False), ["user_id"], order)
+    late = (ev.groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type", "value")).alias("x"))
             .select("x.event_id", "x.ts", "user_id", "x.event_type", "x.value"))
-    return H.upsert(target, newer.unionByName(late), ["user_id"], order)
+    return H.upsert(H.upsert(target, newer, ["user_id"], order), late, ["user_id"], order)
 
 
 def q_incremental_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:

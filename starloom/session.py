@@ -12,6 +12,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # INT96 timestamps carry no minimum and maximum, so no filter could skip their files
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

@@ -212,8 +212,8 @@ class Catalog:
 
     def append(self, df: DataFrame, schema: str, table: str, merge_schema: bool = False) -> None:
         """Append by column name; columns that ``df`` lacks are NULL. New columns
-        raise, or with ``merge_schema`` are added (old rows get NULL) by
-        rewriting the table in its layout."""
+        raise, or with ``merge_schema`` are added to the table's definition:
+        files that are there stay as they are, and their rows read NULL."""
         self.ensure_schema(schema)
         if not self.exists(schema, table):
             df.write.format(self.fmt).mode("overwrite").saveAsTable(self.name(schema, table))
@@ -224,8 +224,9 @@ class Catalog:
         if extra:
             if not merge_schema:
                 raise SchemaMismatch(f"new columns {extra} for {self.name(schema, table)}")
-            self._swap_in(cur.unionByName(df, allowMissingColumns=True), schema, table)
-            return
+            cols = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in extra)
+            self.spark.sql(f"ALTER TABLE {self.name(schema, table)} ADD COLUMNS ({cols})")
+            cur = self.read(schema, table)
         have = {c.lower(): c for c in df.columns}
         aligned = df.select(*[(F.col(have[f.name.lower()]) if f.name.lower() in have else F.lit(None)).cast(f.dataType).alias(f.name)
                               for f in cur.schema.fields])

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.sources import drift
 from starloom.sources.catalog import write_raw
 
 # Source dataFormat name -> Spark type. Decimal maps to DOUBLE
@@ -166,17 +167,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def check_header(spark: SparkSession, path: str, schema: T.StructType, options: dict) -> None:
-    """Raises if a header line does not name the schema's columns in their order (binding is by position)."""
-    r = spark.read.option("header", True)
-    for k, v in options.items():
-        r = r.option(k, v)
-    have = [c.strip().lower() for c in r.csv(path).columns]
-    want = [f.name.lower() for f in schema.fields]
-    if have != want:
-        raise ValueError(f"the header of {path} names {have}; the definition has {want}")
-
-
 @dataclass
 class EntityResult:
     folder: str
@@ -186,42 +176,64 @@ class EntityResult:
     rows: int | None = None
     bad_rows: int | None = None
     fallbacks: str | None = None
+    drift: str | None = None
 
 
 REPORT_SCHEMA = ("folder string, entity string, status string, error string, rows long, "
-                 "bad_rows long, fallbacks string")
+                 "bad_rows long, fallbacks string, drift string")
+
+
+def entity_options(header: bool, delimiter: str, options: dict[str, str] | None, recursive: bool) -> dict[str, str]:
+    """The CSV reader's options; those of the manifest's trait win."""
+    return {"header": str(header).lower(), "delimiter": delimiter, **(options or {}),
+            **({"recursiveFileLookup": "true"} if recursive else {})}
 
 
 def ingest_entity(spark: SparkSession, base: str, folder: str, entity: str, raw_root: str,
                   fmt: str = "parquet", header: bool = True, delimiter: str = ",",
                   decimal_type: str | None = None, options: dict[str, str] | None = None,
-                  recursive: bool = False) -> EntityResult:
+                  recursive: bool = False, by_header: bool = False) -> EntityResult:
     """One entity: definition -> typed scan -> raw table (+ quarantine).
-    ``options`` (from the manifest's CSV trait) override header/delimiter."""
+    ``options`` (from the manifest's CSV trait) override header/delimiter.
+
+    Every file's header is read. With ``by_header`` its columns are bound by
+    name, new ones are kept, and columns whose cells outgrow the declared type
+    are widened (see ``drift``); without, a file whose header is not the
+    definition raises. Files without headers are bound by position.
+    """
     es = read_definition(spark, definition_path(base, folder, entity), decimal_type)
-    csv = {"header": str(header).lower(), "delimiter": delimiter, **(options or {}),
-           **({"recursiveFileLookup": "true"} if recursive else {})}
-    if csv["header"] == "true":
-        check_header(spark, data_path(base, folder, entity), es.schema, csv)
-    df = read_entity(spark, data_path(base, folder, entity), es.schema, header, delimiter,
-                     recursive=recursive, options=options)
-    obs = Observation(f"ingest_{folder}_{entity}")
+    csv, path = entity_options(header, delimiter, options, recursive), data_path(base, folder, entity)
+    found = drift.layouts(spark, path, csv) if csv["header"] == "true" else []
+    if csv["header"] == "true" and not by_header:
+        drift.check_headers(found, es.schema)
+    differs = drift.differences(found, es.schema) if by_header else []
     bad = F.col(CORRUPT).isNotNull()
-    # counts are gathered during the write itself: no second pass over the files
-    observed = df.observe(obs, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
-    write_raw(observed.filter(~bad).drop(CORRUPT), f"{raw_root}/{folder}/{entity}", fmt)
-    m = obs.get
-    n_bad = int(m.get("bad") or 0)
+
+    def load(wide: dict[str, str]) -> tuple[DataFrame, int, int]:
+        """Writes the valid rows; returns all rows and the numbers of valid and rejected ones."""
+        if by_header and csv["header"] == "true":
+            df = drift.read_by_header(spark, found, drift.full_schema(found, es.schema, wide), csv)
+        else:
+            df = read_entity(spark, path, es.schema, header, delimiter, recursive=recursive, options=options)
+        obs = Observation(f"ingest_{folder}_{entity}")
+        # counts are gathered during the write itself: no second pass over the files
+        observed = df.observe(obs, F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+        write_raw(observed.filter(~bad).drop(CORRUPT), f"{raw_root}/{folder}/{entity}", fmt)
+        return df, int(obs.get.get("good") or 0), int(obs.get.get("bad") or 0)
+    df, n_good, n_bad = load({})
+    if n_bad and by_header and (wide := drift.needed(spark, found, es.schema, csv)):
+        differs += drift.widened(found, es.schema, wide)
+        df, n_good, n_bad = load(wide)
     quarantine = f"{raw_root}/_quarantine/{folder}/{entity}"
     if n_bad or _exists(spark, quarantine):  # a clean run empties what an earlier one left
         write_raw(df.filter(bad), quarantine, fmt)
     fb = ", ".join(f"{n}:{f}" for n, f in es.fallbacks) or None
-    return EntityResult(folder, entity, "loaded", None, int(m.get("good") or 0), n_bad, fb)
+    return EntityResult(folder, entity, "loaded", None, n_good, n_bad, fb, "; ".join(map(str, differs)) or None)
 
 
 def ingest(spark: SparkSession, base: str, raw_root: str, folders=FOLDERS, fmt: str = "parquet",
            header: bool = True, delimiter: str = ",", decimal_type: str | None = None,
-           recursive: bool = False) -> DataFrame:
+           recursive: bool = False, by_header: bool = True) -> DataFrame:
     """Load every entity of every folder; one failure never stops the rest.
 
     Returns the report as a DataFrame: one row per entity (or per folder
@@ -236,7 +248,7 @@ def ingest(spark: SparkSession, base: str, raw_root: str, folders=FOLDERS, fmt:
         for entity, options in entities:
             try:
                 results.append(ingest_entity(spark, base, folder, entity, raw_root, fmt, header,
-                                             delimiter, decimal_type, options, recursive))
+                                             delimiter, decimal_type, options, recursive, by_header))
             except Exception as e:  # noqa: BLE001
                 results.append(EntityResult(folder, entity, "failed", _error_text(e)))
     return spark.createDataFrame([tuple(r.__dict__.values()) for r in results], REPORT_SCHEMA)

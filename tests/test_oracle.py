@@ -8,9 +8,10 @@ from conftest import SF_SMALL
 from oracle_harness import compare, duck
 
 from starloom.plans.queries import QUERIES
+from starloom.plans.upkeep import QUERIES as UPKEEP
 
 # the library's own queries: the training-data operators have tests of their own
-NAMES = sorted(QUERIES)
+NAMES = sorted([*QUERIES, *UPKEEP])
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) <= set(E.oracle_sql()) <= set(E.queries())
+    assert {*QUERIES, *UPKEEP} <= set(E.oracle_sql()) <= set(E.queries())
 
 
 @pytest.mark.parametrize("name", NAMES)
