@@ -131,23 +131,28 @@ def no_null(c, default=""):
     return F.coalesce(c, F.lit(default))
 
 
-#: Bits of a Bloom filter (8 MB), and of each piece it is put together from.
-BLOOM_BITS, PIECE_BITS = 1 << 26, 1 << 20
+#: Bits of a Bloom filter (8 MB) unless asked for otherwise, of each piece it is put together from, and at most (128 MB).
+BLOOM_BITS, PIECE_BITS, MOST_BITS = 1 << 26, 1 << 20, 1 << 30
 
 
-def _probes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    m = np.uint64(BLOOM_BITS - 1)
+def bloom_bits(n: int) -> int:
+    """Bits for n hashes: ten or more for each, a power of two, within bounds."""
+    return min(MOST_BITS, max(PIECE_BITS, 1 << max(0, 10 * n - 1).bit_length()))
+
+
+def _probes(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
+    m = np.uint64(n_bits - 1)
     return h & m, (h >> np.uint64(32)) & m
 
 
-def bloom_filter(hashes: DataFrame) -> bytes:
-    """A Bloom filter of the 64-bit hashes in the first column, of BLOOM_BITS bits whatever their number.
+def bloom_filter(hashes: DataFrame, n_bits: int = BLOOM_BITS) -> bytes:
+    """A Bloom filter of the 64-bit hashes in the first column, of ``n_bits`` bits (a power of two).
 
     Pieces of fixed size are filled on the executors; the driver only puts
     them together. More hashes than it has room for let more through, no fewer.
     """
     def to_bits(b: pa.RecordBatch) -> pa.RecordBatch:
-        x, y = _probes(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))
+        x, y = _probes(b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), n_bits)
         bits = np.unique(np.concatenate([x, y])).astype(np.int64)
         return pa.RecordBatch.from_arrays([pa.array((bits // PIECE_BITS).astype(np.int32)), pa.array((bits % PIECE_BITS).astype(np.int32))], ["piece", "bit"])
 
@@ -158,7 +163,7 @@ def bloom_filter(hashes: DataFrame) -> bytes:
                          "bits": pa.array([np.packbits(a).tobytes()], pa.binary())})
     rows = (arrow_map(hashes, to_bits, "piece int, bit int").distinct()
             .groupBy("piece").applyInArrow(fill, "piece int, bits binary").collect())
-    out = bytearray(BLOOM_BITS // 8)
+    out = bytearray(n_bits // 8)
     for r in rows:
         at = r["piece"] * (PIECE_BITS // 8)
         out[at:at + PIECE_BITS // 8] = r["bits"]
@@ -171,6 +176,6 @@ def open_filter(raw: bytes) -> np.ndarray:
 
 def in_filter(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
     """True where a hash may be in the filter."""
-    one, two = _probes(h)
+    one, two = _probes(h, len(bits) * 8)
     return ((bits[one >> np.uint64(3)] >> (7 - (one & np.uint64(7))).astype(np.uint8))
             & (bits[two >> np.uint64(3)] >> (7 - (two & np.uint64(7))).astype(np.uint8)) & 1).astype(bool)

@@ -28,6 +28,8 @@ from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter,
 MASKS = ("1110111", "100011111", "111010001001", "110000110011", "111100101001")
 #: Fixed masks by the length of a shorter item. They hit every copy of the whole item with four fifths of its words equal.
 SHORT = {
+    1: ("1",),
+    2: ("11",),
     3: ("111",),
     4: ("1111",),
     5: ("1111", "11101", "11011", "10111"),
@@ -43,7 +45,7 @@ SHORT = {
 _PLACE = {m: i for i, m in enumerate(dict.fromkeys((*MASKS, *(m for ms in SHORT.values() for m in ms))), 1)}
 #: An overlap counts from this many words on (or the whole item, if shorter), of which this share must be equal.
 MIN_WORDS, MIN_EQUAL = 13, 0.8
-#: Items of fewer words are not looked for: one or two words alone are no evidence.
+#: Items of fewer words count only as a document's whole text: one or two words inside a text are no evidence.
 MIN_ITEM = 3
 
 
@@ -65,11 +67,11 @@ def masks_of(n_words: int) -> tuple[str, ...]:
 
 
 def seed_hashes(w: np.ndarray, masks: Sequence[str] = MASKS) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of every mask laid at every place it fits."""
+    """(hash, position) of every mask laid at every place it fits; one of under MIN_ITEM words fits a whole text only."""
     hs, ps = [], []
     for mask in masks:
         k = len(w) - len(mask) + 1
-        if k <= 0:
+        if k <= 0 or len(mask) < MIN_ITEM and k > 1:
             continue
         h = np.full(k, _PLACE[mask], np.uint64)
         for j, bit in enumerate(mask):
@@ -103,9 +105,9 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, rule: Rule = Rule())
 
 
 def benchmark_words(benchmark: DataFrame) -> DataFrame:
-    """item_id and the words' hashes, for the items of MIN_ITEM words or more; equal texts keep an item each, null ids stay."""
+    """item_id and the words' hashes, for the items that have words; equal texts keep an item each, null ids stay."""
     def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = [(k, w) for k, x in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True) if len(w := words_of(x)) >= MIN_ITEM]
+        got = [(k, w) for k, x in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True) if len(w := words_of(x))]
         return pa.RecordBatch.from_arrays([pa.array([k for k, _ in got], pa.int64()), pa.array([w.tobytes() for _, w in got], pa.binary())],
                                           ["item_id", "item"])
     src = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
@@ -127,7 +129,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rule: Rule = Rule()) ->
 
     first_word counts the document's words from 0. Null and empty texts leak
     nothing; a null doc_id or item_id stays null; items under MIN_ITEM words
-    are not looked for; rows repeated with the same doc_id and
+    are found where they are the whole text; rows repeated with the same doc_id and
     text are found once; an empty table on either side gives an empty result.
     Extra columns are not read. ``row_hash`` joins back to the text with
     ``text_key``.

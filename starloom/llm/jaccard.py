@@ -29,18 +29,22 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, arrow_map, bloom_filter, cut, in_filter, mix64, open_filter, ship, slices, stored, table, utf8
+from starloom.llm.common import LOWER, arrow_map, bloom_bits, bloom_filter, cut, in_filter, mix64, open_filter, ship, slices, stored, table, utf8
 from starloom.llm.components import components
 
 #: A band holds sizes up to this times its smallest.
 BAND = 1.5
 #: Members of a group that are compared with each other in one task.
 BLOCK = 1024
-#: What a signature row and a comparison of bitmaps cost, in one unit, when segments are allotted.
-ROW_COST, PAIR_COST = 1.0, 0.02
+#: Bytes that a signature costs (its print, shuffled), and those that a chance meeting costs: a membership row,
+#: and a bitmap of a quarter byte for each n-gram, written a few times. Segments are allotted by them.
+ROW_BYTES, MEET_BYTES, MEET_BYTES_NGRAM = 4.0, 32.0, 0.75
+#: Prints of a part of the hash range, about: what a task sorts.
+PART_PRINTS = 4_000_000
 _SALT = np.uint64(0x5851F42D4C957F2D)
 
 
@@ -93,9 +97,9 @@ def band_of(size: int) -> int:
 def allot(most: int, size: float, n_sets: float) -> tuple[int, int]:
     """(m, d) with m + d >= most + 1, of the least estimated cost.
 
-    A set costs its signature rows: m, and one for each n-gram of the d
-    tolerant segments. Unrelated sets meet where both have nothing in a
-    segment, which is the likelier the smaller the segments are.
+    A set costs its signatures: m, and one for each n-gram of the d tolerant
+    segments. Unrelated sets meet where both have nothing in a segment, which
+    is the likelier the smaller the segments are; both are priced in bytes.
     """
     best = None
     for d in range(0, (most + 1) // 2 + 1):
@@ -105,7 +109,7 @@ def allot(most: int, size: float, n_sets: float) -> tuple[int, int]:
         per = size / m
         rows = n_sets * (m + d * per)
         pairs = n_sets * n_sets / 2 * m * math.exp(-2 * per)
-        c = ROW_COST * rows + PAIR_COST * pairs
+        c = ROW_BYTES * rows + (MEET_BYTES + MEET_BYTES_NGRAM * size) * pairs
         if best is None or c < best[0]:
             best = (c, m, d)
         elif d > 64 and c > 4 * best[0]:
@@ -119,6 +123,7 @@ class Scheme:
 
     sim: Similarity
     n_sets: dict[int, float]
+    n_grams: float = 0.0
     made: dict[int, Band] = field(default_factory=dict)
 
     def band(self, k: int) -> Band:
@@ -190,9 +195,10 @@ def signatures(s: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int]:
         probes[order[:n_probe]] = True
         loud.append(exact[probes])
         quiet.append(exact[~probes])
-        for i in range(b.d):
-            without = mix64((sums[i] - parts[edge[i]:edge[i + 1]]) ^ tag[i])
-            (loud if probes[i] else quiet).append(without)
+        seg = np.repeat(np.arange(b.d), count[:b.d])  # of each n-gram in a tolerant segment
+        without = mix64((sums[seg] - parts[:len(seg)]) ^ tag[seg])
+        loud.append(without[probes[seg]])
+        quiet.append(without[~probes[seg]])
     if not loud:
         return np.empty(0, np.uint64), 0
     a = np.concatenate(loud)
@@ -200,12 +206,12 @@ def signatures(s: np.ndarray, scheme: Scheme) -> tuple[np.ndarray, int]:
 
 
 def bitmap(s: np.ndarray) -> np.ndarray:
-    """Parities of the n-grams by bucket: at least 256 bits, and four for each n-gram.
+    """Parities of the n-grams by bucket: at least 256 bits, and two for each n-gram.
 
     Two sets' bitmaps differ in no more bits than the sets differ in n-grams.
     """
     bits = 256
-    while bits < 4 * len(s):
+    while bits < 2 * len(s):
         bits *= 2
     at = np.bincount((s >> np.uint64(20)) & np.uint64(bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8), bitorder="little").view(np.uint64)
@@ -227,13 +233,21 @@ def may_link(na: int, nb: int, a: bytes, b: bytes, sim: Similarity) -> int | Non
     return bits if bits <= sim.differ(lo, hi) else None
 
 
-FEATURES = "doc_id long, text_key long, node long, n_shingles long, n_probe int, sigs array<bigint>, bits binary"
+FEATURES = "doc_id long, text_key long, node long, n_shingles long, sigs array<bigint>, probes array<boolean>, bits binary"
 
 
-def features(docs: DataFrame, scheme: Scheme) -> DataFrame:
-    """A row for each document; of equal sets in one task, only the first has signatures."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
+
+
+def features(docs: DataFrame, scheme: Scheme, shared: Broadcast, parts: int) -> DataFrame:
+    """A row for each document, with the signatures that the filter ``shared`` holds; of equal sets in one task, only the first has any.
+
+    Most signatures are one set's alone and never leave the task.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held = open_filter(shared.value)
         for b in slices(batches):
             nodes, sizes, probes, sigs, bits = [], [], [], [], []
             for x in utf8(b.column(2)):
@@ -242,23 +256,22 @@ def features(docs: DataFrame, scheme: Scheme) -> DataFrame:
                 nodes.append(node)
                 sizes.append(len(s))
                 if node is None or node in seen:
-                    probes.append(0)
+                    probes.append([])
                     sigs.append([])
                     bits.append(None)
                     continue
                 seen.add(node)
                 sig, n = signatures(s, scheme)
-                probes.append(n)
-                sigs.append(sig.view(np.int64))
+                at = np.flatnonzero(in_filter(held, _print_hash(*_prints(sig, parts))))
+                probes.append(at < n)
+                sigs.append(sig[at].view(np.int64))
                 bits.append(bitmap(s).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(probes, pa.int32()),
-                 pa.array(sigs, pa.list_(pa.int64())), pa.array(bits, pa.binary())],
-                ["doc_id", "text_key", "node", "n_shingles", "n_probe", "sigs", "bits"])
-    src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"),
-                      F.col("text").cast("string").alias("text"))
+                [b.column(0), b.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+                 pa.array(sigs, pa.list_(pa.int64())), pa.array(probes, pa.list_(pa.bool_())), pa.array(bits, pa.binary())],
+                ["doc_id", "text_key", "node", "n_shingles", "sigs", "probes", "bits"])
     ship(docs.sparkSession)
-    return src.mapInArrow(run, FEATURES)
+    return _texts(docs).mapInArrow(run, FEATURES)
 
 
 def scheme_for(docs: DataFrame, sim: Similarity) -> Scheme:
@@ -266,11 +279,14 @@ def scheme_for(docs: DataFrame, sim: Similarity) -> Scheme:
     size = F.greatest(F.lit(1), F.octet_length(F.col("text").cast("string")) / 6)
     bucket = F.floor(F.log(size) * 8).cast("int")
     n: dict[int, float] = {}
+    grams = 0.0
     for r in docs.groupBy(bucket.alias("b")).count().collect():  # some hundred buckets at most
         if r["b"] is not None:
-            k = band_of(max(1, int(math.exp((r["b"] + 0.5) / 8))))
+            words = math.exp((r["b"] + 0.5) / 8)
+            k = band_of(max(1, int(words)))
             n[k] = n.get(k, 0) + r["count"]
-    return Scheme(sim, n)
+            grams += words * r["count"]
+    return Scheme(sim, n, grams)
 
 
 def _sketches(feats: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -408,20 +424,29 @@ def _print_hash(part: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return mix64((part << np.uint64(32)) | fp)
 
 
-def _shared_signatures(feats: DataFrame, parts: int) -> bytes:
-    """A Bloom filter of the signatures that occur twice or more.
+def _shared_signatures(docs: DataFrame, scheme: Scheme, parts: int) -> bytes:
+    """A Bloom filter of the signatures that occur twice or more, sized by their number.
 
     Most signatures are one set's alone. To find the others, only their
-    32-bit prints travel, packed by part of the hash range; a part's prints
-    are sorted, and those that occur twice kept.
+    32-bit prints travel, packed by part of the hash range, and of a print no
+    more than two copies from some 500 documents; a part's prints are sorted,
+    and those that occur twice kept.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in slices(batches):
-            part, fp = _prints(b.column(0).flatten().to_numpy(zero_copy_only=False).view(np.uint64), parts)
-            order = np.argsort(part, kind="stable")
-            part, fp = part[order], fp[order].astype("<u4")
-            at, first = np.unique(part, return_index=True)
-            pieces = np.split(fp, first[1:]) if len(at) else []
+            found = [np.empty(0, np.uint64)]
+            for x in utf8(b.column(0)):
+                s = shingle_hashes(x, scheme.sim.n)
+                node = node_of(s)
+                if node is not None and node not in seen:
+                    seen.add(node)
+                    found.append(signatures(s, scheme)[0])
+            part, fp = _prints(np.concatenate(found), parts)
+            key = np.sort((part << np.uint64(32)) | fp)
+            key = key[np.concatenate((np.ones(min(2, len(key)), bool), key[2:] != key[:-2]))]
+            at, first = np.unique(key >> np.uint64(32), return_index=True)
+            pieces = np.split((key & np.uint64(0xFFFFFFFF)).astype("<u4"), first[1:]) if len(at) else []
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array([x.tobytes() for x in pieces], pa.binary())],
                                              ["part", "prints"])
 
@@ -430,32 +455,24 @@ def _shared_signatures(feats: DataFrame, parts: int) -> bytes:
         x = np.unique(x[1:][x[1:] == x[:-1]]).astype(np.uint64)
         part = np.full(len(x), t.column("part")[0].as_py(), np.uint64)
         return pa.table({"h": pa.array(_print_hash(part, x).view(np.int64))})
-    ship(feats.sparkSession)
-    packed = feats.where("n_probe > 0").select("sigs").mapInArrow(pack, "part long, prints binary")
-    return bloom_filter(packed.groupBy("part").applyInArrow(twice, "h long"))
+    ship(docs.sparkSession)
+    packed = _texts(docs).select("text").mapInArrow(pack, "part long, prints binary")
+    shared = cut(packed.groupBy("part").applyInArrow(twice, "h long"))
+    return bloom_filter(shared, bloom_bits(shared.count()))
 
 
 def _signature_rows(feats: DataFrame) -> DataFrame:
-    """(sig, node, probe) of the signatures that two sets may share; the filter lets few others through."""
-    parts = max(int(feats.sparkSession.conf.get("spark.sql.shuffle.partitions")), feats.count() // 20_000 + 1)
-    shared = feats.sparkSession.sparkContext.broadcast(_shared_signatures(feats, parts))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = open_filter(shared.value)
-        for b in slices(batches):
-            lists = b.column(0)
-            sigs = lists.flatten().to_numpy(zero_copy_only=False)
-            n = pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False)
-            rank = np.arange(len(sigs)) - np.repeat(np.cumsum(n) - n, n)
-            at = np.flatnonzero(in_filter(bits, _print_hash(*_prints(sigs.view(np.uint64), parts))))
-            node, probe = (np.repeat(b.column(i).to_numpy(zero_copy_only=False), n)[at] for i in (1, 2))
-            yield pa.RecordBatch.from_arrays([pa.array(sigs[at]), pa.array(node), pa.array(rank[at] < probe)], ["sig", "node", "probe"])
-    return feats.where("n_probe > 0").select("sigs", "node", "n_probe").mapInArrow(run, "sig long, node long, probe boolean")
+    """(sig, node, probe) of the signatures that two sets may share."""
+    return feats.select("node", F.explode(F.arrays_zip("sigs", "probes")).alias("x")).select(F.col("x.sigs").alias("sig"), "node", F.col("x.probes").alias("probe"))
 
 
 def join(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
     """(features of every document, components of the linked nodes)."""
-    feats = cut(features(docs, scheme_for(docs, sim)))
+    spark = docs.sparkSession
+    scheme = scheme_for(docs, sim)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(scheme.n_grams // PART_PRINTS) + 1)
+    shared = spark.sparkContext.broadcast(_shared_signatures(docs, scheme, parts))
+    feats = cut(features(docs, scheme, shared, parts))
     rows = _signature_rows(feats)
     groups = (rows.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.max("probe").alias("probe"))
               .where("a <> z and probe").select("sig", "a"))

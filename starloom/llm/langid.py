@@ -45,10 +45,11 @@ _letters: np.ndarray | None = None
 
 
 def letters() -> np.ndarray:
-    """For every code point: is it a letter or a mark?"""
+    """For every code point: 2 for a letter, 1 for a mark, which is part of a word but no letter, else 0."""
     global _letters
     if _letters is None:
-        _letters = np.frombuffer(bytes(unicodedata.category(chr(c))[0] in "LM" for c in range(sys.maxunicode + 1)), bool)
+        kinds = {"L": 2, "M": 1}
+        _letters = np.frombuffer(bytes(kinds.get(unicodedata.category(chr(c))[0], 0) for c in range(sys.maxunicode + 1)), np.uint8)
     return _letters
 
 
@@ -63,10 +64,10 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
     if not text:
         return None
     c = np.frombuffer(text.lower().encode("utf-32-le", "replace"), np.uint32)
-    is_letter = letters()[c]
-    if not is_letter.any():
+    kind = letters()[c]
+    if not (kind == 2).any():
         return None
-    c = np.where(is_letter, c, np.uint32(32))
+    c = np.where(kind > 0, c, np.uint32(32))
     c = c[np.concatenate(([True], (c[1:] != 32) | (c[:-1] != 32)))]  # one space between words
     shift = np.uint32(32 - DIM.bit_length() + 1)
     total = np.zeros(DIM, np.int64)
