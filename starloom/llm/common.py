@@ -136,8 +136,8 @@ BLOOM_BITS, PIECE_BITS, MOST_BITS = 1 << 26, 1 << 20, 1 << 30
 
 
 def bloom_bits(n: int) -> int:
-    """Bits for n hashes: ten or more for each, a power of two, within bounds."""
-    return min(MOST_BITS, max(PIECE_BITS, 1 << max(0, 10 * n - 1).bit_length()))
+    """Bits for n hashes: 16 or more for each, a power of two, within bounds."""
+    return min(MOST_BITS, max(PIECE_BITS, 1 << max(0, 16 * n - 1).bit_length()))
 
 
 def _probes(h: np.ndarray, n_bits: int) -> tuple[np.ndarray, np.ndarray]:

@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.llm.common import LOWER, arrow_map, bloom_bits, bloom_filter, cut, in_filter, mix64, open_filter, ship, slices, stored, table, utf8
+from starloom.llm.common import LOWER, arrow_map, bloom_bits, bloom_filter, cut, in_filter, mix64, open_filter, release, ship, slices, stored, table, utf8
 from starloom.llm.components import components
 
 #: A band holds sizes up to this times its smallest.
@@ -240,22 +240,57 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
 
 
-def features(docs: DataFrame, scheme: Scheme, shared: Broadcast, parts: int) -> DataFrame:
-    """A row for each document, with the signatures that the filter ``shared`` holds; of equal sets in one task, only the first has any.
+@dataclass
+class Copies:
+    """Two filters that tell of each text's exact copies all but one (rarely two) to rest: ``keys`` holds the hashes of
+    texts that occur twice or more, ``rows`` those of the rows that stand for them, and for texts ``keys`` takes for such."""
+
+    keys: Broadcast
+    rows: Broadcast
+
+    def stand(self, key: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """True for the rows whose text is to be worked on."""
+        return ~in_filter(open_filter(self.keys.value), key.view(np.uint64)) | in_filter(open_filter(self.rows.value), row.view(np.uint64))
+
+
+def copies(docs: DataFrame) -> Copies:
+    """Of copies one row stands for all, that of the smallest hash. Only hashes are shuffled."""
+    spark = docs.sparkSession
+    keyed = docs.select(F.xxhash64("text").alias("key"), _row_key().alias("row"))
+    # the count is summed inside the tasks first, so that a text of very many copies is no hot group
+    many = cut(keyed.groupBy("key").agg(F.min("row").alias("row"), F.count("*").alias("n")).where("n > 1").select("key", "row"))
+    bits = bloom_bits(many.count())
+    keys = spark.sparkContext.broadcast(bloom_filter(many.select("key"), bits))
+
+    def taken(b: pa.RecordBatch) -> pa.RecordBatch:
+        return b.filter(pa.array(in_filter(open_filter(keys.value), b.column(0).to_numpy(zero_copy_only=False).view(np.uint64))))
+    mistaken = arrow_map(keyed, taken, "key long, row long").join(many.select("key"), "key", "left_anti")
+    rows = cut(many.select("row").unionByName(mistaken.select("row")))
+    return Copies(keys, spark.sparkContext.broadcast(bloom_filter(rows, max(bits, bloom_bits(rows.count())))))
+
+
+def _row_key():
+    return F.xxhash64(F.xxhash64("text"), F.col("doc_id").cast("long"))
+
+
+def features(docs: DataFrame, scheme: Scheme, once: Copies, shared: Broadcast, parts: int) -> DataFrame:
+    """A row for each document, with the signatures that the filter ``shared`` holds.
 
-    Most signatures are one set's alone and never leave the task.
+    Most signatures are one set's alone and never leave the task. Of exact
+    copies one row has signatures, of equal sets in one task the first.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         held = open_filter(shared.value)
         for b in slices(batches):
             nodes, sizes, probes, sigs, bits = [], [], [], [], []
-            for x in utf8(b.column(2)):
+            stands = once.stand(*(b.column(i).to_numpy(zero_copy_only=False) for i in (1, 3))).tolist()
+            for x, stand in zip(utf8(b.column(2)), stands, strict=True):
                 s = shingle_hashes(x, scheme.sim.n)
                 node = node_of(s)
                 nodes.append(node)
                 sizes.append(len(s))
-                if node is None or node in seen:
+                if node is None or not stand or node in seen:
                     probes.append([])
                     sigs.append([])
                     bits.append(None)
@@ -271,7 +306,7 @@ def features(docs: DataFrame, scheme: Scheme, shared: Broadcast, parts: int) ->
                  pa.array(sigs, pa.list_(pa.int64())), pa.array(probes, pa.list_(pa.bool_())), pa.array(bits, pa.binary())],
                 ["doc_id", "text_key", "node", "n_shingles", "sigs", "probes", "bits"])
     ship(docs.sparkSession)
-    return _texts(docs).mapInArrow(run, FEATURES)
+    return _texts(docs).withColumn("row", _row_key()).mapInArrow(run, FEATURES)
 
 
 def scheme_for(docs: DataFrame, sim: Similarity) -> Scheme:
@@ -416,35 +451,41 @@ def _block_pairs(key, held: list[tuple], sim: Similarity) -> list[tuple[int, int
 
 
 def _prints(sigs: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """(part, 32-bit print) of signatures: their halves, which are independent."""
-    return (sigs >> np.uint64(32)) % np.uint64(parts), sigs & np.uint64(0xFFFFFFFF)
+    """(part, 31-bit print) of signatures: from their halves, which are independent."""
+    return (sigs >> np.uint64(32)) % np.uint64(parts), sigs & np.uint64(0x7FFFFFFF)
 
 
 def _print_hash(part: np.ndarray, fp: np.ndarray) -> np.ndarray:
     return mix64((part << np.uint64(32)) | fp)
 
 
-def _shared_signatures(docs: DataFrame, scheme: Scheme, parts: int) -> bytes:
-    """A Bloom filter of the signatures that occur twice or more, sized by their number.
+def _shared_signatures(docs: DataFrame, scheme: Scheme, once: Copies, parts: int) -> bytes:
+    """A Bloom filter of the signatures that occur twice or more, one of them probing, sized by their number.
 
-    Most signatures are one set's alone. To find the others, only their
-    32-bit prints travel, packed by part of the hash range, and of a print no
-    more than two copies from some 500 documents; a part's prints are sorted,
-    and those that occur twice kept.
+    Most signatures are one set's alone, and of the others many are probed by
+    no set. To find the rest, only 31-bit prints and a bit for probing travel,
+    packed by part of the hash range, and of a print no more than two copies
+    from some 500 documents; a part's prints are sorted, and those kept that
+    occur twice and are probed.
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in slices(batches):
-            found = [np.empty(0, np.uint64)]
-            for x in utf8(b.column(0)):
+            found, quiet = [np.empty(0, np.uint64)], [np.empty(0, bool)]
+            stands = once.stand(*(b.column(i).to_numpy(zero_copy_only=False) for i in (1, 2)))
+            for x in utf8(b.column(0).filter(pa.array(stands))):
                 s = shingle_hashes(x, scheme.sim.n)
                 node = node_of(s)
                 if node is not None and node not in seen:
                     seen.add(node)
-                    found.append(signatures(s, scheme)[0])
+                    sig, n = signatures(s, scheme)
+                    found.append(sig)
+                    quiet.append(np.arange(len(sig)) >= n)
             part, fp = _prints(np.concatenate(found), parts)
-            key = np.sort((part << np.uint64(32)) | fp)
-            key = key[np.concatenate((np.ones(min(2, len(key)), bool), key[2:] != key[:-2]))]
+            # by print, the probing ones first
+            key = np.sort((part << np.uint64(32)) | (fp << np.uint64(1)) | np.concatenate(quiet).astype(np.uint64))
+            name = key >> np.uint64(1)
+            key = key[np.concatenate((np.ones(min(2, len(key)), bool), name[2:] != name[:-2]))]
             at, first = np.unique(key >> np.uint64(32), return_index=True)
             pieces = np.split((key & np.uint64(0xFFFFFFFF)).astype("<u4"), first[1:]) if len(at) else []
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int64)), pa.array([x.tobytes() for x in pieces], pa.binary())],
@@ -452,11 +493,14 @@ def _shared_signatures(docs: DataFrame, scheme: Scheme, parts: int) -> bytes:
 
     def twice(t: pa.Table) -> pa.Table:
         x = np.sort(np.concatenate([np.frombuffer(v, "<u4") for v in t.column("prints").to_pylist()]))
-        x = np.unique(x[1:][x[1:] == x[:-1]]).astype(np.uint64)
+        name = x >> np.uint32(1)
+        again = np.concatenate((name[1:] == name[:-1], [False]))
+        first = np.concatenate(([True], name[1:] != name[:-1]))
+        x = name[first & again & (x & np.uint32(1) == 0)].astype(np.uint64)
         part = np.full(len(x), t.column("part")[0].as_py(), np.uint64)
         return pa.table({"h": pa.array(_print_hash(part, x).view(np.int64))})
     ship(docs.sparkSession)
-    packed = _texts(docs).select("text").mapInArrow(pack, "part long, prints binary")
+    packed = _texts(docs).select("text", "text_key", _row_key().alias("row")).mapInArrow(pack, "part long, prints binary")
     shared = cut(packed.groupBy("part").applyInArrow(twice, "h long"))
     return bloom_filter(shared, bloom_bits(shared.count()))
 
@@ -471,8 +515,10 @@ def join(docs: DataFrame, sim: Similarity) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     scheme = scheme_for(docs, sim)
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), int(scheme.n_grams // PART_PRINTS) + 1)
-    shared = spark.sparkContext.broadcast(_shared_signatures(docs, scheme, parts))
-    feats = cut(features(docs, scheme, shared, parts))
+    once = copies(docs)
+    shared = spark.sparkContext.broadcast(_shared_signatures(docs, scheme, once, parts))
+    release(spark)  # the prints are no longer needed
+    feats = cut(features(docs, scheme, once, shared, parts))
     rows = _signature_rows(feats)
     groups = (rows.groupBy("sig").agg(F.min("node").alias("a"), F.max("node").alias("z"), F.max("probe").alias("probe"))
               .where("a <> z and probe").select("sig", "a"))
