@@ -11,7 +11,7 @@ from starloom.llm import secretscan
 from starloom.llm.oracle import SECRETS
 from tests.llm.helpers import documents, no_docs, odd_docs
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 BASE = {
     "assign": (re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 6),
     "access": (re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 20),
@@ -63,7 +63,7 @@ def test_base_spans_are_those_of_the_patterns(text):
 
 def test_failing_matches_use_up_their_text():
     assert scan("token=abc token=secret=foo123") == ["assign:10:29"]
-    assert scan("token = token = abcdef1") == ["assign:8:23"]
+    assert scan("token = token = abcdef1") == []
 
 
 def test_checksums_decide_the_added_kinds():
