@@ -23,22 +23,37 @@ NEAR = jaccard.Similarity(5, 80, 100)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is known with a score of 0.3 or more, that is all but the barely guessed (operator 10)."""
+    """Documents whose language is known with a score of 0.3 or more, that is all but the barely guessed (operator 10).
+
+    Rows whose text is null, empty or without letters go; repeated rows and null
+    doc_ids are kept as they are; an empty table stays empty.
+    """
     return langid.keep_known(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones, the smallest doc_id's (operator 1)."""
+    """One document of each group of linked ones, the smallest doc_id's (operator 1).
+
+    Of repeated rows one stays; a null doc_id is taken only where its group has
+    no other; texts without words link with nothing and stay.
+    """
     return jaccard.keep_one(docs, NEAR)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item (operator 3)."""
+    """Documents that hold no benchmark item (operator 3).
+
+    Null and empty texts hold none and stay, as do null doc_ids and repeated
+    rows; an empty benchmark lets all documents stay.
+    """
     return decontam.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its personal data replaced by the kind's name; n_chars follows the text (operator 9)."""
+    """Every document, its personal data replaced by the kind's name; n_chars follows the text (operator 9).
+
+    A null text stays null; repeated rows are masked alike; an empty table stays empty.
+    """
     masked = pii.mask(docs)
     if "n_chars" not in docs.columns:
         return masked
@@ -47,7 +62,11 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's pieces with their places in the training sequences (operator 6)."""
+    """Every document's pieces with their places in the training sequences (operator 6).
+
+    A null text is packed as an empty one; repeated rows are packed each; an
+    empty table gives no pieces.
+    """
     return packing.pack(docs)
 
 
