@@ -1,7 +1,7 @@
 """Aggregates kept up by deltas: signed change rows folded into a stored mart.
 
 A change is a row with ``_sign`` +1 (it came) or -1 (it went); an update is
-one of each. Counts and sums take the signed rows as they are. A minimum or
+one of each, and n equal rows may be one row with n or -n. Counts and sums take the signed rows as they are. A minimum or
 maximum takes a new value at once, and a value that went only matters if it
 was the extreme itself: then, and only then, the group's rows are read again.
 So a refresh costs the changes, plus the rows of the groups whose extreme went.
@@ -25,6 +25,17 @@ def signed(came: DataFrame | None = None, went: DataFrame | None = None) -> Data
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
+def between(before: DataFrame, after: DataFrame) -> DataFrame:
+    """The change rows from one version of a table to the next, in one aggregate over both: how often each row came (+) or went (-).
+
+    Rows are compared by all their columns, NULL equal to NULL; what both
+    versions hold equally often falls out.
+    """
+    cols = before.columns
+    both = after.select(*cols).withColumn(SIGN, F.lit(1)).unionByName(before.withColumn(SIGN, F.lit(-1)))
+    return both.groupBy(*cols).agg(F.sum(SIGN).cast("int").alias(SIGN)).where(F.col(SIGN) != 0)
+
+
 def _same(a: list[str], b: list[str]) -> Column:
     on = F.lit(True)
     for x, y in zip(a, b, strict=True):
@@ -60,8 +71,8 @@ class DeltaMart:
         """The changes, one row a group: d_rows, d_<sum>, up_<extreme> (came) and down_<extreme> (went)."""
         s, came, went = F.col(SIGN), F.col(SIGN) > 0, F.col(SIGN) < 0
         aggs = [F.sum(s).cast("long").alias("d_rows")]
-        aggs += [F.coalesce(F.sum(F.when(came, F.expr(e))), F.lit(0)).alias(f"p_{c}") for c, e in self.sums.items()]
-        aggs += [F.coalesce(F.sum(F.when(went, F.expr(e))), F.lit(0)).alias(f"m_{c}") for c, e in self.sums.items()]
+        aggs += [F.coalesce(F.sum(F.when(came, F.expr(e) * s)), F.lit(0)).alias(f"p_{c}") for c, e in self.sums.items()]
+        aggs += [F.coalesce(F.sum(F.when(went, F.expr(e) * -s)), F.lit(0)).alias(f"m_{c}") for c, e in self.sums.items()]
         for kind, cols in ((F.min, self.mins), (F.max, self.maxs)):
             for c, e in cols.items():
                 aggs += [kind(F.when(came, F.expr(e))).alias(f"up_{c}"), kind(F.when(went, F.expr(e))).alias(f"down_{c}")]

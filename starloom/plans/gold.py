@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.operators.deltas import DeltaMart
 from starloom.sources.catalog import Catalog
 
 
@@ -47,6 +48,20 @@ def purchases_by_vendor_country(fact_purchase: DataFrame, dimvendor: DataFrame)
                   (F.sum("spend").cast("double") * F.col("VendorDiscount")).alias("discount_value")))
 
 
+def refresh_mart(cat: Catalog, mart: DeltaMart, name: str, base: DataFrame, changes: DataFrame, gold: str = "gold") -> str:
+    """Folds change rows (see ``deltas.between``) into ``gold.name``, which is built from ``base`` if it is not there.
+
+    ``base`` holds the rows after the changes; of it, only the groups that lost
+    their minimum or maximum are read. Returns what was done.
+    """
+    cat.ensure_schema(gold)
+    if not cat.exists(gold, name):
+        cat.overwrite(mart.build(base), gold, name)
+        return "built"
+    cat.overwrite(mart.apply(cat.read(gold, name), changes, base), gold, name, allow_schema_change=True)
+    return "refreshed"
+
+
 def build_gold(cat: Catalog, silver: str = "silver", gold: str = "gold") -> dict[str, str]:
     """Materialise the marts from silver tables; returns mart -> status.
 

@@ -418,9 +418,9 @@ DQ_ORPHANS = "\nunion all\n".join([
     _orphans("lineitem.l_suppkey->supplier", "lineitem", "l_suppkey", "supplier", "s_suppkey"),
     _orphans("orders.o_custkey->customer", "orders", "o_custkey", "customer", "c_custkey"),
     _orphans("lineitem.l_orderkey->some orders", "lineitem", "l_orderkey",
-             "(select * from orders where o_orderkey % 7 <> 0)", "o_orderkey"),
+             "(select * from orders where o_orderstatus <> 'F')", "o_orderkey"),
     _orphans("orders.o_custkey->some customers", "orders", "o_custkey",
-             "(select * from customer where c_custkey % 3 <> 0)", "c_custkey"),
+             "(select * from customer where c_mktsegment <> 'BUILDING')", "c_custkey"),
 ])
 
 DQ_QUARANTINE = """select l_orderkey, l_linenumber, l_quantity, l_discount from lineitem
@@ -458,7 +458,7 @@ DQ_RULES = "\nunion all\n".join([
     _rule("lineitem_small_discount", "lineitem", "valid",
           "count_if(not coalesce(l_discount <= CAST(0.05 AS DOUBLE), false))", "count(*)", "lineitem"),
     _rule("lineitem_some_orders_fk", "lineitem", "foreign_key",
-          "count_if(l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderkey % 7 <> 0))",
+          "count_if(l_orderkey is not null and not exists (select 1 from orders o where o.o_orderkey = l.l_orderkey and o.o_orderstatus <> 'F'))",
           "count(*)", "lineitem l"),
     _rule("customer_many", "customer", "row_count",
           "case when count(*) < 1000000000 then 1 else 0 end", "count(*)", "customer"),
@@ -508,8 +508,8 @@ from s"""
 CUT = "TIMESTAMP '2024-01-15 00:00:00'"
 
 HISTORY_SNAPSHOT_CHANGES = _with(
-    l=_latest(f"where ts < {CUT}"), b="select * from l where user_id % 10 <> 1", e=_latest(""),
-    a="select * from e where user_id % 10 not in (2, 3) union all select * from l where user_id % 10 = 3") + """
+    l=_latest(f"where ts < {CUT}"), b="select * from l where event_type <> 'signup'", e=_latest(""), v="select * from l where event_type = 'view'",
+    a="select * from e where event_type <> 'error' and user_id not in (select user_id from v) union all select * from v") + """
 select coalesce(b.user_id, a.user_id) as user_id,
   case when a.user_id is null then 'delete' when b.user_id is null then 'insert' else 'update' end as change
 from b full outer join a on b.user_id = a.user_id

@@ -219,9 +219,9 @@ def q_dq_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("lineitem.l_partkey->part", t.lineitem, t.part, "l_partkey", "p_partkey"),
         ("lineitem.l_suppkey->supplier", t.lineitem, t.supplier, "l_suppkey", "s_suppkey"),
         ("orders.o_custkey->customer", t.orders, t.customer, "o_custkey", "c_custkey"),
-        # against a thinned side, every seventh order and every third customer
-        ("lineitem.l_orderkey->some orders", t.lineitem, t.orders.filter("o_orderkey % 7 <> 0"), "l_orderkey", "o_orderkey"),
-        ("orders.o_custkey->some customers", t.orders, t.customer.filter("c_custkey % 3 <> 0"), "o_custkey", "c_custkey"),
+        # against sides that lack a status and a segment
+        ("lineitem.l_orderkey->some orders", t.lineitem, t.orders.filter("o_orderstatus <> 'F'"), "l_orderkey", "o_orderkey"),
+        ("orders.o_custkey->some customers", t.orders, t.customer.filter("c_mktsegment <> 'BUILDING'"), "o_custkey", "c_custkey"),
     ])
 
 
@@ -243,7 +243,7 @@ def q_dq_keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_dq_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     tables = {"lineitem": t.lineitem, "orders": t.orders, "customer": t.customer, "gaps": _gaps(t),
-              "some_orders": t.orders.filter("o_orderkey % 7 <> 0")}
+              "some_orders": t.orders.filter("o_orderstatus <> 'F'")}
     rules = [
         Q.Rule("orders_key_not_null", "orders", "not_null", ("o_orderkey",)),
         Q.Rule("orders_key_unique", "orders", "unique", ("o_orderkey",)),
@@ -305,15 +305,15 @@ def _cut(df, before: bool):
 def q_history_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Users whose latest event changed between the mid-month and month-end snapshots.
 
-    The first snapshot lacks one user in ten, the second another; a third
-    tenth has the first snapshot's row in both.
+    The first snapshot lacks the users whose last event was a signup, the
+    second those whose last is an error; users whose last event was a view
+    keep the first snapshot's row in both.
     """
-    ev = _events(spark, sf_dir)
-    tenth = F.pmod(F.col("user_id"), F.lit(10))
-    latest = Q.keep_latest(_cut(ev, True), ["user_id"], ["ts", "event_id"])
-    before = latest.filter(tenth != 1)
-    after = Q.keep_latest(ev.filter((tenth != 2) & (tenth != 3)), ["user_id"], ["ts", "event_id"]).unionByName(
-        latest.filter(tenth == 3))
+    ev, order = _events(spark, sf_dir), ["ts", "event_id"]
+    latest, now = (Q.keep_latest(x, ["user_id"], order) for x in (_cut(ev, True), ev))
+    before = latest.filter("event_type <> 'signup'")
+    still = latest.filter("event_type = 'view'")
+    after = now.filter("event_type <> 'error'").join(still.select("user_id"), "user_id", "left_anti").select(*now.columns).unionByName(still)
     return H.snapshot_changes(before, after, ["user_id"], ["event_type", "value"])
 
 

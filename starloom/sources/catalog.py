@@ -16,7 +16,7 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from starloom.operators.history import upsert
 
@@ -297,10 +297,32 @@ class Catalog:
 
     def delete_where(self, schema: str, table: str, predicate: str) -> None:
         """DELETE FROM t WHERE p, as a rewrite keeping rows where p is false
-        or NULL (three-valued logic, like DELETE)."""
+        or NULL (three-valued logic, like DELETE). Of a partitioned table only
+        the partitions that hold such rows are rewritten, or dropped where no
+        row is left."""
         cur = self.read(schema, table)
-        keep = cur.filter(~F.coalesce(F.expr(predicate), F.lit(False)))
-        self._swap_in(keep, schema, table)
+        goes = F.coalesce(F.expr(predicate), F.lit(False))
+        by = self.layout(schema, table)[0]
+        if not by:
+            self._swap_in(cur.filter(~goes), schema, table)
+            return
+        counts = cur.groupBy(*by).agg(F.count_if(goes).alias("__gone"), F.count_if(~goes).alias("__left")).where("__gone > 0")
+        counts = counts.collect()  # a row for each partition that is touched
+        if not counts:
+            return
+        left = [r for r in counts if r["__left"]]
+        if left:
+            touched = self.spark.createDataFrame([tuple(r[c] for c in by) for r in left],
+                                                 StructType([StructField(f"__p_{c}", cur.schema[c].dataType) for c in by]))
+            same = F.lit(True)
+            for c in by:
+                same = same & F.col(c).eqNullSafe(F.col(f"__p_{c}"))
+            self.replace_partitions(cur.join(touched, same, "left_semi").filter(~goes), schema, table)
+        for r in counts:
+            if not r["__left"]:
+                spec = ", ".join(f"`{c}` = " + ("NULL" if r[c] is None else "'" + str(r[c]).replace("\\", "\\\\").replace("'", "\\'") + "'") for c in by)
+                self.spark.sql(f"ALTER TABLE {self.name(schema, table)} DROP IF EXISTS PARTITION ({spec})")
+        self.spark.catalog.refreshTable(self.name(schema, table))
 
     def register_external(self, schema: str, table: str, path: str, fmt: str | None = None) -> None:
         """CREATE TABLE ... USING fmt LOCATION path over existing raw data."""

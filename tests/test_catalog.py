@@ -109,3 +109,23 @@ def test_upsert_partitions_rewrites_only_touched(spark, cat):
     got = sorted((r.k, r.v, r.y) for r in cat.read("t_cat", "part_up").collect())
     assert got == [(1, "a", 2023), (2, "b", 2023), (3, "c2", 2024), (4, "d", 2024)]
     assert sorted(os.listdir(path_2023)) == before  # the untouched partition kept its files
+
+
+def test_delete_rewrites_only_the_partitions_it_touches(spark):
+    import os
+    cat = Catalog(spark)
+    cat.ensure_schema("stage")
+    df = spark.createDataFrame([(i, "abc"[i % 3] if i < 30 else None) for i in range(40)], "k int, p string")
+    df.write.partitionBy("p").mode("overwrite").saveAsTable("stage.del_parts")
+    path = lambda: {f.getPath() if hasattr(f, "getPath") else f for f in cat.read("stage", "del_parts").inputFiles()}
+    was = path()
+    cat.delete_where("stage", "del_parts", "p = 'a' or (p = 'b' and k < 10) or (p is null and k = 35)")
+    left = sorted((r["k"], str(r["p"])) for r in cat.read("stage", "del_parts").collect())
+    want = sorted((i, "abc"[i % 3] if i < 30 else "None") for i in range(40)
+                  if not (i < 30 and i % 3 == 0 or i < 30 and i % 3 == 1 and i < 10 or i == 35))
+    assert left == want
+    kept = {f for f in was if f"{os.sep}p=c{os.sep}" in f}
+    assert kept and kept <= path() and not {f for f in path() if f"{os.sep}p=a{os.sep}" in f}
+    cat.delete_where("stage", "del_parts", "p = 'nowhere'")
+    assert sorted((r["k"], str(r["p"])) for r in cat.read("stage", "del_parts").collect()) == want
+    cat.drop_if_exists("stage", "del_parts")

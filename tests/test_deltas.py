@@ -3,7 +3,7 @@ from decimal import Decimal
 
 import pytest
 
-from starloom.operators.deltas import DeltaMart, signed
+from starloom.operators.deltas import DeltaMart, between, signed
 
 MART = DeltaMart(("g", "h"), {"total": "x", "dec": "cast(x as decimal(10,2))"}, {"lo": "x"}, {"hi": "x"})
 DDL = "id int, g string, h int, x int"
@@ -54,3 +54,24 @@ def test_without_extremes_the_base_is_not_read(spark):
     frame = lambda rows: spark.createDataFrame(rows, DDL)
     got = mart.apply(mart.build(frame([(1, "a", 1, 7)])), signed(frame([(2, "a", 1, 3)])), frame([]))
     assert [tuple(r) for r in got.collect()] == [("a", 2, 10)]
+
+
+def test_changes_between_two_versions_with_repeated_rows_and_nulls(spark):
+    frame = lambda rows: spark.createDataFrame(rows, DDL)
+    before = [(1, "a", 1, 5)] * 3 + [(2, None, 2, None), (3, "b", None, 1)]
+    after = [(1, "a", 1, 5)] + [(2, None, 2, None), (4, "b", None, 9), (4, "b", None, 9)]
+    d = between(frame(before), frame(after))
+    assert sorted((r["id"], r["_sign"]) for r in d.collect()) == [(1, -2), (3, -1), (4, 2)]
+    assert _rows(MART.apply(MART.build(frame(before)), d, frame(after))) == _rows(MART.build(frame(after)))
+
+
+def test_a_stored_mart_is_built_once_and_then_refreshed(spark):
+    from starloom.plans.gold import refresh_mart
+    from starloom.sources.catalog import Catalog
+    cat, frame = Catalog(spark), lambda rows: spark.createDataFrame(rows, DDL)
+    v1, v2 = [(1, "a", 1, 5), (2, "a", 1, 9), (3, "b", 2, 1)], [(1, "a", 1, 5), (3, "b", 2, 4), (4, "c", 3, 3)]
+    none = between(frame(v1), frame(v1))
+    assert refresh_mart(cat, MART, "delta_test", frame(v1), none) == "built"
+    assert refresh_mart(cat, MART, "delta_test", frame(v2), between(frame(v1), frame(v2))) == "refreshed"
+    assert _rows(cat.read("gold", "delta_test")) == _rows(MART.build(frame(v2)))
+    cat.drop_if_exists("gold", "delta_test")
