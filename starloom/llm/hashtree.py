@@ -114,7 +114,8 @@ def assign(df: DataFrame, root: Node, key: str = "doc_id", text: str = "text") -
     hash, the sub-buckets' counts give each its first slot, and rows are
     numbered inside a sub-bucket only, so no shard is ever sorted in one task.
     Rows with equal keys, null keys among them, go to one shard; repeated rows
-    get slots of their own. Other columns of ``df`` are not read.
+    get slots of their own. An empty text counts like a null one; an empty
+    table gives an empty result. Other columns of ``df`` are not read.
     """
     sub = F.pmod(F.xxhash64(F.lit("slot"), "doc_id"), F.lit(SLOT_BUCKETS)).cast("int")
     at = (with_shard(df.select(F.col(key).cast("long").alias("doc_id")), root, "doc_id", "shard")

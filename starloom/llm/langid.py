@@ -245,7 +245,9 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
     ``und`` with score 0 for a text that is null or has no letter, and for all
     rows if there is nothing to learn from. lang, source and doc_id are no
-    inputs of a prediction; extra columns are not read.
+    inputs of a prediction; a null doc_id is held out.
+    Repeated rows are answered each, texts of any length are read whole, an
+    empty table gives an empty result; extra columns are not read.
     """
     spark = docs.sparkSession
     model = model or train_model(docs)

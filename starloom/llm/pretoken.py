@@ -18,8 +18,8 @@ MEMO_PARTS = 1_000_000
 
 _ODD = re.compile(r"\s[ \n]|[ \n]\s")
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
-#: A word and the signs behind it are separate pre-tokens.
-_TAIL = re.compile(r"([^\W\d_]+)([.,!?;:]+)")
+#: A word and the signs behind it are separate pre-tokens (an apostrophe may begin a contraction, and is none of these).
+_TAIL = re.compile(r"([^\W\d_]+)([.,!?;:&#*$%|<>()\[\]\"]+)")
 
 
 def load(path: str):
@@ -67,8 +67,7 @@ class PartMemo:
             self.spaced.clear()
             self.plain.clear()
         out: list[list] = [[] for _ in texts]
-        slow, heads, rests, gaps, new = {}, {}, {}, {}, set()
-        get = self.spaced.get
+        slow, heads, rests, new = {}, {}, {}, set()
         for i, x in enumerate(texts):
             if not x:
                 continue
@@ -77,21 +76,13 @@ class PartMemo:
             elif x[0].isspace() or x[-1].isspace() or _ODD.search(x):
                 slow[i] = _CUT.split(x)
             else:
-                heads[i], *rest = x.replace("\n", " \n").split(" ")
-                out[i] = known = list(map(get, rest))
-                if None in known:
-                    gaps[i] = [j for j, v in enumerate(known) if v is None]
-                    rests[i] = rest
-                    new.update(rest[j] for j in gaps[i])
-        self._spaced(new)
+                heads[i], *rests[i] = x.replace("\n", " \n").split(" ")
+                new.update(rests[i])
+        self._spaced(new.difference(self.spaced))
         self._plain(set(heads.values()).union(*slow.values()))
-        for i, at in gaps.items():
-            known, rest = out[i], rests[i]
-            for j in at:
-                known[j] = self.spaced[rest[j]]
+        spaced = self.spaced.__getitem__
         for i, first in heads.items():
-            out[i].append(self.plain[first])
-            out[i].insert(0, out[i].pop())
+            out[i] = [self.plain[first], *map(spaced, rests[i])]
         for i, parts in slow.items():
             out[i] = [self.plain[p] for p in parts]
         return out

@@ -51,7 +51,7 @@ MIN_PAGES, MIN_SHARE = 3, 0.3
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^<>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)(?:>|(?=<)|\Z)", re.S)
 _ATTR = re.compile(r"""([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _RAW_END = {t: re.compile(rf"</{t}(?=[\s/>]|\Z)", re.I) for t in RAW}
-_SPACE = re.compile(r"[\s​﻿]+")
+_SPACE = re.compile(r"\s+")
 
 
 @dataclass

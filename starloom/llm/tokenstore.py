@@ -43,8 +43,8 @@ from starloom.llm.tokencount import vocabulary
 from starloom.session import checkpoint_dir
 
 MAGIC = b"SLTOKS01"
-#: The dictionary is trained on about so many documents, none larger, cut into pieces of at most SAMPLE_PIECE bytes.
-SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_PIECE, DICT_BYTES = 400, 1 << 20, 65_536, 65_536
+#: The dictionary is trained on pieces of so many bytes of ids, at most so many a document, of about so many documents.
+SAMPLE_DOCS, SAMPLE_PIECES, SAMPLE_PIECE, DICT_BYTES = 400, 8, 16_384, 65_536
 SEGMENT_BYTES = 4 << 20
 LEVEL = 3
 NULL_ID = -(1 << 63)
@@ -84,15 +84,21 @@ def encode(texts: list[str], path: str, end_id: int, width: int) -> list[bytes]:
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:
-    """A dictionary from the ids of about SAMPLE_DOCS documents of at most SAMPLE_BYTES, whose doc_ids hash lowest.
+    """A dictionary from the ids of about SAMPLE_DOCS documents of any length, whose doc_ids hash lowest.
 
+    They are encoded and cut in the tasks: of a document, SAMPLE_PIECES pieces
+    of SAMPLE_PIECE bytes at most come to the driver, spread over all of it.
     Where the sample is too small to train on, its own bytes serve as the
     dictionary; without any, the dictionary is empty.
     """
-    some = sampled(docs.select("doc_id", "text"), SAMPLE_DOCS)
-    texts = sorted(r["text"] for r in some.where(F.octet_length("text").between(1, SAMPLE_BYTES)).collect())
-    raw = encode(texts, path, end_id, width)
-    pieces = [x[i:i + SAMPLE_PIECE] for x in raw for i in range(0, len(x), SAMPLE_PIECE)]
+    def cut_up(b: pa.RecordBatch) -> pa.RecordBatch:
+        out = []
+        for x in encode(b.column(0).to_pylist(), path, end_id, width):
+            at = range(0, len(x), SAMPLE_PIECE)
+            out += [x[i:i + SAMPLE_PIECE] for i in at[::-(-len(at) // SAMPLE_PIECES)]]
+        return pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["piece"])
+    some = sampled(docs.select("doc_id", "text"), SAMPLE_DOCS).where("text <> ''").select("text")
+    pieces = sorted(bytes(r["piece"]) for r in arrow_map(some, cut_up, "piece binary").collect())
     try:
         return zstandard.train_dictionary(DICT_BYTES, pieces, level=LEVEL).as_bytes()
     except zstandard.ZstdError:
@@ -140,10 +146,11 @@ class Segment:
 
 
 def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 2) -> DataFrame:
-    """Writes every row's ids into ``folder`` in ascending (doc_id, text) order; returns the segments' frame.
+    """Writes every row's ids into ``folder`` in ascending order of doc_id, then of the text's hash; returns the segments' frame.
 
     Null doc_ids come first and are kept as the lowest 64-bit integer; a null
-    text is empty and stores the end id alone; repeated rows are stored each.
+    text is empty and stores the end id alone; repeated rows are stored each. An
+    empty table writes a dictionary and no segment.
     """
     spark = docs.sparkSession
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), no_null(F.col("text").cast("string")).alias("text"))
@@ -180,9 +187,9 @@ def write_store(docs: DataFrame, folder: str, path: str, end_id: int = 2) -> Dat
         if ids:
             yield flush()
 
-    ordered = (src.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("text"))
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-               .withColumn("part", F.spark_partition_id()))
+    # the hash stands for the text: what Spark samples to find the ranges comes to the driver
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text")]
+    ordered = src.repartitionByRange(*order).sortWithinPartitions(*order, "text").withColumn("part", F.spark_partition_id())
     ship(spark)
     (ordered.mapInArrow(run, "part int, seg int, data binary")
      .write.mode("overwrite").option("compression", "none").parquet(f"{folder}/segments"))

@@ -17,7 +17,7 @@ def ids(text):
     return pretoken.load(PATH).encode(text or "", add_special_tokens=False).ids
 
 
-AWKWARD = st.lists(st.sampled_from([*" \n\t\r\x0b\x1c\x85\xa0\u2003\u3000\u200babcXYZ019.,'!éß日ش́²Ⅷ\u180e", "  ", "'s", "<|endoftext|>", " the", "\n\n"]),
+AWKWARD = st.lists(st.sampled_from([*" \n\t\r\x0b\x1c\x85\xa0\u2003\u3000\u200babcXYZ019.,'!éß日ش́²Ⅷ\u180e", "  ", "'s", "<|endoftext|>", " the", "\n\n", "&&&", "###'", "a*", "()\"", "Ⅷ%"]),
                    max_size=40).map("".join)
 
 
