@@ -332,14 +332,15 @@ def _sketches(feats: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _closest(star: DataFrame, feats: DataFrame, sim: Similarity) -> DataFrame:
     """Of pairs (a, b) that the bitmaps leave, the closest a for each b."""
-    def run(b: pa.RecordBatch) -> pa.RecordBatch:
-        got = []
-        for x, y, nx, ny, bx, by in zip(*(c.to_pylist() for c in b.columns), strict=True):
-            bits = may_link(nx, ny, bx, by, sim)
-            if bits is not None:
-                got.append((x, y, bits))
-        cols = list(zip(*got, strict=True)) or [[]] * 3
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "bits"])
+    def run(whole: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for b in slices([whole]):
+            got = []
+            for x, y, nx, ny, bx, by in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                bits = may_link(nx, ny, bx, by, sim)
+                if bits is not None:
+                    got.append((x, y, bits))
+            cols = list(zip(*got, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "bits"])
     nodes = star.select(F.col("a").alias("node")).union(star.select("b")).distinct()
     sk = cut(_sketches(feats, nodes))
     rows = (star.join(sk.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba")), "a")
@@ -362,7 +363,7 @@ def _verify(docs: DataFrame, feats: DataFrame, pairs: DataFrame, sim: Similarity
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = open_filter(shared.value), set()
-        for b in batches:
+        for b in slices(batches):
             at = np.flatnonzero(in_filter(bits, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)))
             names, raw = [], []
             for x in utf8(b.column(1).take(pa.array(at))):
@@ -375,7 +376,7 @@ def _verify(docs: DataFrame, feats: DataFrame, pairs: DataFrame, sim: Similarity
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(raw, pa.binary())], ["node", "items"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             left, right = [], []
             for x, y, sx, sy in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 s, t = np.frombuffer(sx, np.uint64), np.frombuffer(sy, np.uint64)
@@ -409,7 +410,7 @@ def _across(members: DataFrame, comps: DataFrame, feats: DataFrame, sim: Similar
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         key = None
-        for b in batches:
+        for b in slices(batches):
             got: set[tuple[int, int]] = set()
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
                 if r[:3] != key:
