@@ -2,7 +2,9 @@
 
 The files of a Parquet folder are listed with their sizes (nothing is read),
 and within each partition folder the undersized ones are dealt to bins by a
-running sum of their bytes. The files of a bin become one file.
+running sum of their bytes. The files of a bin become one file: one task reads
+them one after another and writes what it reads, without a shuffle or a sort,
+so that a bin takes no more memory than a batch of rows and a row group.
 
 New files are written to ``_compact`` below the table, which readers do not
 see; then the plan is written beside them. From then on the old files are
@@ -13,12 +15,17 @@ files are moved.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.sources.cdm import _exists
 
 TARGET_BYTES = 256 << 20
+#: Bins rewritten at once, at most.
+MOST_JOBS = 64
 WORK = "_compact"
 
 
@@ -50,12 +57,17 @@ def compact(spark: SparkSession, path: str, target: int = TARGET_BYTES, small: f
         return 0
     fixed = spark.createDataFrame([tuple(r) for r in rows], "path string, uri string, bin string, folder string")
     # files carry their folder's partition values in its name: without a base path they are not read as columns
-    data = spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(*[r["path"] for r in rows])
-    data = data.withColumn("__uri", F.col("_metadata.file_path"))
-    bins = fixed.select(F.col("uri").alias("__uri"), F.col("bin").alias("__bin"))
-    n = len({r["bin"] for r in rows})
-    (data.join(bins, "__uri").drop("__uri").repartition(n, "__bin")
-     .write.mode("overwrite").partitionBy("__bin").parquet(f"{work}/new"))
+    schema = spark.read.option("recursiveFileLookup", True).option("mergeSchema", True).parquet(*[r["path"] for r in rows]).schema
+    bins: dict[str, list[str]] = {}
+    for r in rows:
+        bins.setdefault(r["bin"], []).append(r["path"])
+
+    def rewrite(b: str) -> None:
+        whole = spark.read.option("recursiveFileLookup", True).schema(schema).parquet(*bins[b])
+        whole.coalesce(1).write.mode("overwrite").parquet(f"{work}/new/__bin={b}")
+    # a bin is a job of one task: as many at once as the cluster has cores
+    with ThreadPoolExecutor(max(1, min(len(bins), MOST_JOBS, spark.sparkContext.defaultParallelism))) as pool:
+        list(pool.map(inheritable_thread_target(spark)(rewrite), bins))
     fixed.coalesce(1).write.mode("overwrite").parquet(f"{work}/plan")
     recover(spark, path)
     return len(rows)
@@ -77,6 +89,7 @@ def recover(spark: SparkSession, path: str) -> None:
             if fs.exists(there):
                 for f in fs.listStatus(there):
                     name = f.getPath().getName()
-                    fs.rename(f.getPath(), hadoop.Path(f"{folder}/compact-{b}-{name}"))
+                    if name.endswith(".parquet"):  # a job's marker of success stays behind
+                        fs.rename(f.getPath(), hadoop.Path(f"{folder}/compact-{b}-{name}"))
     fs, p = _fs(spark, work)
     fs.delete(p, True)

@@ -1,6 +1,7 @@
 import os
 
 import pytest
+from pyspark.sql.readwriter import DataFrameWriter
 
 from starloom.sources import compact
 
@@ -45,6 +46,24 @@ def test_bins_fill_to_the_target_and_lone_files_stay(spark, scratch):
     assert len(plan) == 4 and [len(x) for x in by.values()] == [2, 2]
 
 
+def test_a_bin_is_rewritten_without_shuffle_or_sort(spark, scratch, monkeypatch):
+    path = f"{scratch}/compact3"
+    rows = _table(spark, path)
+    real, plans = DataFrameWriter.parquet, []
+
+    def parquet(self, to, *args, **kw):
+        if f"{compact.WORK}/new" in to:
+            plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+            assert self._df.rdd.getNumPartitions() == 1
+        return real(self, to, *args, **kw)
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    target = 3 * min(os.path.getsize(f) for f in _files(path))
+    bins = {r["bin"] for r in compact.plan(spark, path, target=target, small=0.9).collect()}
+    compact.compact(spark, path, target=target, small=0.9)
+    assert len(plans) == len(bins) > 2 and not [p for p in plans if "Exchange" in p or "Sort" in p or "Join" in p]
+    assert sorted(tuple(r) for r in spark.read.parquet(path).collect()) == rows
+
+
 @pytest.mark.parametrize("after", ["new", "plan", "some"])
 def test_a_compaction_cut_short_is_ended_or_undone(spark, scratch, monkeypatch, after):
     path = f"{scratch}/compact_{after}"
