@@ -22,14 +22,23 @@ from starloom.plans import standins as si
 from starloom.plans.dims import SPECS, build_dim, dim_date, dim_party, dim_worker
 from starloom.plans import gold as G
 from starloom.plans import marts as M
+from starloom.plans.exports import scratch
 from starloom.plans.facts import purchase_fact, sales_fact
 from starloom.plans.tables import Tables
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """A lookup's side as files, as the silver tables are: Spark then knows its size when it plans, and deals the lines by key
+    only if it is too large to broadcast. Unstored, it would count as large as the table it is drawn from."""
+    path = scratch(df.sparkSession, "lookup")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def q_purchase_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    cc = build_dim(SPECS["dimcostcenter"], si.costcenter(t), audit=False)
-    cur = build_dim(SPECS["dimcurrency"], si.currency(t), audit=False)
+    cc = _stored(build_dim(SPECS["dimcostcenter"], si.costcenter(t), audit=False))
+    cur = _stored(build_dim(SPECS["dimcurrency"], si.currency(t), audit=False))
     return purchase_fact(si.purchaseorder(t), cc, cur, audit=False)
 
 
@@ -55,8 +64,8 @@ def _verticals(spark: SparkSession, t: Tables) -> DataFrame:
 def q_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
     # parity with the source: bronze currency codes matched as given
-    return sales_fact(si.salesorderline(t), si.currency(t), _payment_types(spark, t),
-                      si.promotable(t), audit=False, trim_currency=False)
+    return sales_fact(si.salesorderline(t), _stored(si.currency(t)), _stored(_payment_types(spark, t)),
+                      _stored(si.promotable(t)), audit=False, trim_currency=False)
 
 
 def q_dim_costcenter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,7 +107,7 @@ def q_dim_vertical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_dim_worker(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    return dim_worker(si.workertable(t), _verticals(spark, t), audit=False)
+    return dim_worker(si.workertable(t), _stored(_verticals(spark, t)), audit=False)
 
 
 def q_dim_payment_types(spark: SparkSession, sf_dir: str) -> DataFrame:
