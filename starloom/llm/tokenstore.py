@@ -53,8 +53,10 @@ NULL_ID = -(1 << 63)
 @functools.lru_cache(maxsize=4)
 def _encoder(path: str, width: int) -> pretoken.PartMemo:
     tok, kind = pretoken.load(path), f"<u{width}"
+    merge = tok.model.tokenize
+    as_bytes = [i.to_bytes(width, "little") for i in range(tok.get_vocab_size(with_added_tokens=True))]
 
-    def work(parts: list[str]) -> list[bytes]:
+    def library(parts: list[str]) -> list[bytes]:
         enc = tok.encode(parts, is_pretokenized=True, add_special_tokens=False)
         ids = np.array(enc.ids, kind)
         ends = np.cumsum(np.bincount(np.array(enc.word_ids, np.int64), minlength=len(parts))) if len(ids) else np.zeros(len(parts), int)
@@ -64,6 +66,22 @@ def _encoder(path: str, width: int) -> pretoken.PartMemo:
             last = e
         return out
 
+    def work(parts: list[str]) -> list[bytes]:
+        """ASCII letters, alone or behind a space, are one pre-token that the byte-level alphabet leaves as it is but for the space:
+        the library's model takes them at once, which spares its pre-tokenizer and offsets. All other parts go the whole way."""
+        out, others = [], []
+        for i, p in enumerate(parts):
+            word = p[1:] if p[:1] == " " else p
+            if word.isascii() and word.isalpha():
+                out.append(b"".join([as_bytes[t.id] for t in merge("\u0120" + word if word is not p else p)]))
+            else:
+                out.append(b"")
+                others.append(i)
+        if others:
+            for i, ids in zip(others, library([parts[i] for i in others]), strict=True):
+                out[i] = ids
+        return out
+
     return pretoken.PartMemo(work, [])
 
 
@@ -78,9 +96,9 @@ def encode(texts: list[str], path: str, end_id: int, width: int) -> list[bytes]:
     end = int(end_id).to_bytes(width, "little")
     special = pretoken.added(tok)
     odd = {i for i, x in enumerate(texts) if any(s in x for s in special)}
-    parts = memo.batch(["" if i in odd else x for i, x in enumerate(texts)])
+    cut_up = memo.joined(["" if i in odd else x for i, x in enumerate(texts)])
     return [(np.array(tok.encode(texts[i], add_special_tokens=False).ids, f"<u{width}").tobytes() if i in odd
-             else b"".join(p)) + end for i, p in enumerate(parts)]
+             else x) + end for i, x in enumerate(cut_up)]
 
 
 def train_dictionary(docs: DataFrame, path: str, end_id: int, width: int) -> bytes:

@@ -43,6 +43,22 @@ def test_memo_starts_afresh_when_full():
         assert [sum(x) for x in memo.batch(["a bb ccc", "", "dd  e"])] == [8, 0, 5]
 
 
+def test_joined_results_are_those_of_the_batch_and_each_part_is_worked_once():
+    asked = []
+    memo = pretoken.PartMemo(lambda parts: [asked.append(p) or f"<{p}>".encode() for p in parts], [])
+    texts = ["a bb a\nbb ccc.", "", "dd  e", " f", "one", "a\tb \tc", "é\u2003 x", "a bb a ccc", "\n\n", "x\n y"]
+    got = memo.joined(texts)
+    assert len(asked) == len(set(asked))
+    assert got == [b"".join(x) for x in pretoken.PartMemo(memo.work, []).batch(texts)]
+    assert memo.joined(["", ""]) == [b"", b""] and memo.joined([]) == []
+
+
+def test_words_of_ascii_letters_get_the_ids_of_the_library():
+    encoder = tokenstore._encoder(PATH, 2)
+    words = [" qwordly", "Zzyqx", " a", "x", " don't", "\nWord", " é", " 12"]
+    assert encoder.work(words) == [np.array(ids(w), "<u2").tobytes() for w in words] and encoder.work([]) == []
+
+
 def test_counts_of_every_document(spark):
     docs = documents(spark, SF)
     rows = {r["doc_id"]: r for r in tokencount.op7_token_counts(spark, SF).collect()}
